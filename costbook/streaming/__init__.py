@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+Every scheduled job of the reference is a daily batch over exported
+telemetry (no watermarks, windows over event time, stateful operators or
+late data), so no Structured Streaming operator is needed to reproduce it.
+"""
