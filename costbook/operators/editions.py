@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from costbook.asof import AsOf
 from costbook.functions import admin_project, in_range, local_date, month_labels, trunc_hour, trunc_minute
 from costbook.operators.prices import edition_price
+from costbook.session import scratch_root
 
 # Fixed value: the reservation id the editions script leaves out.
 EXCLUDED_RESERVATION = "default-pipeline"
@@ -145,24 +146,27 @@ def edition_slot_hour(minutes: DataFrame) -> DataFrame:
 def edition_day_cost(hours: DataFrame, prices: DataFrame, asof: AsOf, latest_per_key: bool = False) -> DataFrame:
     """Cost per reservation and local day: the merge source of the editions mart.
 
-    ``baseline_cost = baseline * 24 * price`` is a group key, as written.
+    ``baseline_cost = baseline * 24 * price`` is a group key, as written.  The
+    unit price depends on the edition only, so carrying it as a further key
+    changes no group and prices each row once.
     """
-    price = edition_price(prices, F.col("edition"), asof.region, latest_per_key)
     d = local_date("period_hour", asof.zone)
     labels = month_labels(d)
-    keyed = hours.select(
+    priced = hours.withColumn("unit_price", edition_price(prices, F.col("edition"), asof.region, latest_per_key))
+    keyed = priced.select(
         "reservation_id",
         d.alias("date"),
         labels["year"].alias("year"),
         labels["year_month"].alias("year_month"),
         "edition",
-        ((F.col("baseline") * 24).cast("double") * price).alias("baseline_cost"),
+        ((F.col("baseline") * 24).cast("double") * F.col("unit_price")).alias("baseline_cost"),
+        "unit_price",
         "slot_hour_cents",
     )
-    g = keyed.groupBy("reservation_id", "date", "year", "year_month", "edition", "baseline_cost").agg(
+    g = keyed.groupBy("reservation_id", "date", "year", "year_month", "edition", "baseline_cost", "unit_price").agg(
         F.sum("slot_hour_cents").alias("cents")
     )
-    cost = (F.col("cents").cast("double") / 100.0) * edition_price(prices, F.col("edition"), asof.region, latest_per_key)
+    cost = (F.col("cents").cast("double") / 100.0) * F.col("unit_price")
     return g.select("reservation_id", "date", "year", "year_month", "edition", "baseline_cost", cost.alias("cost"))
 
 
@@ -176,8 +180,16 @@ def editions_source(
     dedupe_projects: bool = False,
     latest_per_key: bool = False,
 ) -> DataFrame:
-    """The whole editions roll-up, ready for the upsert."""
-    totals = minute_totals(edition_jobs(timeline, asof, months_back))
+    """The whole editions roll-up, ready for the upsert.
+
+    The per-minute totals feed both the key list (which administration
+    projects to read) and the minute join.  They are one row per
+    reservation-minute, so they are checkpointed to the shared checkpoint
+    folder: the month's timeline is scanned once, and a lost executor does
+    not send the job back to that scan.
+    """
+    scratch_root(timeline.sparkSession)
+    totals = minute_totals(edition_jobs(timeline, asof, months_back)).checkpoint(eager=True)
     ids = totals.select("reservation_id").distinct()
     res = reservation_minutes(
         ids, reservation_timeline, reservations, minute_range=asof.month_window_utc(0), dedupe_projects=dedupe_projects
