@@ -1,9 +1,11 @@
 """Per-job analysis: recent finished jobs, run time, billed size, job text.
 
 The recent-job set and the job text are joined on (project, job, user).  The
-jobs are hash-partitioned on ``(project_id, job_id)`` once; the billed-size
-roll-up (grouped by eight columns that include these two) and the text join
-both accept that partitioning, so the jobs side is shuffled a single time.
+jobs are hash-partitioned on exactly these three join keys once; the
+billed-size roll-up (grouped by eight columns that include them) and the
+sort-merge join with the text both accept that partitioning, so the jobs side
+is shuffled a single time (a roll-up of one row per job gains nothing from a
+map-side partial sum).
 Job text is read whole (the scripts put no time filter on it); Spark's
 runtime Bloom filter and adaptive broadcast trim it to the selected jobs.
 """
@@ -43,7 +45,7 @@ def recent_jobs(jobs: DataFrame, asof: AsOf, window: str = "as_written", states=
 
 def job_billed(recent: DataFrame) -> DataFrame:
     """The query-analysis ``jobs`` table: billed TiB per job (eight group keys)."""
-    keyed = job_seconds(recent).repartition("project_id", "job_id")
+    keyed = job_seconds(recent).repartition(*JOB_KEYS)
     return keyed.groupBy(
         "project_id", "job_id", "user_email", "cache_hit", "start_time", "end_time",
         "query_execution_seconds", "statement_type",
