@@ -22,7 +22,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costbook.asof import AsOf
-from costbook.functions import admin_project, in_range, local_date, month_labels, trunc_hour, trunc_minute
+from costbook.functions import (
+    admin_project,
+    day_partition_bounds,
+    in_range,
+    local_date,
+    month_labels,
+    trunc_hour,
+    trunc_minute,
+)
 from costbook.operators.prices import edition_price
 from costbook.session import scratch_root
 
@@ -39,8 +47,12 @@ def filter_month_window(timeline: DataFrame, asof: AsOf, months_back: int = 0) -
     """
     created_lo, created_hi = asof.month_window_utc(months_back)
     period_lo, period_hi = asof.month_window_utc(0)
+    cols = timeline.columns
     return timeline.filter(
-        in_range("job_creation_time", created_lo, created_hi) & in_range("period_start", period_lo, period_hi)
+        in_range("job_creation_time", created_lo, created_hi)
+        & in_range("period_start", period_lo, period_hi)
+        & day_partition_bounds(cols, "job_creation_time", created_lo, created_hi)
+        & day_partition_bounds(cols, "period_start", period_lo, period_hi)
     )
 
 
@@ -88,7 +100,8 @@ def reservation_minutes(
         admins = admins.distinct()
     rt = reservation_timeline
     if minute_range is not None:
-        rt = rt.filter(in_range("period_start", *minute_range))
+        rt = rt.filter(in_range("period_start", *minute_range)
+                       & day_partition_bounds(rt.columns, "period_start", *minute_range))
     with_edition = rt.join(reservations, on=["project_id", "project_number"], how="left")
     return with_edition.join(admins, with_edition["project_id"] == admins["admin_project"], "inner").select(
         "reservation_id",

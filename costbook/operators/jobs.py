@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costbook.asof import AsOf
-from costbook.functions import TIB, between_closed, ms_between
+from costbook.functions import TIB, between_closed, day_partition_bounds, ms_between
 
 JOB_KEYS = ["project_id", "job_id", "user_email"]
 
@@ -24,7 +24,7 @@ JOB_KEYS = ["project_id", "job_id", "user_email"]
 def filter_recent_window(df: DataFrame, column: str, asof: AsOf, window: str = "as_written") -> DataFrame:
     """``column BETWEEN yesterday 00:00 AND now - 5 min`` (see AsOf.recent_window)."""
     lo, hi = asof.recent_window(window)
-    return df.filter(between_closed(column, lo, hi))
+    return df.filter(between_closed(column, lo, hi) & day_partition_bounds(df.columns, column, lo, hi))
 
 
 def filter_states(df: DataFrame, states=("DONE",)) -> DataFrame:

@@ -6,14 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costbook.asof import AsOf
-from costbook.functions import TIB, in_range, local_date, month_labels
+from costbook.functions import TIB, day_partition_bounds, in_range, local_date, month_labels
 from costbook.operators.prices import ON_DEMAND_CLASS, compute_price
 
 
 def filter_two_month_window(jobs: DataFrame, asof: AsOf) -> DataFrame:
     """Jobs created in the previous or the current local month (a UTC range)."""
     lo, hi = asof.month_window_utc(1)
-    return jobs.filter(in_range("creation_time", lo, hi))
+    return jobs.filter(in_range("creation_time", lo, hi) & day_partition_bounds(jobs.columns, "creation_time", lo, hi))
 
 
 def filter_ondemand_jobs(jobs: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from costbook import schemas
 
@@ -50,15 +51,23 @@ class Telemetry:
         return replace(self, **frames)
 
 
+# Day partition columns an export may be laid out by (UTC day of a timestamp):
+# jobs by ``creation_date``, timelines by ``period_date``.  When present they
+# are kept, and the window filters add the implied partition predicates.
+DAY_PARTITION_COLUMNS = ("creation_date", "period_date")
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read one exported dataset with its declared schema.
 
-    Hive-style partition folders below it (for example ``date=...``) are
-    discovered; columns outside the schema are not read.
+    Hive-style partition folders below it are discovered; a day partition
+    column is kept so filters on it prune folders.  Other columns outside the
+    schema are not read.
     """
     schema = TABLES[name]
     df = spark.read.option("basePath", f"{root}/{name}").parquet(f"{root}/{name}")
-    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    parts = [F.col(c).cast("date").alias(c) for c in DAY_PARTITION_COLUMNS if c in df.columns]
+    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields], *parts)
 
 
 def read_telemetry(spark: SparkSession, root: str) -> Telemetry:

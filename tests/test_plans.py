@@ -70,3 +70,46 @@ def test_query_analysis_shuffles_jobs_once(spark, exported):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # jobs placed once by the join keys (reused by the eight-key roll-up and the join), text once
     assert len(exchanges) == 2
+
+
+@pytest.fixture(scope="module")
+def day_partitioned(spark, tmp_path_factory):
+    """Jobs and timeline exported by UTC day, as a large deployment would."""
+    from pyspark.sql import functions as F
+
+    root = str(tmp_path_factory.mktemp("export_by_day"))
+    t = fixtures.telemetry(spark, SF_SMALL)
+    t.jobs.withColumn("creation_date", F.to_date("creation_time")).write.partitionBy("creation_date").parquet(
+        f"{root}/jobs")
+    t.jobs_timeline.withColumn("period_date", F.to_date("period_start")).write.partitionBy("period_date").parquet(
+        f"{root}/jobs_timeline")
+    for name in TABLES:
+        if name not in ("jobs", "jobs_timeline"):
+            getattr(t, name).write.parquet(f"{root}/{name}")
+    return read_telemetry(spark, root), t
+
+
+@pytest.mark.parametrize("build,part", [
+    (lambda t: editions.filter_month_window(t.jobs_timeline, A), "period_date"),
+    (lambda t: ondemand.filter_two_month_window(t.jobs, A), "creation_date"),
+    (lambda t: jobs.filter_recent_window(t.jobs, "start_time", A), "creation_date"),
+    (lambda t: slots.recent_timeline(t.jobs_timeline, A), "period_date"),
+])
+def test_day_partitions_are_pruned(day_partitioned, build, part):
+    exported, _ = day_partitioned
+    plan = _plan(build(exported))
+    parts = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan).group(1)
+    assert part in parts
+
+
+def test_pruning_keeps_results(day_partitioned):
+    exported, t = day_partitioned
+    a = sorted(tuple(r) for r in slots.slot_job_hours(slots.slot_minute(slots.slot_second(
+        slots.recent_timeline(exported.jobs_timeline, A)))).collect())
+    b = sorted(tuple(r) for r in slots.slot_job_hours(slots.slot_minute(slots.slot_second(
+        slots.recent_timeline(t.jobs_timeline, A)))).collect())
+    assert a == b and len(a) > 0
+    cols = [c for c in t.jobs.columns]
+    a = sorted(tuple(r) for r in jobs.filter_recent_window(exported.jobs, "start_time", A).select(*cols).collect())
+    b = sorted(tuple(r) for r in jobs.filter_recent_window(t.jobs, "start_time", A).collect())
+    assert a == b
