@@ -3,6 +3,7 @@ Spark expressions, so they stay inside whole-stage code generation."""
 
 from costbook.functions.timecols import (  # noqa: F401
     between_closed,
+    date_lit,
     day_partition_bounds,
     in_range,
     local_date,

@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 
 def ntz(value: datetime) -> Column:
     """A ``timestamp_ntz`` literal, so comparisons with raw columns need no
-    cast on the column side and reach the Parquet scan as pushed filters."""
-    return F.lit(value.replace(tzinfo=None)).cast("timestamp_ntz")
+    cast on the column side and reach the Parquet scan as pushed filters.
+
+    Built from text: a Python ``datetime`` handed to ``F.lit`` would be read
+    in the driver process's local zone."""
+    return F.lit(value.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def date_lit(value: date) -> Column:
-    return F.lit(value).cast("date")
+    """A DATE literal, built from text for the same reason as :func:`ntz`."""
+    return F.lit(value.isoformat()).cast("date")
 
 
 def in_range(col: str | Column, lo: datetime, hi: datetime) -> Column:
@@ -77,7 +81,7 @@ def day_partition_bounds(columns: list[str], column: str, lo: datetime, hi: date
         if part not in columns:
             continue
         if side in ("both", "lower"):
-            cond = cond & (F.col(part) >= F.lit(lo.date()))
+            cond = cond & (F.col(part) >= date_lit(lo.date()))
         if side in ("both", "upper"):
-            cond = cond & (F.col(part) <= F.lit(hi.date()))
+            cond = cond & (F.col(part) <= date_lit(hi.date()))
     return cond

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costbook.asof import AsOf
-from costbook.functions import TIB, between_closed, day_partition_bounds, ms_between
+from costbook.functions import TIB, between_closed, date_lit, day_partition_bounds, ms_between
 
 JOB_KEYS = ["project_id", "job_id", "user_email"]
 
@@ -72,7 +72,7 @@ def query_analysis_rows(jobs: DataFrame, job_text: DataFrame, asof: AsOf, window
         F.col("end_time").alias("query_end"),
         F.col("query_execution_seconds").alias("query_time"),
         F.col("statement_type").alias("query_type"),
-        F.lit(asof.today).alias("date"),
+        date_lit(asof.today).alias("date"),
         F.lit(asof.year_month_label).alias("year_month"),
         F.lit(asof.year_label).alias("year"),
     )

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costbook.asof import AsOf
-from costbook.functions import trunc_minute
+from costbook.functions import date_lit, trunc_minute
 from costbook.operators.jobs import JOB_KEYS, filter_recent_window, filter_states, job_statements, job_seconds
 
 SLOT_KEYS = ["project_id", "job_id", "user_email", "reservation_id"]
@@ -79,7 +79,7 @@ def slot_analysis_rows(jobs: DataFrame, timeline: DataFrame, job_text: DataFrame
         F.col("query_execution_seconds").alias("job_time"),
         F.col("statement_type").alias("query_type"),
         F.col("statement").alias("query"),
-        F.lit(asof.today).alias("date"),
+        date_lit(asof.today).alias("date"),
         F.lit(asof.year_month_label).alias("year_month"),
         F.lit(asof.year_label).alias("year"),
     )

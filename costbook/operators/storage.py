@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costbook.asof import AsOf
-from costbook.functions import GIB
+from costbook.functions import GIB, date_lit
 from costbook.operators.prices import storage_prices
 
 DATASET_KEYS = ["project_id", "dataset_id"]
@@ -82,7 +82,7 @@ def storage_project_usage(table_storage: DataFrame, billing: DataFrame, asof: As
         gib("long_term_logical_bytes").alias("logic_long_term"),
         gib("active_physical_bytes").alias("comp_active"),
         gib("long_term_physical_bytes").alias("comp_long_term"),
-        F.lit(asof.today).alias("date"),
+        date_lit(asof.today).alias("date"),
     )
 
 
@@ -106,7 +106,7 @@ def storage_dataset(table_storage: DataFrame) -> DataFrame:
 
 def storage_prev_day(mart_rows: DataFrame, asof: AsOf) -> DataFrame:
     """Yesterday's partition of the storage-analysis mart (keys and sizes)."""
-    return mart_rows.filter(F.col("date") == F.lit(asof.yesterday)).select(*DATASET_KEYS, *SIZE_COLUMNS)
+    return mart_rows.filter(F.col("date") == date_lit(asof.yesterday)).select(*DATASET_KEYS, *SIZE_COLUMNS)
 
 
 _CURRENT = {
@@ -142,7 +142,7 @@ def storage_analysis_rows(table_storage: DataFrame, billing: DataFrame, prev: Da
         F.coalesce(F.col("storage_type"), F.lit("LOGICAL")).alias("storage_type"),
         *SIZE_COLUMNS,
         *[f"diff_{c}" for c in SIZE_COLUMNS],
-        F.lit(asof.today).alias("date"),
+        date_lit(asof.today).alias("date"),
         F.lit(asof.year_month_label).alias("year_month"),
         F.lit(asof.year_label).alias("year"),
     )
@@ -156,7 +156,7 @@ def storage_month_avg(daily_usage: DataFrame, asof: AsOf) -> DataFrame:
     month's partitions are listed and read.
     """
     m0, m1 = asof.month_start(0), asof.month_start(1)
-    cur = daily_usage.filter((F.col("date") >= F.lit(m0)) & (F.col("date") < F.lit(m1)))
+    cur = daily_usage.filter((F.col("date") >= date_lit(m0)) & (F.col("date") < date_lit(m1)))
     return cur.groupBy(
         "project_id", F.date_format("date", "yyyy").alias("year"), F.date_format("date", "MM").alias("month")
     ).agg(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from costbook import schemas
 from costbook.asof import DEFAULT_ASOF, AsOf
-from costbook.functions import admin_project
+from costbook.functions import admin_project, date_lit
 from costbook.operators import editions, jobs, ondemand, sinks, slots, storage
 from costbook.operators.prices import edition_price, storage_prices
 from costbook.plans import pipelines
@@ -138,7 +138,7 @@ def _daily_history_mart(spark, sf_dir, up_to=None) -> str:
     path = scratch_path(spark, "mart-daily-storage-history")
     hist = fixtures.daily_storage_history(fixtures.read_driver_table(spark, sf_dir, "events"))
     if up_to is not None:
-        hist = hist.filter(F.col("date") <= F.lit(up_to))
+        hist = hist.filter(F.col("date") <= date_lit(up_to))
     sinks.append(hist, sinks.DAILY_STORAGE_USAGE, path)
     return path
 
@@ -158,7 +158,7 @@ def price_revision_append(spark, sf_dir):
     then cost on-demand use with the result."""
     path = scratch_path(spark, "price-compute")
     fixtures.price_compute(spark, OLD_PRICES).write.mode("overwrite").parquet(path)
-    revision = fixtures.price_compute(spark).filter(F.col("application_start_date") > F.lit(OLD_PRICES))
+    revision = fixtures.price_compute(spark).filter(F.col("application_start_date") > date_lit(OLD_PRICES))
     revision.write.mode("append").parquet(path)
     prices = spark.read.schema(schemas.PRICE_COMPUTE).parquet(path)
     return ondemand.ondemand_day_cost(_t(spark, sf_dir).jobs, prices, ASOF)
@@ -357,6 +357,50 @@ def storage_analysis(spark, sf_dir):
     return sinks.read(spark, sinks.STORAGE_ANALYSIS, path)
 
 
+# --- opt-in corrections of the scripts' behaviour ----------------------------------------------
+def editions_months_back(spark, sf_dir):
+    """Also cost jobs created last month whose periods run this month."""
+    return pipelines.editions_day_pricing_source(_t(spark, sf_dir), ASOF, months_back=1)
+
+
+def editions_dedupe_projects(spark, sf_dir):
+    """Take each administration project's reservation timeline once."""
+    return pipelines.editions_day_pricing_source(_t(spark, sf_dir), ASOF, dedupe_projects=True)
+
+
+def ondemand_latest_per_key(spark, sf_dir):
+    """Newest price per class and region, not over the whole price list."""
+    return pipelines.ondemand_day_pricing_source(_t(spark, sf_dir), ASOF, latest_per_key=True)
+
+
+def storage_explicit_logical(spark, sf_dir):
+    """An explicit LOGICAL billing model counts as logical storage."""
+    return pipelines.daily_storage_usage_source(_t(spark, sf_dir), ASOF, explicit_logical=True)
+
+
+def daily_storage_replace_partition(spark, sf_dir):
+    """The daily storage run twice with partition replacement: no duplicates."""
+    path = scratch_path(spark, "mart-daily-storage")
+    t = _t(spark, sf_dir)
+    pipelines.run_daily_storage_usage(t, ASOF, path, replace_partition=True)
+    pipelines.run_daily_storage_usage(t, ASOF, path, replace_partition=True)
+    return sinks.read(spark, sinks.DAILY_STORAGE_USAGE, path)
+
+
+def query_analysis_local_day(spark, sf_dir):
+    """Jobs started from the previous local midnight to five minutes ago."""
+    return pipelines.query_analysis_source(_t(spark, sf_dir), ASOF, window="previous_local_day")
+
+
+def slot_analysis_local_day(spark, sf_dir):
+    return pipelines.slot_analysis_source(_t(spark, sf_dir), ASOF, window="previous_local_day")
+
+
+def slot_analysis_all_timeline_states(spark, sf_dir):
+    """Timeline periods of every state count towards a finished job's slots."""
+    return pipelines.slot_analysis_source(_t(spark, sf_dir), ASOF, timeline_states=None)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in list(globals().items())
     if callable(fn) and not name.startswith("_") and getattr(fn, "__module__", None) == __name__

@@ -27,6 +27,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Pin the session zone to UTC.
+
+    Telemetry instants are ``timestamp_ntz`` values holding UTC.  Most
+    functions used on them are zone-free, but ``timestamp_diff`` and
+    ``date_trunc`` accept only zoned timestamps and convert through the
+    session zone; under UTC that conversion is exact (no daylight-saving
+    gaps), so run times and minute/hour buckets do not depend on where the
+    driver runs.
+    """
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables and checkpoints.
 

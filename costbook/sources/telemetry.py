@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costbook import schemas
+from costbook.session import require_utc
 
 # Dataset names below an export root, and their schemas.
 TABLES = {
@@ -71,4 +72,5 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def read_telemetry(spark: SparkSession, root: str) -> Telemetry:
+    require_utc(spark)
     return Telemetry(**{name: read_table(spark, root, name) for name in TABLES})
