@@ -15,6 +15,10 @@ touches:
    lineage back to the files about to be replaced), then written with
    dynamic partition overwrite.
 
+The source is checkpointed first and its (few) partition values are listed,
+so step 1 is a static partition filter: the target's other partitions are
+never listed or read.
+
 Each merge key fixes its partition (every key includes the date, or a month
 that determines it), so rows of untouched partitions can never match.
 Replacing several partitions is not atomic, and one writer per mart is
@@ -134,11 +138,33 @@ def merged_rows(target: DataFrame, source: DataFrame, mart: Mart) -> DataFrame:
     return j.select(*out)
 
 
+# Above this many touched partitions the target is narrowed by a semi-join
+# instead of a literal partition list (the scheduled windows touch at most two
+# months of days, or one month start).
+MAX_LISTED_PARTITIONS = 10_000
+
+
 def upsert(source: DataFrame, mart: Mart, path: str) -> None:
-    """MERGE ``source`` into the mart at ``path`` (see the module notes)."""
+    """MERGE ``source`` into the mart at ``path`` (see the module notes).
+
+    The source (a daily or monthly roll-up) is checkpointed once: the merge
+    reads it twice, and its partition values become a literal filter, so the
+    target scan lists only the touched partitions instead of the mart's whole
+    history.
+    """
     spark = source.sparkSession
     ensure(spark, mart, path)
     scratch_root(spark)  # makes sure a checkpoint folder is set
-    merged = merged_rows(read(spark, mart, path), source.select(*mart.columns), mart).checkpoint(eager=True)
+    p = mart.partition_col
+    src = source.select(*mart.columns).checkpoint(eager=True)
+    parts = [r[0] for r in src.select(p).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()]
+    target = read(spark, mart, path)
+    if len(parts) <= MAX_LISTED_PARTITIONS:
+        values = [v for v in parts if v is not None]
+        cond = F.col(p).isin(values) if values else F.lit(False)
+        if len(values) < len(parts):
+            cond = cond | F.col(p).isNull()
+        target = target.filter(cond)
+    merged = merged_rows(target, src, mart).checkpoint(eager=True)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(mart.partition_col).parquet(path))

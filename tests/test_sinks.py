@@ -75,3 +75,16 @@ def test_monthly_mart_merges_on_year_month(spark, tmp_dir):
     sinks.upsert(frame(spark, mm.schema, [("p",) + (2.0,) * 9 + ("2024", "2024-01", date(2024, 1, 1))]), mm, path)
     got = [tuple(r) for r in sinks.read(spark, mm, path).collect()]
     assert got == [("p",) + (2.0,) * 9 + ("2024", "2024-01", date(2024, 1, 1))]
+
+
+def test_upsert_reads_only_touched_partitions(spark, tmp_dir):
+    path = f"{tmp_dir}/m"
+    d1, d2 = date(2024, 1, 1), date(2024, 1, 2)
+    sinks.upsert(src(spark, [("a", 1.0, "2024", "2024-01", d1), ("b", 2.0, "2024", "2024-01", d2)]), M, path)
+    with open(f"{path}/date=2024-01-01/zz-corrupt.parquet", "wb") as fh:
+        fh.write(b"garbage that is not parquet")
+    # merging into 2024-01-02 must not open the files of 2024-01-01
+    sinks.upsert(src(spark, [("b", 20.0, "2024", "2024-01", d2)]), M, path)
+    from pyspark.sql import functions as F
+    got = sinks.read(spark, M, path).filter(F.col("date") == d2).collect()
+    assert [(r["project_id"], r["cost"]) for r in got] == [("b", 20.0)]
