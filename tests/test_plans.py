@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
@@ -113,3 +114,41 @@ def test_pruning_keeps_results(day_partitioned):
     a = sorted(tuple(r) for r in jobs.filter_recent_window(exported.jobs, "start_time", A).select(*cols).collect())
     b = sorted(tuple(r) for r in jobs.filter_recent_window(t.jobs, "start_time", A).collect())
     assert a == b
+
+
+def test_mart_reads_prune_partitions(spark, tmp_path):
+    from costbook.operators import sinks, storage
+
+    daily = fixtures.daily_storage_history(fixtures.read_driver_table(spark, SF_SMALL, "events"))
+    path = str(tmp_path / "daily")
+    sinks.append(daily, sinks.DAILY_STORAGE_USAGE, path)
+    plan = _plan(storage.storage_month_avg(sinks.read(spark, sinks.DAILY_STORAGE_USAGE, path), A))
+    parts = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan).group(1)
+    assert "date" in parts and "2024-01-01" in parts and "2024-02-01" in parts
+    sa = str(tmp_path / "sa")
+    sinks.ensure(spark, sinks.STORAGE_ANALYSIS, sa)
+    from datetime import date
+    row = ("p", "d", "LOGICAL") + (1.0,) * 12 + (date(2024, 1, 28), "2024-01", "2024")
+    sinks.append(spark.createDataFrame([row], sinks.STORAGE_ANALYSIS.schema), sinks.STORAGE_ANALYSIS, sa)
+    plan = _plan(storage.storage_prev_day(sinks.read(spark, sinks.STORAGE_ANALYSIS, sa), A))
+    assert "2024-01-29" in re.search(r"PartitionFilters: \[(.*?)\]", plan).group(1)
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+@pytest.mark.parametrize("layout", [lambda d: d.repartition(1), lambda d: d.repartition(7),
+                                    lambda d: d.orderBy(F.rand(3)).repartition(5)])
+def test_rollups_do_not_depend_on_row_order(spark, layout):
+    t = fixtures.telemetry(spark, SF_SMALL)
+    base_tl = slots.recent_timeline(t.jobs_timeline, A)
+    ref = _rows(slots.slot_job_hours(slots.slot_minute(slots.slot_second(base_tl))))
+    got = _rows(slots.slot_job_hours(slots.slot_minute(slots.slot_second(layout(base_tl)))))
+    assert ref == got
+    job = editions.edition_jobs(t.jobs_timeline, A)
+    res = editions.reservation_minutes(job.select("reservation_id").distinct(), t.reservation_timeline,
+                                       t.reservations, minute_range=A.month_window_utc(0))
+    ref = _rows(editions.edition_slot_minute(editions.minute_totals(job), res))
+    got = _rows(editions.edition_slot_minute(editions.minute_totals(layout(job)), layout(res)))
+    assert ref == got
