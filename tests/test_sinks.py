@@ -88,3 +88,22 @@ def test_upsert_reads_only_touched_partitions(spark, tmp_dir):
     from pyspark.sql import functions as F
     got = sinks.read(spark, M, path).filter(F.col("date") == d2).collect()
     assert [(r["project_id"], r["cost"]) for r in got] == [("b", 20.0)]
+
+
+def test_editions_rerun_raises_on_repeated_keys(spark, tmp_dir):
+    """Two editions per admin project and a baseline change within the day give
+    several source rows per (reservation, date): the first merge inserts them
+    all, the second fails like MERGE."""
+    from conftest import SF_SMALL
+    from costbook.asof import DEFAULT_ASOF
+    from costbook.plans import pipelines
+    from costbook.sources import fixtures
+
+    path = f"{tmp_dir}/editions"
+    t = fixtures.telemetry(spark, SF_SMALL)
+    pipelines.run_editions_day_pricing(t, DEFAULT_ASOF, path)
+    first = sinks.read(spark, sinks.DAILY_EDITIONS_COMPUTE_PRICING, path).count()
+    assert first > 0
+    with pytest.raises(Exception, match="more than one source row"):
+        pipelines.run_editions_day_pricing(t, DEFAULT_ASOF, path)
+    assert sinks.read(spark, sinks.DAILY_EDITIONS_COMPUTE_PRICING, path).count() == first
