@@ -10,7 +10,8 @@ touches:
    (a NULL key never matches, so it is inserted again on every run);
 3. a matched target row takes the update columns from the source and keeps
    the rest; unmatched source rows are inserted; other target rows stay;
-   a target row matching two source rows fails the job, as MERGE does;
+   a target row matching two source rows fails the merge before anything
+   is written, as MERGE does (checked with a grouped count, not a window);
 4. the result is checkpointed to the shared checkpoint folder (cutting the
    lineage back to the files about to be replaced), then written with
    dynamic partition overwrite.
@@ -29,7 +30,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -107,33 +108,40 @@ def append(df: DataFrame, mart: Mart, path: str, replace_partition: bool = False
     writer.parquet(path)
 
 
+def repeated_matches(target: DataFrame, source: DataFrame, mart: Mart) -> DataFrame:
+    """Target rows whose merge key appears on two or more source rows.
+
+    The source keys are counted with a grouped (map-side partial) count, so a
+    key repeated many times is never gathered into one task; plain equality
+    means a NULL key never matches.
+    """
+    keys = list(mart.keys)
+    repeated = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                .filter(F.col("_n") > 1).drop("_n"))
+    return target.join(repeated, on=keys, how="left_semi")
+
+
 def merged_rows(target: DataFrame, source: DataFrame, mart: Mart) -> DataFrame:
-    """The rows of the touched partitions after MERGE (lazy, no write)."""
+    """The rows of the touched partitions after MERGE (lazy, no write).
+
+    Assumes :func:`repeated_matches` is empty (MERGE fails otherwise).
+    """
     keys, updates, p = list(mart.keys), set(mart.update_cols), mart.partition_col
     touched_parts = source.select(p).distinct()
     t = target.join(touched_parts, on=p, how="left_semi").withColumn("_in_target", F.lit(True))
-    # Source rows sharing a key: fine unless a target row matches them.
-    s = source.select(
-        *[F.col(c).alias(f"_s_{c}") for c in mart.columns],
-        F.count(F.lit(1)).over(Window.partitionBy(*[F.col(k) for k in keys])).alias("_s_n"),
-        F.lit(True).alias("_in_source"),
-    )
+    s = source.select(*[F.col(c).alias(f"_s_{c}") for c in mart.columns], F.lit(True).alias("_in_source"))
     cond = None
     for k in keys:
         c = t[k] == s[f"_s_{k}"]
         cond = c if cond is None else cond & c
     j = t.join(s, on=cond, how="full_outer")
     in_t, in_s = F.col("_in_target").isNotNull(), F.col("_in_source").isNotNull()
-    matched = in_t & in_s
     out = []
     for c in mart.columns:
         if c in updates:
             v = F.when(in_s, F.col(f"_s_{c}")).otherwise(F.col(c))
         else:
             v = F.when(in_t, F.col(c)).otherwise(F.col(f"_s_{c}"))
-        if c == p:
-            message = F.lit(f"MERGE into {mart.name}: a target row matches more than one source row")
-            v = F.when(matched & (F.col("_s_n") > 1), F.raise_error(message)).otherwise(v)
         out.append(v.alias(c))
     return j.select(*out)
 
@@ -165,6 +173,8 @@ def upsert(source: DataFrame, mart: Mart, path: str) -> None:
         if len(values) < len(parts):
             cond = cond | F.col(p).isNull()
         target = target.filter(cond)
+    if repeated_matches(target, src, mart).limit(1).count():
+        raise MergeError(f"MERGE into {mart.name}: a target row matches more than one source row")
     merged = merged_rows(target, src, mart).checkpoint(eager=True)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(mart.partition_col).parquet(path))
