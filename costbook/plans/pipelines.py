@@ -98,3 +98,26 @@ def run_storage_analysis(spark: SparkSession, t: Telemetry, asof: AsOf, path: st
     # Reads only yesterday's partition and writes today's: no file is both
     # read and replaced by this job.
     sinks.append(storage_analysis_source(spark, t, asof, path), sinks.STORAGE_ANALYSIS, path, replace_partition)
+
+
+# --- the daily schedule ------------------------------------------------------------
+def run_daily(spark: SparkSession, t: Telemetry, asof: AsOf, marts_root: str, **opts) -> dict[str, str]:
+    """Run all seven pipelines for one as-of clock, marts below ``marts_root``.
+
+    The daily storage run precedes the monthly storage price, which reads its
+    mart (the scheduled scripts only leave half an hour between the two).
+    ``opts`` maps a pipeline name to its keyword options.  Returns the mart
+    paths.
+    """
+    paths = {name: f"{marts_root.rstrip('/')}/{name}" for name in sinks.MARTS}
+    run_editions_day_pricing(t, asof, paths["daily_editions_compute_pricing"],
+                             **opts.get("daily_editions_compute_pricing", {}))
+    run_ondemand_day_pricing(t, asof, paths["daily_ondemand_compute_pricing"],
+                             **opts.get("daily_ondemand_compute_pricing", {}))
+    run_daily_storage_usage(t, asof, paths["daily_storage_usage"], **opts.get("daily_storage_usage", {}))
+    run_query_analysis(t, asof, paths["query_analysis"], **opts.get("query_analysis", {}))
+    run_slot_analysis(t, asof, paths["slot_analysis"], **opts.get("slot_analysis", {}))
+    run_storage_analysis(spark, t, asof, paths["storage_analysis"], **opts.get("storage_analysis", {}))
+    run_monthly_storage_pricing(spark, t, asof, paths["daily_storage_usage"], paths["monthly_storage_pricing"],
+                                **opts.get("monthly_storage_pricing", {}))
+    return paths

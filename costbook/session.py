@@ -9,6 +9,23 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (apply with SparkSession.builder.config(map=...)).
+# AQE sizes the shuffles at run time, coalesces small partitions, splits
+# skewed ones and turns a join into a broadcast only when a side measured at
+# run time is small; Bloom filters trim the job-text scan to the selected jobs.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "costbook") -> SparkSession:
     """A local session configured like the tests and the bench expect."""
     return (

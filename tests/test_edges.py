@@ -215,3 +215,35 @@ def test_storage_prices_lookup(spark):
     cols = storage_prices(p, "asia-northeast1")
     r = spark.range(1).select(*[c.alias(k) for k, c in cols.items()]).collect()[0]
     assert tuple(r) == (1.0, 2.0, 3.0, 4.0)
+
+
+# --- opt-in corrections -------------------------------------------------------------------
+def test_months_back_admits_jobs_created_last_month(spark):
+    created = datetime(2023, 12, 31, 14, 0)  # 23:00 local on Dec 31
+    running = datetime(2023, 12, 31, 15, 30)  # 00:30 local on Jan 1
+    t = telemetry(spark, timeline=[period(job_id="late", reservation=RID, created=created, start=running)])
+    assert editions.edition_jobs(t.jobs_timeline, A).count() == 0
+    assert editions.edition_jobs(t.jobs_timeline, A, months_back=1).count() == 1
+
+
+def test_previous_local_day_window(spark):
+    starts = {"a": datetime(2024, 1, 28, 14, 59, 59), "b": datetime(2024, 1, 28, 15), "c": datetime(2024, 1, 29, 20, 55),
+              "d": datetime(2024, 1, 29, 21), "e": datetime(2024, 1, 30, 5, 0)}
+    t = telemetry(spark, jobs=[job(job_id=k, start=v) for k, v in starts.items()])
+    as_written = {r["job_id"] for r in jobs.filter_recent_window(t.jobs, "start_time", A).collect()}
+    local_day = {r["job_id"] for r in jobs.filter_recent_window(t.jobs, "start_time", A, "previous_local_day").collect()}
+    assert as_written == {"c", "d", "e"}  # starts from 21:00 UTC on are future instants, yet counted
+    assert local_day == {"b", "c"}
+
+
+def test_timeline_states(spark):
+    ts = datetime(2024, 1, 29, 12)
+    t = telemetry(spark, jobs=[job(job_id="a", reservation=RID, start=ts)],
+                  timeline=[period(job_id="a", reservation=RID, start=ts, ms=6_000_000, state="RUNNING"),
+                            period(job_id="a", reservation=RID, start=ts.replace(second=1), ms=6_000_000,
+                                   state="DONE")])
+    done_only = pipelines.slot_analysis_source(t, A).collect()[0]
+    every = pipelines.slot_analysis_source(t, A, timeline_states=None).collect()[0]
+    # 6000 slot-seconds in the minute -> 100 -> 1.67 slot-hours; both periods -> 200 -> 3.34
+    assert done_only["slot_min"] == 1.67 and every["slot_min"] == 3.34
+    assert done_only["slot_max"] == 100.0 and every["slot_max"] == 100.0  # peak second 6000 either way: 6000/3600*60/100
