@@ -2,8 +2,9 @@
 
 The scheduled scripts loop over keys and run one statement per key; one
 variant stops at the first unreadable source, the other skips it.  Here each
-source is a path; all readable ones are read into one DataFrame with
-``unionByName`` (a single Spark job later scans them all in parallel).
+source is a path; all readable ones are read by a single scan over the list
+of paths (one plan node however many projects there are, and one Spark job
+later reads them all in parallel).
 
 Lazy evaluation hides some failures: a missing path fails at once, but a
 corrupt file would fail only when the union runs.  Each source is therefore
@@ -15,11 +16,9 @@ passes the check may still fail in the later job; that error is not caught.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType  # noqa: F401
+from pyspark.sql.types import StructType
 
 
 class FanInError(RuntimeError):
@@ -33,14 +32,13 @@ class FanInResult:
     skipped: dict[str, str] = field(default_factory=dict)
 
 
-def _open(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def _check(spark: SparkSession, path: str, schema: StructType) -> None:
     # Reading without a schema makes Spark list the files and read their
     # footers now; a missing folder or a corrupt footer raises here.
     probe = spark.read.parquet(path)
     missing = [f.name for f in schema.fields if f.name not in probe.columns]
     if missing:
         raise FanInError(f"{path}: missing columns {missing}")
-    return probe.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def fan_in(
@@ -56,18 +54,20 @@ def fan_in(
     """
     if on_error not in ("raise", "skip"):
         raise ValueError(on_error)
-    frames, result = [], FanInResult(frame=None)  # type: ignore[arg-type]
+    paths, result = [], FanInResult(frame=None)  # type: ignore[arg-type]
     for key in sorted(sources):
         path = sources[key]
         try:
-            frames.append(_open(spark, path, schema))
+            _check(spark, path, schema)
+            paths.append(path)
             result.read.append(key)
         except Exception as exc:  # noqa: BLE001 - reported, or re-raised
             if on_error == "raise":
                 raise FanInError(f"source {key!r} at {path} is unreadable: {exc}") from exc
             result.skipped[key] = type(exc).__name__
-    if frames:
-        result.frame = reduce(lambda a, b: a.unionByName(b), frames)
+    if paths:
+        df = spark.read.schema(schema).parquet(*paths)
+        result.frame = df.select(*[F.col(f.name) for f in schema.fields])
     else:
         result.frame = spark.createDataFrame([], schema)
     return result
