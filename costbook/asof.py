@@ -11,10 +11,10 @@ from dataclasses import dataclass
 from datetime import date, datetime, timedelta, timezone
 from zoneinfo import ZoneInfo
 
-# Fixed values of the scheduled scripts: region of the telemetry views and of
-# the price rows, and the zone in which "today" and month boundaries are taken.
-DEFAULT_REGION = "asia-northeast1"
-DEFAULT_ZONE = "Asia/Tokyo"
+from costbook.constants import RECENT_WINDOW_LAG_MINUTES, REGION, ZONE
+
+DEFAULT_REGION = REGION
+DEFAULT_ZONE = ZONE
 
 
 def _month_start(d: date, shift: int = 0) -> date:
@@ -85,11 +85,11 @@ class AsOf:
         the whole previous local day and today's local hours, as true instants.
         """
         start_local = datetime(self.yesterday.year, self.yesterday.month, self.yesterday.day)
-        end_local = self.local_now - timedelta(minutes=5)
+        end_local = self.local_now - timedelta(minutes=RECENT_WINDOW_LAG_MINUTES)
         if mode == "as_written":
             return start_local, end_local
         if mode == "previous_local_day":
-            return self.utc_of_local(start_local), self.instant - timedelta(minutes=5)
+            return self.utc_of_local(start_local), self.instant - timedelta(minutes=RECENT_WINDOW_LAG_MINUTES)
         raise ValueError(f"unknown window mode {mode!r}")
 
     # --- labels stamped on mart rows ---------------------------------------

@@ -17,6 +17,7 @@ from costbook.functions.units import (  # noqa: F401
     TIB,
     ceil_hundreds,
     ms_between,
+    slot_hour_cents,
     slot_hours,
 )
 from costbook.functions.ids import admin_project  # noqa: F401

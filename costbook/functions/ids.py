@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from costbook.constants import ADMIN_PROJECT_DROP, ADMIN_PROJECT_PATTERN
+
 
 def admin_project(reservation_id: str | Column) -> Column:
     """Administration project of a reservation id ``project:location.name``.
@@ -14,4 +16,4 @@ def admin_project(reservation_id: str | Column) -> Column:
     ``example.comp``).  An id without a colon gives NULL.
     """
     c = F.col(reservation_id) if isinstance(reservation_id, str) else reservation_id
-    return F.replace(F.regexp_substr(c, F.lit("^.*:")), F.lit(":"), F.lit(""))
+    return F.replace(F.regexp_substr(c, F.lit(ADMIN_PROJECT_PATTERN)), F.lit(ADMIN_PROJECT_DROP), F.lit(""))

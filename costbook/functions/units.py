@@ -11,21 +11,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Binary units of the scripts (GiB = 1024^3 bytes, TiB = 1024^4).
-GIB = float(1024**3)
-TIB = float(1024**4)
+from costbook.constants import GIB, SLOT_ROUNDING, TIB  # noqa: F401  (units re-exported)
 
 
 def ceil_hundreds(x: Column) -> Column:
     """``CEIL(x / 100) * 100`` kept as a whole number (bigint)."""
-    return F.ceil(x / F.lit(100.0)) * F.lit(100)
+    return F.ceil(x / F.lit(float(SLOT_ROUNDING))) * F.lit(SLOT_ROUNDING)
 
 
-def slot_hours(slot_sec_minutes_sum: Column) -> Column:
-    """``CEIL(SUM(m) / 3600 * 60 * 100) / 100`` from the summed per-minute
-    values ``m``; the operation order is that of the scripts."""
+def slot_hour_cents(slot_sec_minutes_sum: Column) -> Column:
+    """``CEIL(SUM(m) / 3600 * 60 * 100)``: slot-hours in whole hundredths,
+    from the summed per-minute values ``m``, in the scripts' operation order."""
     x = slot_sec_minutes_sum.cast("double") / F.lit(3600.0) * F.lit(60.0) * F.lit(100.0)
-    return F.ceil(x).cast("double") / F.lit(100.0)
+    return F.ceil(x)
+
+
+def slot_hours(slot_sec_minutes_sum: Column) -> Column:
+    """``CEIL(SUM(m) / 3600 * 60 * 100) / 100``."""
+    return slot_hour_cents(slot_sec_minutes_sum).cast("double") / F.lit(100.0)
 
 
 def ms_between(start: str | Column, end: str | Column) -> Column:

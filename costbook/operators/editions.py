@@ -22,20 +22,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costbook.asof import AsOf
+from costbook.constants import EXCLUDED_RESERVATION, HOURS_PER_DAY, SCRIPT_STATEMENT
 from costbook.functions import (
     admin_project,
+    ceil_hundreds,
     day_partition_bounds,
     in_range,
     local_date,
     month_labels,
+    slot_hour_cents,
     trunc_hour,
     trunc_minute,
 )
 from costbook.operators.prices import edition_price
 from costbook.session import scratch_root
 
-# Fixed value: the reservation id the editions script leaves out.
-EXCLUDED_RESERVATION = "default-pipeline"
 
 
 # --- predicates ---------------------------------------------------------------
@@ -60,7 +61,7 @@ def filter_reserved_jobs(timeline: DataFrame) -> DataFrame:
     """Reserved jobs only; scripts are left out, a NULL statement type is kept."""
     rid, st = F.col("reservation_id"), F.col("statement_type")
     return timeline.filter(
-        rid.isNotNull() & (rid != F.lit(EXCLUDED_RESERVATION)) & ((st != F.lit("SCRIPT")) | st.isNull())
+        rid.isNotNull() & (rid != F.lit(EXCLUDED_RESERVATION)) & ((st != F.lit(SCRIPT_STATEMENT)) | st.isNull())
     )
 
 
@@ -140,8 +141,8 @@ def edition_slot_minute(totals: DataFrame, res: DataFrame) -> DataFrame:
     )
     b = F.col("baseline")
     net_ms = F.col("slot_ms") - F.lit(1000) * F.col("n_periods") * b
-    per_minute = F.when(b > 0, F.ceil(net_ms.cast("double") / 1000.0 / 60.0 / 100.0) * 100).otherwise(
-        F.ceil(F.col("slot_ms").cast("double") / 1000.0 / 60.0 / 100.0) * 100
+    per_minute = F.when(b > 0, ceil_hundreds(net_ms.cast("double") / 1000.0 / 60.0)).otherwise(
+        ceil_hundreds(F.col("slot_ms").cast("double") / 1000.0 / 60.0)
     )
     return g.select("reservation_id", "period_minute", "baseline", "edition", per_minute.alias("slot_sec_minute"))
 
@@ -150,7 +151,7 @@ def edition_slot_hour(minutes: DataFrame) -> DataFrame:
     """Optimistic slot-hours per hour: ``CEIL(SUM(m)/3600*60*100)/100``.
 
     ``slot_hour_cents`` keeps the whole number of hundredths."""
-    cents = F.ceil(F.sum("slot_sec_minute").cast("double") / 3600.0 * 60.0 * 100.0)
+    cents = slot_hour_cents(F.sum("slot_sec_minute"))
     return minutes.groupBy(
         "reservation_id", trunc_hour("period_minute").alias("period_hour"), "edition", "baseline"
     ).agg(cents.alias("slot_hour_cents"))
@@ -172,7 +173,7 @@ def edition_day_cost(hours: DataFrame, prices: DataFrame, asof: AsOf, latest_per
         labels["year"].alias("year"),
         labels["year_month"].alias("year_month"),
         "edition",
-        ((F.col("baseline") * 24).cast("double") * F.col("unit_price")).alias("baseline_cost"),
+        ((F.col("baseline") * HOURS_PER_DAY).cast("double") * F.col("unit_price")).alias("baseline_cost"),
         "unit_price",
         "slot_hour_cents",
     )

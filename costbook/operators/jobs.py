@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costbook.asof import AsOf
+from costbook.constants import FINISHED_STATE
 from costbook.functions import TIB, between_closed, date_lit, day_partition_bounds, ms_between
 
 JOB_KEYS = ["project_id", "job_id", "user_email"]
@@ -27,7 +28,7 @@ def filter_recent_window(df: DataFrame, column: str, asof: AsOf, window: str = "
     return df.filter(between_closed(column, lo, hi) & day_partition_bounds(df.columns, column, lo, hi))
 
 
-def filter_states(df: DataFrame, states=("DONE",)) -> DataFrame:
+def filter_states(df: DataFrame, states=(FINISHED_STATE,)) -> DataFrame:
     """``state = 'DONE'`` by default; ``states=None`` keeps every state."""
     if states is None:
         return df
@@ -39,7 +40,7 @@ def job_seconds(jobs: DataFrame) -> DataFrame:
     return jobs.withColumn("query_execution_seconds", ms_between("start_time", "end_time").cast("double") / 1000.0)
 
 
-def recent_jobs(jobs: DataFrame, asof: AsOf, window: str = "as_written", states=("DONE",)) -> DataFrame:
+def recent_jobs(jobs: DataFrame, asof: AsOf, window: str = "as_written", states=(FINISHED_STATE,)) -> DataFrame:
     return filter_states(filter_recent_window(jobs, "start_time", asof, window), states)
 
 
@@ -57,7 +58,7 @@ def job_statements(job_text: DataFrame) -> DataFrame:
 
 
 def query_analysis_rows(jobs: DataFrame, job_text: DataFrame, asof: AsOf, window: str = "as_written",
-                        states=("DONE",)) -> DataFrame:
+                        states=(FINISHED_STATE,)) -> DataFrame:
     """Rows appended to the query-analysis mart."""
     billed = job_billed(recent_jobs(jobs, asof, window, states))
     joined = billed.join(job_statements(job_text), on=JOB_KEYS, how="left")

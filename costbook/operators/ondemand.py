@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costbook.asof import AsOf
+from costbook.constants import SCRIPT_STATEMENT
 from costbook.functions import TIB, day_partition_bounds, in_range, local_date, month_labels
 from costbook.operators.prices import ON_DEMAND_CLASS, compute_price
 
@@ -18,7 +19,7 @@ def filter_two_month_window(jobs: DataFrame, asof: AsOf) -> DataFrame:
 
 def filter_ondemand_jobs(jobs: DataFrame) -> DataFrame:
     """No reservation, and not a script; a NULL statement type is dropped."""
-    return jobs.filter(F.col("reservation_id").isNull() & (F.col("statement_type") != F.lit("SCRIPT")))
+    return jobs.filter(F.col("reservation_id").isNull() & (F.col("statement_type") != F.lit(SCRIPT_STATEMENT)))
 
 
 def ondemand_day_cost(jobs: DataFrame, prices: DataFrame, asof: AsOf, latest_per_key: bool = False) -> DataFrame:

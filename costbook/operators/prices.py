@@ -16,21 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Edition names as reported by the reservation views, and the
-# price-list class each one is priced with; other editions get no price.
-EDITION_CLASSES = {
-    "STANDARD": "standard",
-    "ENTERPRISE": "enterprise",
-    "ENTERPRISE_PLUS": "enterprise_plus",
-}
-ON_DEMAND_CLASS = "on_demand"
-# Storage class name -> price-list column.
-STORAGE_PRICE_COLUMNS = {
-    "logic_active": "active_logical_pricing",
-    "logic_long_term": "long_term_logical_pricing",
-    "comp_active": "active_compressed_pricing",
-    "comp_long_term": "long_term_compressed_pricing",
-}
+from costbook.constants import EDITION_CLASSES, ON_DEMAND_CLASS, STORAGE_PRICE_COLUMNS  # noqa: F401
 
 
 def _revision_filter(prices: DataFrame, key: Column, latest_per_key: bool) -> Column:

@@ -15,13 +15,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from costbook.asof import AsOf
-from costbook.functions import date_lit, trunc_minute
+from costbook.constants import FINISHED_STATE
+from costbook.functions import ceil_hundreds, date_lit, slot_hours, trunc_minute
 from costbook.operators.jobs import JOB_KEYS, filter_recent_window, filter_states, job_statements, job_seconds
 
 SLOT_KEYS = ["project_id", "job_id", "user_email", "reservation_id"]
 
 
-def recent_timeline(timeline: DataFrame, asof: AsOf, window: str = "as_written", states=("DONE",)) -> DataFrame:
+def recent_timeline(timeline: DataFrame, asof: AsOf, window: str = "as_written", states=(FINISHED_STATE,)) -> DataFrame:
     return filter_states(filter_recent_window(timeline, "period_start", asof, window), states)
 
 
@@ -40,25 +41,22 @@ def slot_minute(seconds: DataFrame) -> DataFrame:
     g = seconds.groupBy("period_minute", *SLOT_KEYS).agg(
         F.sum("slot_ms").alias("sum_ms"), F.max("slot_ms").alias("max_ms")
     )
-    avg = F.ceil(F.col("sum_ms").cast("double") / 1000.0 / 60.0 / 100.0) * 100
-    peak = F.ceil(F.col("max_ms").cast("double") / 1000.0 / 100.0) * 100
+    avg = ceil_hundreds(F.col("sum_ms").cast("double") / 1000.0 / 60.0)
+    peak = ceil_hundreds(F.col("max_ms").cast("double") / 1000.0)
     return g.select("period_minute", *SLOT_KEYS, avg.alias("slot_sec_average_in_minute"),
                     peak.alias("slot_sec_max_in_minute"))
 
 
 def slot_job_hours(minutes: DataFrame) -> DataFrame:
     """Optimistic and pessimistic slot-hours per job: ``CEIL(SUM(m)/3600*60*100)/100``."""
-    def hours(col: str):
-        return F.ceil(F.sum(col).cast("double") / 3600.0 * 60.0 * 100.0).cast("double") / 100.0
-
     return minutes.groupBy(*SLOT_KEYS).agg(
-        hours("slot_sec_average_in_minute").alias("optimistic_slot_hour"),
-        hours("slot_sec_max_in_minute").alias("pessmistic_slot_hour"),
+        slot_hours(F.sum("slot_sec_average_in_minute")).alias("optimistic_slot_hour"),
+        slot_hours(F.sum("slot_sec_max_in_minute")).alias("pessmistic_slot_hour"),
     )
 
 
 def slot_analysis_rows(jobs: DataFrame, timeline: DataFrame, job_text: DataFrame, asof: AsOf,
-                       window: str = "as_written", states=("DONE",), timeline_states=("DONE",)) -> DataFrame:
+                       window: str = "as_written", states=(FINISHED_STATE,), timeline_states=(FINISHED_STATE,)) -> DataFrame:
     """Rows appended to the slot-analysis mart."""
     recent = job_seconds(filter_states(filter_recent_window(jobs, "start_time", asof, window), states)).select(
         "project_id", "reservation_id", "job_id", "user_email", "cache_hit", "start_time", "end_time",

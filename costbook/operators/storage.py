@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costbook.asof import AsOf
+from costbook.constants import BILLING_MODEL_OPTION, DEFAULT_MODEL, PHYSICAL_MODEL
 from costbook.functions import GIB, date_lit
 from costbook.operators.prices import storage_prices
 
@@ -26,7 +27,7 @@ SIZE_COLUMNS = ["logic_active", "logic_long_term", "comp_active", "comp_long_ter
 # --- billing model ---------------------------------------------------------------
 def billing_model(schema_options: DataFrame) -> DataFrame:
     """``(project_id, dataset_id, storage_type)`` from the schema options."""
-    return schema_options.filter(F.col("option_name") == F.lit("storage_billing_model")).select(
+    return schema_options.filter(F.col("option_name") == F.lit(BILLING_MODEL_OPTION)).select(
         F.col("catalog_name").alias("project_id"),
         F.col("schema_name").alias("dataset_id"),
         F.col("option_value").alias("storage_type"),
@@ -36,8 +37,8 @@ def billing_model(schema_options: DataFrame) -> DataFrame:
 def _classify(storage_type: Column, explicit_logical: bool) -> dict[str, Column]:
     logical = storage_type.isNull()
     if explicit_logical:
-        logical = logical | (storage_type == F.lit("LOGICAL"))
-    physical = storage_type == F.lit("PHYSICAL")
+        logical = logical | (storage_type == F.lit(DEFAULT_MODEL))
+    physical = storage_type == F.lit(PHYSICAL_MODEL)
     zero = F.lit(0).cast("bigint")
     return {
         "active_logical_bytes": F.when(logical, F.col("active_logical_bytes")).otherwise(zero),
@@ -139,7 +140,7 @@ def storage_analysis_rows(table_storage: DataFrame, billing: DataFrame, prev: Da
     typed = diff.join(billing, on=DATASET_KEYS, how="left")
     return typed.select(
         *DATASET_KEYS,
-        F.coalesce(F.col("storage_type"), F.lit("LOGICAL")).alias("storage_type"),
+        F.coalesce(F.col("storage_type"), F.lit(DEFAULT_MODEL)).alias("storage_type"),
         *SIZE_COLUMNS,
         *[f"diff_{c}" for c in SIZE_COLUMNS],
         date_lit(asof.today).alias("date"),

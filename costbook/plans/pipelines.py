@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from costbook.asof import AsOf
+from costbook.constants import FINISHED_STATE
 from costbook.operators import sinks
 from costbook.operators.editions import editions_source
 from costbook.operators.jobs import query_analysis_rows
@@ -67,7 +68,7 @@ def run_monthly_storage_pricing(spark: SparkSession, t: Telemetry, asof: AsOf, d
 
 
 # --- P5 -------------------------------------------------------------------------
-def query_analysis_source(t: Telemetry, asof: AsOf, window: str = "as_written", states=("DONE",)) -> DataFrame:
+def query_analysis_source(t: Telemetry, asof: AsOf, window: str = "as_written", states=(FINISHED_STATE,)) -> DataFrame:
     return query_analysis_rows(t.jobs, t.job_text, asof, window, states)
 
 
@@ -76,8 +77,8 @@ def run_query_analysis(t: Telemetry, asof: AsOf, path: str, replace_partition: b
 
 
 # --- P6 -------------------------------------------------------------------------
-def slot_analysis_source(t: Telemetry, asof: AsOf, window: str = "as_written", states=("DONE",),
-                         timeline_states=("DONE",)) -> DataFrame:
+def slot_analysis_source(t: Telemetry, asof: AsOf, window: str = "as_written", states=(FINISHED_STATE,),
+                         timeline_states=(FINISHED_STATE,)) -> DataFrame:
     return slot_analysis_rows(t.jobs, t.jobs_timeline, t.job_text, asof, window, states, timeline_states)
 
 
