@@ -213,8 +213,8 @@ def test_storage_prices_lookup(spark):
     p = frame(spark, schemas.PRICE_STORAGE, [(1.0, 2.0, 3.0, 4.0, "asia-northeast1", date(2024, 1, 1)),
                                              (9.0, 9.0, 9.0, 9.0, "asia-northeast1", date(2023, 1, 1))])
     cols = storage_prices(p, "asia-northeast1")
-    r = spark.range(1).select(*[c.alias(k) for k, c in cols.items()]).collect()[0]
-    assert tuple(r) == (1.0, 2.0, 3.0, 4.0)
+    r = spark.range(1).select(*[c.alias(k) for k, c in cols.items()]).collect()[0].asDict()
+    assert r == {"logic_active": 1.0, "logic_long_term": 2.0, "comp_active": 3.0, "comp_long_term": 4.0}
 
 
 # --- opt-in corrections -------------------------------------------------------------------
