@@ -85,6 +85,7 @@ def reservation_minutes(
     reservations: DataFrame,
     minute_range=None,
     dedupe_projects: bool = False,
+    weighted: bool = False,
 ) -> DataFrame:
     """The script's ``res`` table: reservation, baseline, minute, edition.
 
@@ -95,21 +96,35 @@ def reservation_minutes(
     reservations in a project repeat each minute ``n`` times, once per edition.
     ``dedupe_projects=True`` takes each project's timeline once.  An id that
     names no project fails the job.
+
+    ``weighted=True`` returns each row once with a ``copies`` column (``k``)
+    instead of ``k`` identical rows: a project with ``k`` reservations would
+    otherwise hold ``k`` squared rows per minute.
     """
-    admins = reservation_ids.select(_checked_admin(F.col("reservation_id")).alias("admin_project"))
+    ids = reservation_ids.select(_checked_admin(F.col("reservation_id")).alias("admin_project"))
     if dedupe_projects:
-        admins = admins.distinct()
+        admins = ids.distinct().withColumn("copies", F.lit(1).cast("bigint"))
+    else:
+        admins = ids.groupBy("admin_project").agg(F.count(F.lit(1)).alias("copies"))
     rt = reservation_timeline
     if minute_range is not None:
         rt = rt.filter(in_range("period_start", *minute_range)
                        & day_partition_bounds(rt.columns, "period_start", *minute_range))
     with_edition = rt.join(reservations, on=["project_id", "project_number"], how="left")
-    return with_edition.join(admins, with_edition["project_id"] == admins["admin_project"], "inner").select(
+    res = with_edition.join(admins, with_edition["project_id"] == admins["admin_project"], "inner").select(
         "reservation_id",
         F.col("slots_assigned").alias("baseline"),
         "period_start",
         "edition",
+        "copies",
     )
+    if weighted:
+        return res
+    # the script's table: ``copies`` identical rows (a bounded generator, no join)
+    return res.select(
+        "reservation_id", "baseline", "period_start", "edition",
+        F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("_copy"),
+    ).drop("_copy")
 
 
 # --- joins and roll-ups ------------------------------------------------------------
@@ -132,12 +147,15 @@ def edition_slot_minute(totals: DataFrame, res: DataFrame) -> DataFrame:
 
     ``CEIL(SUM(ms/1000 - baseline)/60/100)*100`` when the baseline is
     positive, else ``CEIL(SUM(ms/1000)/60/100)*100``; the baseline is
-    subtracted once per timeline row, as the script does.
+    subtracted once per timeline row, as the script does.  ``res`` may be
+    weighted (a ``copies`` column): a row standing for ``k`` copies adds its
+    totals ``k`` times.
     """
     r = res.withColumnRenamed("period_start", "period_minute")
+    copies = F.col("copies") if "copies" in res.columns else F.lit(1)
     joined = totals.join(r, on=["reservation_id", "period_minute"], how="inner")
     g = joined.groupBy("reservation_id", "period_minute", "baseline", "edition").agg(
-        F.sum("slot_ms").alias("slot_ms"), F.sum("n_periods").alias("n_periods")
+        F.sum(F.col("slot_ms") * copies).alias("slot_ms"), F.sum(F.col("n_periods") * copies).alias("n_periods")
     )
     b = F.col("baseline")
     net_ms = F.col("slot_ms") - F.lit(1000) * F.col("n_periods") * b
@@ -206,7 +224,8 @@ def editions_source(
     totals = minute_totals(edition_jobs(timeline, asof, months_back)).checkpoint(eager=True)
     ids = totals.select("reservation_id").distinct()
     res = reservation_minutes(
-        ids, reservation_timeline, reservations, minute_range=asof.month_window_utc(0), dedupe_projects=dedupe_projects
+        ids, reservation_timeline, reservations, minute_range=asof.month_window_utc(0),
+        dedupe_projects=dedupe_projects, weighted=True,
     )
     hours = edition_slot_hour(edition_slot_minute(totals, res))
     return edition_day_cost(hours, prices, asof, latest_per_key)

@@ -212,11 +212,11 @@ def reservation_admin_project(spark, sf_dir):
 
 
 # --- joins and aggregations ---------------------------------------------------------------
-def _month_res(t):
+def _month_res(t, weighted=False):
     job = editions.edition_jobs(t.jobs_timeline, ASOF)
     ids = job.select("reservation_id").distinct()
     return job, editions.reservation_minutes(ids, t.reservation_timeline, t.reservations,
-                                             minute_range=ASOF.month_window_utc(0))
+                                             minute_range=ASOF.month_window_utc(0), weighted=weighted)
 
 
 def join_timeline_reservation(spark, sf_dir):
@@ -225,7 +225,7 @@ def join_timeline_reservation(spark, sf_dir):
 
 
 def _edition_minutes(t):
-    job, res = _month_res(t)
+    job, res = _month_res(t, weighted=True)
     return editions.edition_slot_minute(editions.minute_totals(job), res)
 
 

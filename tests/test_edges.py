@@ -247,3 +247,17 @@ def test_timeline_states(spark):
     # 6000 slot-seconds in the minute -> 100 -> 1.67 slot-hours; both periods -> 200 -> 3.34
     assert done_only["slot_min"] == 1.67 and every["slot_min"] == 3.34
     assert done_only["slot_max"] == 100.0 and every["slot_max"] == 100.0  # peak second 6000 either way: 6000/3600*60/100
+
+
+def test_weighted_reservation_minutes_equal_repeated_rows(spark):
+    m = datetime(2024, 1, 29, 10)
+    rids = [f"adm:l.r{i}" for i in range(3)]
+    ids = spark.createDataFrame([(r,) for r in rids], "reservation_id string")
+    rt = frame(spark, schemas.RESERVATION_TIMELINE, [("adm", 7, r, 10 * i, m) for i, r in enumerate(rids)])
+    res = frame(spark, schemas.RESERVATIONS, [("adm", 7, "ENTERPRISE"), ("adm", 7, "ENTERPRISE_PLUS")])
+    repeated = editions.reservation_minutes(ids, rt, res)
+    weighted = editions.reservation_minutes(ids, rt, res, weighted=True)
+    assert repeated.count() == 3 * 2 * 3  # 3 reservations x 2 editions, the project's timeline 3 times
+    assert weighted.count() == 3 * 2 and {r["copies"] for r in weighted.collect()} == {3}
+    expanded = sorted(tuple(r)[:4] for r in weighted.collect() for _ in range(r["copies"]))
+    assert expanded == sorted(tuple(r) for r in repeated.collect())
