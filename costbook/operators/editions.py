@@ -11,7 +11,9 @@ Plan shape, and why:
   from one row per job-second to one row per reservation-minute.  A hot
   reservation cannot skew this: the key includes the minute.
 * The reservation timeline is cut to the minutes the filtered timeline can
-  reach (the join is inner, so no result changes).
+  reach (the join is inner, so no result changes), and a project's timeline
+  that the scripts insert once per reservation id is kept once with a copy
+  count that multiplies the sums.
 * Sums stay integers (ms, whole hundreds) and are divided once, so results do
   not depend on row order.
 """
@@ -38,7 +40,6 @@ from costbook.operators.prices import edition_price
 from costbook.session import scratch_root
 
 
-
 # --- predicates ---------------------------------------------------------------
 def filter_month_window(timeline: DataFrame, asof: AsOf, months_back: int = 0) -> DataFrame:
     """Jobs created, and periods started, in the current local month.
