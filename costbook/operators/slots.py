@@ -22,7 +22,8 @@ from costbook.operators.jobs import JOB_KEYS, filter_recent_window, filter_state
 SLOT_KEYS = ["project_id", "job_id", "user_email", "reservation_id"]
 
 
-def recent_timeline(timeline: DataFrame, asof: AsOf, window: str = "as_written", states=(FINISHED_STATE,)) -> DataFrame:
+def recent_timeline(timeline: DataFrame, asof: AsOf, window: str = "as_written",
+                    states=(FINISHED_STATE,)) -> DataFrame:
     return filter_states(filter_recent_window(timeline, "period_start", asof, window), states)
 
 
@@ -56,7 +57,8 @@ def slot_job_hours(minutes: DataFrame) -> DataFrame:
 
 
 def slot_analysis_rows(jobs: DataFrame, timeline: DataFrame, job_text: DataFrame, asof: AsOf,
-                       window: str = "as_written", states=(FINISHED_STATE,), timeline_states=(FINISHED_STATE,)) -> DataFrame:
+                       window: str = "as_written", states=(FINISHED_STATE,),
+                       timeline_states=(FINISHED_STATE,)) -> DataFrame:
     """Rows appended to the slot-analysis mart."""
     recent = job_seconds(filter_states(filter_recent_window(jobs, "start_time", asof, window), states)).select(
         "project_id", "reservation_id", "job_id", "user_email", "cache_hit", "start_time", "end_time",

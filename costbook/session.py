@@ -21,6 +21,11 @@ CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "8000",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # a day of selected jobs is far above the 10 MB default creation side; a
+    # filter of tens of millions of job keys is still only tens of MB of bits
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "100000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "536870912",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
