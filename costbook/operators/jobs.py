@@ -7,7 +7,8 @@ sort-merge join with the text both accept that partitioning, so the jobs side
 is shuffled a single time (a roll-up of one row per job gains nothing from a
 map-side partial sum).
 Job text is read whole (the scripts put no time filter on it); Spark's
-runtime Bloom filter and adaptive broadcast trim it to the selected jobs.
+runtime Bloom filter, built from the selected jobs, trims it before its
+shuffle.
 """
 
 from __future__ import annotations
@@ -60,8 +61,15 @@ def job_statements(job_text: DataFrame) -> DataFrame:
 def query_analysis_rows(jobs: DataFrame, job_text: DataFrame, asof: AsOf, window: str = "as_written",
                         states=(FINISHED_STATE,)) -> DataFrame:
     """Rows appended to the query-analysis mart."""
-    billed = job_billed(recent_jobs(jobs, asof, window, states))
-    joined = billed.join(job_statements(job_text), on=JOB_KEYS, how="left")
+    recent = recent_jobs(jobs, asof, window, states)
+    billed = job_billed(recent)
+    # Keeping only text rows of the selected jobs changes nothing in a left
+    # join, but gives Spark a plain filtered scan to build its runtime Bloom
+    # filter from (it cannot see through the roll-up), so the whole job-text
+    # table is filtered before it is shuffled; the semi-join's partitioning is
+    # then reused by the left join.
+    statements = job_statements(job_text).join(recent.select(*JOB_KEYS), on=JOB_KEYS, how="left_semi")
+    joined = billed.join(statements, on=JOB_KEYS, how="left")
     return joined.select(
         "project_id",
         "job_id",

@@ -62,15 +62,36 @@ def test_slot_rollups_shuffle_twice(exported):
     assert len(exchanges) == 2, exchanges
 
 
-def test_query_analysis_shuffles_jobs_once(spark, exported):
+def test_query_analysis_shuffles(spark, exported):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the plan a large input gets
     try:
         df = jobs.query_analysis_rows(exported.jobs, exported.job_text, A)
-        exchanges = re.findall(r"Exchange hashpartitioning", _plan(df))
+        exchanges = re.findall(r"Exchange hashpartitioning\((\w+)", _plan(df))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # jobs placed once by the join keys (reused by the eight-key roll-up and the join), text once
-    assert len(exchanges) == 2
+    # jobs placed once by the join keys (reused by the eight-key roll-up and the
+    # join), job text once (reused by the left join), and the selected job keys
+    assert len(exchanges) == 3, exchanges
+
+
+@pytest.mark.parametrize("build", [
+    lambda t: jobs.query_analysis_rows(t.jobs, t.job_text, A),
+    lambda t: slots.slot_analysis_rows(t.jobs, t.jobs_timeline, t.job_text, A),
+])
+def test_job_text_gets_a_runtime_bloom_filter(spark, exported, build):
+    """With job text large enough (threshold lowered here), Spark filters it by
+    the selected jobs' keys before shuffling it."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        optimized = build(exported)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert "might_contain" in optimized
 
 
 @pytest.fixture(scope="module")
