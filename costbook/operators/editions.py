@@ -36,6 +36,7 @@ from costbook.functions import (
     trunc_hour,
     trunc_minute,
 )
+from costbook.operators.lookups import broadcast_if_small
 from costbook.operators.prices import edition_price
 from costbook.session import scratch_root
 
@@ -111,7 +112,11 @@ def reservation_minutes(
     if minute_range is not None:
         rt = rt.filter(in_range("period_start", *minute_range)
                        & day_partition_bounds(rt.columns, "period_start", *minute_range))
-    with_edition = rt.join(reservations, on=["project_id", "project_number"], how="left")
+    # Both lookups are per-project lists; broadcasting them (after a row count)
+    # keeps the timeline, whose rows share a handful of project keys, from
+    # being shuffled by project.
+    admins = broadcast_if_small(admins)
+    with_edition = rt.join(broadcast_if_small(reservations), on=["project_id", "project_number"], how="left")
     res = with_edition.join(admins, with_edition["project_id"] == admins["admin_project"], "inner").select(
         "reservation_id",
         F.col("slots_assigned").alias("baseline"),

@@ -173,3 +173,25 @@ def test_rollups_do_not_depend_on_row_order(spark, layout):
     ref = _rows(editions.edition_slot_minute(editions.minute_totals(job), res))
     got = _rows(editions.edition_slot_minute(editions.minute_totals(layout(job)), layout(res)))
     assert ref == got
+
+
+def test_broadcast_if_small(spark):
+    from costbook.operators.lookups import broadcast_if_small
+
+    small = spark.range(10)
+    assert "ResolvedHint" in small.hint("broadcast")._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in broadcast_if_small(small)._jdf.queryExecution().analyzed().toString().lower()
+    big = spark.range(50)
+    assert "broadcast" not in broadcast_if_small(big, max_rows=10)._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_reservation_timeline_is_not_shuffled_by_project(spark, exported):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = exported
+        plan = _plan(editions.editions_source(t.jobs_timeline, t.reservation_timeline, t.reservations,
+                                              t.price_compute, A))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not re.search(r"hashpartitioning\(project_id#\d+, project_number", plan)
+    assert "BroadcastHashJoin" in plan
