@@ -88,6 +88,7 @@ def reservation_minutes(
     minute_range=None,
     dedupe_projects: bool = False,
     weighted: bool = False,
+    match_reservation: bool = False,
 ) -> DataFrame:
     """The script's ``res`` table: reservation, baseline, minute, edition.
 
@@ -99,6 +100,10 @@ def reservation_minutes(
     ``dedupe_projects=True`` takes each project's timeline once.  An id that
     names no project fails the job.
 
+    ``match_reservation=True`` also matches the reservation name (the part
+    of the id after its last dot) against the reservations' ``reservation_name``,
+    so each minute gets its own reservation's edition only.
+
     ``weighted=True`` returns each row once with a ``copies`` column (``k``)
     instead of ``k`` identical rows: a project with ``k`` reservations would
     otherwise hold ``k`` squared rows per minute.
@@ -116,7 +121,15 @@ def reservation_minutes(
     # keeps the timeline, whose rows share a handful of project keys, from
     # being shuffled by project.
     admins = broadcast_if_small(admins)
-    with_edition = rt.join(broadcast_if_small(reservations), on=["project_id", "project_number"], how="left")
+    keys = ["project_id", "project_number"]
+    lookup = reservations.select(*keys, "edition")
+    if match_reservation:
+        if "reservation_name" not in reservations.columns:
+            raise ValueError("match_reservation needs a reservation_name column in the reservations")
+        rt = rt.withColumn("_reservation_name", F.substring_index("reservation_id", ".", -1))
+        lookup = reservations.select(*keys, F.col("reservation_name").alias("_reservation_name"), "edition")
+        keys = keys + ["_reservation_name"]
+    with_edition = rt.join(broadcast_if_small(lookup), on=keys, how="left")
     res = with_edition.join(admins, with_edition["project_id"] == admins["admin_project"], "inner").select(
         "reservation_id",
         F.col("slots_assigned").alias("baseline"),
@@ -217,6 +230,7 @@ def editions_source(
     months_back: int = 0,
     dedupe_projects: bool = False,
     latest_per_key: bool = False,
+    match_reservation: bool = False,
 ) -> DataFrame:
     """The whole editions roll-up, ready for the upsert.
 
@@ -231,7 +245,7 @@ def editions_source(
     ids = totals.select("reservation_id").distinct()
     res = reservation_minutes(
         ids, reservation_timeline, reservations, minute_range=asof.month_window_utc(0),
-        dedupe_projects=dedupe_projects, weighted=True,
+        dedupe_projects=dedupe_projects, weighted=True, match_reservation=match_reservation,
     )
     hours = edition_slot_hour(edition_slot_minute(totals, res))
     return edition_day_cost(hours, prices, asof, latest_per_key)

@@ -368,6 +368,11 @@ def editions_dedupe_projects(spark, sf_dir):
     return pipelines.editions_day_pricing_source(_t(spark, sf_dir), ASOF, dedupe_projects=True)
 
 
+def editions_match_reservation(spark, sf_dir):
+    """Give each reservation's minutes its own edition only (match by name too)."""
+    return pipelines.editions_day_pricing_source(_t(spark, sf_dir), ASOF, match_reservation=True)
+
+
 def ondemand_latest_per_key(spark, sf_dir):
     """Newest price per class and region, not over the whole price list."""
     return pipelines.ondemand_day_pricing_source(_t(spark, sf_dir), ASOF, latest_per_key=True)

@@ -43,6 +43,8 @@ RESERVATION_TIMELINE = _struct(
     "period_start TIMESTAMP_NTZ"
 )
 RESERVATIONS = _struct("project_id STRING, project_number BIGINT, edition STRING")
+# Read when an export carries it; only the ``match_reservation`` option uses it.
+RESERVATIONS_OPTIONAL = _struct("reservation_name STRING")
 TABLE_STORAGE = _struct(
     "project_id STRING, table_schema STRING, table_name STRING, "
     "active_logical_bytes BIGINT, long_term_logical_bytes BIGINT, "

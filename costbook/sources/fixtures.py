@@ -217,6 +217,7 @@ def reservations(timeline: DataFrame) -> DataFrame:
         admin.alias("project_id"),
         _project_number(admin).alias("project_number"),
         _edition_of(F.col("reservation_id")).alias("edition"),
+        F.substring_index("reservation_id", ".", -1).alias("reservation_name"),
     ).distinct()
 
 

@@ -52,6 +52,9 @@ class Telemetry:
         return replace(self, **frames)
 
 
+# Columns kept when an export has them (used by opt-in corrections only).
+OPTIONAL = {"reservations": schemas.RESERVATIONS_OPTIONAL.fields}
+
 # Day partition columns an export may be laid out by (UTC day of a timestamp):
 # jobs by ``creation_date``, timelines by ``period_date``.  When present they
 # are kept, and the window filters add the implied partition predicates.
@@ -68,7 +71,8 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     schema = TABLES[name]
     df = spark.read.option("basePath", f"{root}/{name}").parquet(f"{root}/{name}")
     parts = [F.col(c).cast("date").alias(c) for c in DAY_PARTITION_COLUMNS if c in df.columns]
-    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields], *parts)
+    optional = [df[f.name].cast(f.dataType).alias(f.name) for f in OPTIONAL.get(name, ()) if f.name in df.columns]
+    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields], *optional, *parts)
 
 
 def read_telemetry(spark: SparkSession, root: str) -> Telemetry:

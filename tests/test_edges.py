@@ -261,3 +261,18 @@ def test_weighted_reservation_minutes_equal_repeated_rows(spark):
     assert weighted.count() == 3 * 2 and {r["copies"] for r in weighted.collect()} == {3}
     expanded = sorted(tuple(r)[:4] for r in weighted.collect() for _ in range(r["copies"]))
     assert expanded == sorted(tuple(r) for r in repeated.collect())
+
+
+def test_match_reservation_gives_each_minute_its_own_edition(spark):
+    m = datetime(2024, 1, 29, 10)
+    ids = spark.createDataFrame([("adm:loc.ent",), ("adm:loc.plus",)], "reservation_id string")
+    rt = frame(spark, schemas.RESERVATION_TIMELINE, [("adm", 7, "adm:loc.ent", 0, m), ("adm", 7, "adm:loc.plus", 0, m)])
+    res = spark.createDataFrame([("adm", 7, "ENTERPRISE", "ent"), ("adm", 7, "ENTERPRISE_PLUS", "plus")],
+                                "project_id string, project_number bigint, edition string, reservation_name string")
+    as_written = editions.reservation_minutes(ids, rt, res, weighted=True).collect()
+    matched = editions.reservation_minutes(ids, rt, res, weighted=True, match_reservation=True).collect()
+    assert len(as_written) == 4  # every minute with both editions
+    assert sorted((r["reservation_id"], r["edition"]) for r in matched) == [
+        ("adm:loc.ent", "ENTERPRISE"), ("adm:loc.plus", "ENTERPRISE_PLUS")]
+    with pytest.raises(ValueError, match="reservation_name"):
+        editions.reservation_minutes(ids, rt, res.drop("reservation_name"), match_reservation=True)
