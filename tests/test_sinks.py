@@ -107,3 +107,45 @@ def test_editions_rerun_raises_on_repeated_keys(spark, tmp_dir):
     with pytest.raises(Exception, match="more than one source row"):
         pipelines.run_editions_day_pricing(t, DEFAULT_ASOF, path)
     assert sinks.read(spark, sinks.DAILY_EDITIONS_COMPUTE_PRICING, path).count() == first
+
+
+# --- property: upsert equals a plain model of MERGE -----------------------------------------
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_row = st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 9).map(float),
+                 st.sampled_from([date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)]))
+
+
+def _merge_model(target, source):
+    """Rows after MERGE on (project_id, date) updating cost; None if it must fail."""
+    out, matched_sources = [], set()
+    for t in target:
+        hits = [i for i, s in enumerate(source) if t[0] is not None and s[0] == t[0] and s[2] == t[2]]
+        if len(hits) > 1:
+            return None
+        if hits:
+            matched_sources.add(hits[0])
+            out.append((t[0], source[hits[0]][1], t[2]))
+        else:
+            out.append(t)
+    out += [s for i, s in enumerate(source) if i not in matched_sources]
+    return sorted(out, key=repr)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(target=st.lists(_row, max_size=6), source=st.lists(_row, min_size=1, max_size=5))
+def test_upsert_equals_merge_model(spark, target, source):
+    import tempfile
+
+    path = tempfile.mkdtemp(prefix="costbook-merge-") + "/m"
+    full = lambda rows: [(p, c, "2024", "2024-01", d) for p, c, d in rows]
+    sinks.append(src(spark, full(target)), M, path)
+    expected = _merge_model(target, source)
+    if expected is None:
+        with pytest.raises(sinks.MergeError):
+            sinks.upsert(src(spark, full(source)), M, path)
+        return
+    sinks.upsert(src(spark, full(source)), M, path)
+    got = sorted(((r[0], r[1], r[4]) for r in sinks.read(spark, M, path).collect()), key=repr)
+    assert got == expected
