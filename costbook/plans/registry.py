@@ -23,6 +23,7 @@ from costbook.plans import pipelines
 from costbook.session import scratch_path
 from costbook.sources import fixtures
 from costbook.sources.fanin import fan_in
+from costbook.sources.telemetry import read_table
 
 ASOF = DEFAULT_ASOF
 # The earlier scheduled run that seeds the merge targets: 2024-01-15 21:00 UTC,
@@ -40,20 +41,32 @@ def _seed_telemetry(spark: SparkSession, sf_dir: str):
 
 
 # --- sources -----------------------------------------------------------------------
+def _exported(spark, sf_dir, name: str, day_partition: str | None = None, of: str | None = None):
+    """Write one fixture table as an export below the scratch root, then read
+    it back with the export reader (fixed schema, day partitions kept)."""
+    root = scratch_path(spark, "export")
+    df = getattr(_t(spark, sf_dir), name)
+    if day_partition:
+        df.withColumn(day_partition, F.to_date(of)).write.partitionBy(day_partition).parquet(f"{root}/{name}")
+    else:
+        df.write.parquet(f"{root}/{name}")
+    return read_table(spark, root, name)
+
+
 def scan_jobs(spark, sf_dir):
-    return _t(spark, sf_dir).jobs
+    return _exported(spark, sf_dir, "jobs", "creation_date", "creation_time").drop("creation_date")
 
 
 def scan_jobs_timeline(spark, sf_dir):
-    return _t(spark, sf_dir).jobs_timeline
+    return _exported(spark, sf_dir, "jobs_timeline", "period_date", "period_start").drop("period_date")
 
 
 def scan_job_text(spark, sf_dir):
-    return _t(spark, sf_dir).job_text
+    return _exported(spark, sf_dir, "job_text")
 
 
 def scan_table_storage(spark, sf_dir):
-    return _t(spark, sf_dir).table_storage
+    return _exported(spark, sf_dir, "table_storage")
 
 
 def _edition_reservation_ids(t):
