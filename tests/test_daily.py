@@ -30,3 +30,16 @@ def test_run_daily_twice(spark, tmp_dir):
     day2 = sinks.read(spark, sinks.STORAGE_ANALYSIS, paths["storage_analysis"]).filter(
         F.col("date") == F.lit(nxt.today.isoformat()).cast("date"))
     assert {r[0] for r in day2.select("diff_logic_active").distinct().collect()} == {0.0}
+
+
+def test_daily_command_line(spark, tmp_dir, capsys):
+    from costbook.plans import daily
+    from costbook.sources.telemetry import TABLES
+
+    t = fixtures.telemetry(spark, SF_SMALL)
+    for name in TABLES:
+        getattr(t, name).write.parquet(f"{tmp_dir}/export/{name}")
+    daily.main(["--telemetry", f"{tmp_dir}/export", "--marts", f"{tmp_dir}/marts", "--asof", "2024-01-29T21:00:00"])
+    printed = dict(line.split("\t") for line in capsys.readouterr().out.strip().splitlines())
+    assert set(printed) == set(sinks.MARTS)
+    assert sinks.read(spark, sinks.SLOT_ANALYSIS, printed["slot_analysis"]).count() > 0
