@@ -56,3 +56,28 @@ def storage_price(prices: DataFrame, storage_class: str, region: str, latest_per
 
 def storage_prices(prices: DataFrame, region: str, latest_per_key: bool = False) -> dict[str, Column]:
     return {k: storage_price(prices, k, region, latest_per_key) for k in STORAGE_PRICE_COLUMNS}
+
+
+# --- maintaining the price lists ------------------------------------------------------
+def _write_prices(rows: DataFrame, schema, path: str) -> None:
+    missing = [f.name for f in schema.fields if f.name not in rows.columns]
+    if missing:
+        raise ValueError(f"price rows lack columns {missing}")
+    rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.mode("append").parquet(path)
+
+
+def append_compute_prices(rows: DataFrame, path: str) -> None:
+    """Add a revision to the compute price list at ``path`` (created if absent).
+
+    Rows keep older revisions; lookups use the newest ``application_start_date``.
+    """
+    from costbook.schemas import PRICE_COMPUTE
+
+    _write_prices(rows, PRICE_COMPUTE, path)
+
+
+def append_storage_prices(rows: DataFrame, path: str) -> None:
+    """Add a revision to the storage price list at ``path`` (created if absent)."""
+    from costbook.schemas import PRICE_STORAGE
+
+    _write_prices(rows, PRICE_STORAGE, path)

@@ -18,7 +18,7 @@ from costbook import schemas
 from costbook.asof import DEFAULT_ASOF, AsOf
 from costbook.functions import admin_project, date_lit
 from costbook.operators import editions, jobs, ondemand, sinks, slots, storage
-from costbook.operators.prices import edition_price, storage_prices
+from costbook.operators.prices import append_compute_prices, edition_price, storage_prices
 from costbook.plans import pipelines
 from costbook.session import scratch_path
 from costbook.sources import fixtures
@@ -170,9 +170,9 @@ def price_revision_append(spark, sf_dir):
     """Append the 2024-01-01 revision to a price list holding the first one,
     then cost on-demand use with the result."""
     path = scratch_path(spark, "price-compute")
-    fixtures.price_compute(spark, OLD_PRICES).write.mode("overwrite").parquet(path)
+    append_compute_prices(fixtures.price_compute(spark, OLD_PRICES), path)
     revision = fixtures.price_compute(spark).filter(F.col("application_start_date") > date_lit(OLD_PRICES))
-    revision.write.mode("append").parquet(path)
+    append_compute_prices(revision, path)
     prices = spark.read.schema(schemas.PRICE_COMPUTE).parquet(path)
     return ondemand.ondemand_day_cost(_t(spark, sf_dir).jobs, prices, ASOF)
 

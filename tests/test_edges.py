@@ -276,3 +276,18 @@ def test_match_reservation_gives_each_minute_its_own_edition(spark):
         ("adm:loc.ent", "ENTERPRISE"), ("adm:loc.plus", "ENTERPRISE_PLUS")]
     with pytest.raises(ValueError, match="reservation_name"):
         editions.reservation_minutes(ids, rt, res.drop("reservation_name"), match_reservation=True)
+
+
+def test_price_list_maintenance(spark, tmp_dir):
+    from costbook.operators.prices import append_compute_prices, append_storage_prices
+
+    path = f"{tmp_dir}/compute"
+    append_compute_prices(frame(spark, schemas.PRICE_COMPUTE, [("on_demand", 6.0, "asia-northeast1",
+                                                                date(2023, 7, 1))]), path)
+    append_compute_prices(frame(spark, schemas.PRICE_COMPUTE, [("on_demand", 7.5, "asia-northeast1",
+                                                                date(2024, 1, 1))]), path)
+    prices = spark.read.schema(schemas.PRICE_COMPUTE).parquet(path)
+    assert prices.count() == 2
+    assert spark.range(1).select(compute_price(prices, "asia-northeast1", "on_demand")).collect()[0][0] == 7.5
+    with pytest.raises(ValueError, match="lack columns"):
+        append_storage_prices(spark.createDataFrame([(1.0,)], "active_logical_pricing double"), f"{tmp_dir}/s")
