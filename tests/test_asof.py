@@ -1,6 +1,6 @@
 """The clock and the range rewrites of the month filters."""
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -56,3 +56,32 @@ def test_two_month_filter_is_a_range(today, delta):
 def test_recent_window_corrected():
     a = DEFAULT_ASOF
     assert a.recent_window("previous_local_day") == (datetime(2024, 1, 28, 15), datetime(2024, 1, 29, 20, 55))
+
+
+# --- zones other than the default: local dates and the range rewrite in Spark ------------------
+import pytest  # noqa: E402
+from zoneinfo import ZoneInfo  # noqa: E402
+
+ZONES = ["Asia/Tokyo", "America/New_York", "Europe/Berlin", "Asia/Kolkata", "Australia/Lord_Howe"]
+
+
+@pytest.mark.parametrize("zone", ZONES)
+@settings(max_examples=3, deadline=None)
+@given(seconds=st.lists(st.integers(0, 3 * 366 * 86400), min_size=50, max_size=200),
+       asof_seconds=st.integers(0, 3 * 366 * 86400))
+def test_local_date_and_month_range_in_spark(spark, zone, seconds, asof_seconds):
+    from pyspark.sql import functions as F
+
+    from costbook.functions import in_range, local_date
+
+    base = datetime(2023, 1, 1)
+    a = AsOf(base + timedelta(seconds=asof_seconds), zone)
+    lo, hi = a.month_window_utc(0)
+    one = timedelta(seconds=1)
+    instants = [base + timedelta(seconds=s) for s in seconds] + [lo - one, lo, hi - one, hi]
+    df = spark.createDataFrame([(t,) for t in instants], "ts timestamp_ntz")
+    rows = df.select("ts", local_date("ts", zone).alias("d"), in_range("ts", lo, hi).alias("r")).collect()
+    for r in rows:
+        expected = r["ts"].replace(tzinfo=timezone.utc).astimezone(ZoneInfo(zone)).date()
+        assert r["d"] == expected
+        assert r["r"] == (a.month_start(0) <= expected < a.month_start(1))
