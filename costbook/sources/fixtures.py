@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costbook import schemas
-from costbook.functions import admin_project, trunc_minute
+from costbook.functions import admin_project, ntz, trunc_minute
 from costbook.session import require_utc
 from costbook.sources.telemetry import Telemetry
 
@@ -313,8 +313,6 @@ def telemetry(spark: SparkSession, sf_dir: str, price_up_to: date | None = None)
 def known_at(t: Telemetry, instant) -> Telemetry:
     """The job telemetry as it stood at ``instant`` (for replaying an earlier
     scheduled run): jobs created, and timeline periods started, by then."""
-    from costbook.functions import ntz
-
     return t.with_(
         jobs=t.jobs.filter(F.col("creation_time") <= ntz(instant)),
         jobs_timeline=t.jobs_timeline.filter(F.col("period_start") <= ntz(instant)),
