@@ -3,8 +3,16 @@
 The timeline is hash-partitioned once on ``(project_id, job_id, minute)``.
 Both the per-second and the per-minute roll-ups group by supersets of these
 columns, so they run in place with no further shuffle; the minute in the key
-spreads a long-running hot job over many tasks.  The per-job roll-up then
-shuffles one row per job and minute, after a map-side partial sum.
+spreads a long-running hot job over many tasks (a single job cannot have more
+than one row per second, so its minutes are few).
+
+For the mart, the per-minute rows are then placed by the job keys
+``(project, job, user)``: the per-job roll-up runs in place, and so do the
+two left joins with the jobs (job text on the job keys, slot-hours on the job
+keys plus reservation).  The slot side carries, per job, a map from
+reservation to its slot-hours; looking up the job's own reservation is the
+four-key equality join (a NULL reservation finds nothing), with one
+partitioning shared by all three inputs.
 
 All sums are integer milliseconds or whole hundreds, divided once.
 """
@@ -56,6 +64,18 @@ def slot_job_hours(minutes: DataFrame) -> DataFrame:
     )
 
 
+def slot_hours_by_job(minutes: DataFrame) -> DataFrame:
+    """Per job keys: ``slot_by_reservation``, a map reservation -> slot-hours.
+
+    The per-job roll-up groups by the job keys and the reservation; rows are
+    unique per reservation, and a NULL reservation (which no equality join can
+    match) is left out of the map.
+    """
+    hours = slot_job_hours(minutes.repartition(*JOB_KEYS)).filter(F.col("reservation_id").isNotNull())
+    entry = F.struct("reservation_id", F.struct("optimistic_slot_hour", "pessmistic_slot_hour"))
+    return hours.groupBy(*JOB_KEYS).agg(F.map_from_entries(F.collect_list(entry)).alias("slot_by_reservation"))
+
+
 def slot_analysis_rows(jobs: DataFrame, timeline: DataFrame, job_text: DataFrame, asof: AsOf,
                        window: str = "as_written", states=(FINISHED_STATE,),
                        timeline_states=(FINISHED_STATE,)) -> DataFrame:
@@ -64,8 +84,11 @@ def slot_analysis_rows(jobs: DataFrame, timeline: DataFrame, job_text: DataFrame
         "project_id", "reservation_id", "job_id", "user_email", "cache_hit", "start_time", "end_time",
         "query_execution_seconds", "statement_type",
     )
-    slots = slot_job_hours(slot_minute(slot_second(recent_timeline(timeline, asof, window, timeline_states))))
-    joined = recent.join(job_statements(job_text), on=JOB_KEYS, how="left").join(slots, on=SLOT_KEYS, how="left")
+    slots = slot_hours_by_job(slot_minute(slot_second(recent_timeline(timeline, asof, window, timeline_states))))
+    joined = recent.join(job_statements(job_text), on=JOB_KEYS, how="left").join(slots, on=JOB_KEYS, how="left")
+    own = F.col("slot_by_reservation")[F.col("reservation_id")]
+    joined = joined.withColumns({"optimistic_slot_hour": own["optimistic_slot_hour"],
+                                 "pessmistic_slot_hour": own["pessmistic_slot_hour"]})
     return joined.select(
         "project_id",
         "job_id",

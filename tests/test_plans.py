@@ -195,3 +195,15 @@ def test_reservation_timeline_is_not_shuffled_by_project(spark, exported):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert not re.search(r"hashpartitioning\(project_id#\d+, project_number", plan)
     assert "BroadcastHashJoin" in plan
+
+
+def test_slot_analysis_shuffles_each_input_once(spark, exported):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = exported
+        plan = _plan(slots.slot_analysis_rows(t.jobs, t.jobs_timeline, t.job_text, A))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = re.findall(r"Exchange hashpartitioning\((\w+)#\d+, (\w+)#\d+, (\w+)", plan)
+    # timeline by (project, job, minute); minute rows, jobs and text by the job keys
+    assert sorted(e[2] for e in exchanges) == ["period_minute", "user_email", "user_email", "user_email"], exchanges
