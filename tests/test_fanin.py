@@ -31,3 +31,14 @@ def test_strict_and_skip(spark, tmp_dir):
 def test_no_readable_source_gives_empty_frame(spark, tmp_dir):
     res = fan_in(spark, {"x": f"{tmp_dir}/none"}, schemas.SCHEMA_OPTIONS, on_error="skip")
     assert res.frame.count() == 0 and res.skipped == {"x": res.skipped["x"]}
+
+
+def test_many_sources_checked_in_parallel(spark, tmp_dir):
+    frame(spark, schemas.SCHEMA_OPTIONS, [("p", "d", "storage_billing_model", "LOGICAL")]).write.parquet(
+        f"{tmp_dir}/one")
+    sources = {f"p{i:02d}": (f"{tmp_dir}/one" if i % 5 else f"{tmp_dir}/missing{i}") for i in range(40)}
+    res = fan_in(spark, sources, schemas.SCHEMA_OPTIONS, on_error="skip", parallelism=8)
+    assert res.frame.count() == 32
+    assert sorted(res.skipped) == [f"p{i:02d}" for i in range(0, 40, 5)]
+    with pytest.raises(FanInError, match="'p00'"):
+        fan_in(spark, sources, schemas.SCHEMA_OPTIONS, on_error="raise", parallelism=8)
