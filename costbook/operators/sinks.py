@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from costbook import schemas
+from costbook.functions import date_lit
 from costbook.session import scratch_root
 
 
@@ -169,7 +170,7 @@ def upsert(source: DataFrame, mart: Mart, path: str) -> None:
     target = read(spark, mart, path)
     if len(parts) <= MAX_LISTED_PARTITIONS:
         values = [v for v in parts if v is not None]
-        cond = F.col(p).isin(values) if values else F.lit(False)
+        cond = F.col(p).isin([date_lit(v) for v in values]) if values else F.lit(False)
         if len(values) < len(parts):
             cond = cond | F.col(p).isNull()
         target = target.filter(cond)
