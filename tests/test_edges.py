@@ -291,3 +291,13 @@ def test_price_list_maintenance(spark, tmp_dir):
     assert spark.range(1).select(compute_price(prices, "asia-northeast1", "on_demand")).collect()[0][0] == 7.5
     with pytest.raises(ValueError, match="lack columns"):
         append_storage_prices(spark.createDataFrame([(1.0,)], "active_logical_pricing double"), f"{tmp_dir}/s")
+
+
+def test_baseline_cost_is_a_whole_day_and_only_on_days_with_jobs(spark):
+    m = datetime(2024, 1, 29, 1, 0)  # 10:00 local on Jan 29
+    t = telemetry(spark, timeline=[period(job_id="a", reservation=RID, created=m, start=m, ms=60_000)],
+                  rt=[("adm", 7, RID, 50, m), ("adm", 7, RID, 50, datetime(2024, 1, 27, 1, 0))],
+                  res=[("adm", 7, "STANDARD")])
+    rows = editions.editions_source(t.jobs_timeline, t.reservation_timeline, t.reservations, t.price_compute,
+                                    A).collect()
+    assert [(r["date"], r["baseline_cost"]) for r in rows] == [(date(2024, 1, 29), 50 * 24 * 0.051)]

@@ -149,3 +149,13 @@ def test_upsert_equals_merge_model(spark, target, source):
     sinks.upsert(src(spark, full(source)), M, path)
     got = sorted(((r[0], r[1], r[4]) for r in sinks.read(spark, M, path).collect()), key=repr)
     assert got == expected
+
+
+def test_editions_merge_keeps_first_edition(spark, tmp_dir):
+    em = sinks.DAILY_EDITIONS_COMPUTE_PRICING
+    path = f"{tmp_dir}/e"
+    d = date(2024, 1, 29)
+    sinks.upsert(frame(spark, em.schema, [("r", d, "2024", "2024-01", "STANDARD", 1.0, 2.0)]), em, path)
+    sinks.upsert(frame(spark, em.schema, [("r", d, "2024", "2024-01", "ENTERPRISE", 3.0, 4.0)]), em, path)
+    got = [tuple(r) for r in sinks.read(spark, em, path).collect()]
+    assert got == [("r", d, "2024", "2024-01", "STANDARD", 3.0, 4.0)]
