@@ -78,17 +78,18 @@ class MergeError(RuntimeError):
     pass
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jpath)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
 def ensure(spark: SparkSession, mart: Mart, path: str) -> None:
-    """``CREATE TABLE IF NOT EXISTS``: an empty partitioned dataset; no-op when present."""
-    if not _exists(spark, path):
-        spark.createDataFrame([], mart.schema).write.mode("append").partitionBy(mart.partition_col).parquet(path)
+    """``CREATE TABLE IF NOT EXISTS``: an empty folder (read with the mart's
+    schema it is an empty table); no-op when present.  No Spark job runs."""
+    fs, jpath = _filesystem(spark, path)
+    if not fs.exists(jpath):
+        fs.mkdirs(jpath)
 
 
 def read(spark: SparkSession, mart: Mart, path: str) -> DataFrame:
