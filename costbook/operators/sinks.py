@@ -16,10 +16,9 @@ touches:
    lineage back to the files about to be replaced), then written with
    dynamic partition overwrite.
 
-The source is first written to the scratch folder, partitioned like the
-mart; its (few) partition folders name the touched partitions, so step 1 is
-a static partition filter: the target's other partitions are never listed
-or read.
+The source is first written to the scratch folder and its (few) partition
+values are listed, so step 1 is a static partition filter: the target's
+other partitions are never listed or read.
 
 Each merge key fixes its partition (every key includes the date, or a month
 that determines it), so rows of untouched partitions can never match.
@@ -36,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from costbook import schemas
+from costbook.functions import date_lit
 from costbook.session import scratch_path, scratch_root
 
 
@@ -152,25 +152,18 @@ def merged_rows(target: DataFrame, source: DataFrame, mart: Mart) -> DataFrame:
 # instead of a literal partition list (the scheduled windows touch at most two
 # months of days, or one month start).
 MAX_LISTED_PARTITIONS = 10_000
-_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def _stage_source(source: DataFrame, mart: Mart) -> tuple[DataFrame, list[str | None]]:
-    """Write the merge source below the scratch root, partitioned like the
-    mart, and read it back.  One job; the lineage is cut, and the touched
-    partition values are the folder names (no job to find them)."""
+def _stage_source(source: DataFrame, mart: Mart) -> tuple[DataFrame, list]:
+    """Write the merge source below the scratch root and read it back (one
+    job; the lineage is cut), then list its distinct partition values from
+    the staged files (a small job over a small table)."""
     spark = source.sparkSession
     p = mart.partition_col
     path = scratch_path(spark, f"merge-source-{mart.name}")
-    source.select(*mart.columns).write.partitionBy(p).parquet(path)
-    fs, jpath = _filesystem(spark, path)
-    values = []
-    for status in fs.listStatus(jpath):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(f"{p}="):
-            value = name.split("=", 1)[1]
-            values.append(None if value == _NULL_PARTITION else value)
-    staged = spark.read.schema(mart.schema).option("basePath", path).parquet(path).select(*mart.columns)
+    source.select(*mart.columns).write.parquet(path)
+    staged = spark.read.schema(mart.schema).parquet(path)
+    values = [r[0] for r in staged.select(p).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()]
     return staged, values
 
 
@@ -179,7 +172,7 @@ def upsert(source: DataFrame, mart: Mart, path: str) -> None:
 
     The source (a daily or monthly roll-up) is staged once in the scratch
     folder: the merge reads it twice, and its partition values become a
-    literal filter, so the target scan lists only the touched partitions
+    literal filter (all mart partition columns are dates), so the target scan lists only the touched partitions
     instead of the mart's whole history.
     """
     spark = source.sparkSession
@@ -190,8 +183,7 @@ def upsert(source: DataFrame, mart: Mart, path: str) -> None:
     target = read(spark, mart, path)
     if len(parts) <= MAX_LISTED_PARTITIONS:
         values = [v for v in parts if v is not None]
-        ptype = mart.schema[p].dataType
-        cond = F.col(p).isin([F.lit(v).cast(ptype) for v in values]) if values else F.lit(False)
+        cond = F.col(p).isin([date_lit(v) for v in values]) if values else F.lit(False)
         if len(values) < len(parts):
             cond = cond | F.col(p).isNull()
         target = target.filter(cond)
