@@ -84,6 +84,11 @@ def _filesystem(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _filesystem(spark, path)
+    return bool(fs.exists(jpath))
+
+
 def ensure(spark: SparkSession, mart: Mart, path: str) -> None:
     """``CREATE TABLE IF NOT EXISTS``: an empty folder (read with the mart's
     schema it is an empty table); no-op when present.  No Spark job runs."""

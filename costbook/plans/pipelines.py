@@ -122,3 +122,15 @@ def run_daily(spark: SparkSession, t: Telemetry, asof: AsOf, marts_root: str, **
     run_monthly_storage_pricing(spark, t, asof, paths["daily_storage_usage"], paths["monthly_storage_pricing"],
                                 **opts.get("monthly_storage_pricing", {}))
     return paths
+
+
+def register_mart_views(spark: SparkSession, marts_root: str) -> list[str]:
+    """Register each mart below ``marts_root`` as a temporary view of the same
+    name (for ``spark.sql`` and BI tools); marts not created yet are skipped."""
+    names = []
+    for name, mart in sinks.MARTS.items():
+        path = f"{marts_root.rstrip('/')}/{name}"
+        if sinks.exists(spark, path):
+            sinks.read(spark, mart, path).createOrReplaceTempView(name)
+            names.append(name)
+    return names

@@ -25,6 +25,10 @@ def test_run_daily_twice(spark, tmp_dir):
     assert after["daily_storage_usage"] == 2 * counts["daily_storage_usage"]
     assert after["storage_analysis"] == 2 * counts["storage_analysis"]
     assert after["monthly_storage_pricing"] == counts["monthly_storage_pricing"]
+    from costbook.plans.pipelines import register_mart_views
+
+    assert sorted(register_mart_views(spark, tmp_dir)) == sorted(sinks.MARTS)
+    assert spark.sql("SELECT count(*) FROM slot_analysis").collect()[0][0] == counts["slot_analysis"]
     # day two's differences are taken against day one: nothing changed, so all zero
     from pyspark.sql import functions as F
     day2 = sinks.read(spark, sinks.STORAGE_ANALYSIS, paths["storage_analysis"]).filter(
