@@ -210,8 +210,9 @@ def reservation_timeline(timeline: DataFrame) -> DataFrame:
     )
 
 
-def reservations(timeline: DataFrame) -> DataFrame:
-    rids = _parsable_reservation(timeline).select("reservation_id").distinct()
+def reservations(jobs_or_timeline: DataFrame) -> DataFrame:
+    """One row per (administration project, edition) in use."""
+    rids = _parsable_reservation(jobs_or_timeline).select("reservation_id").distinct()
     admin = admin_project("reservation_id")
     return rids.select(
         admin.alias("project_id"),
@@ -297,12 +298,13 @@ def telemetry(spark: SparkSession, sf_dir: str, price_up_to: date | None = None)
     events = read_driver_table(spark, sf_dir, "events")
     lineitem = read_driver_table(spark, sf_dir, "lineitem")
     timeline = jobs_timeline(events)
+    job_rows = jobs(events)
     return Telemetry(
-        jobs=jobs(events),
+        jobs=job_rows,
         jobs_timeline=timeline,
         job_text=job_text(events),
         reservation_timeline=reservation_timeline(timeline),
-        reservations=reservations(timeline),
+        reservations=reservations(job_rows),  # same reservation ids as the timeline, a third of the rows
         table_storage=table_storage(lineitem),
         schema_options=schema_options(lineitem),
         price_compute=price_compute(spark, price_up_to),
