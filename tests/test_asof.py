@@ -85,3 +85,14 @@ def test_local_date_and_month_range_in_spark(spark, zone, seconds, asof_seconds)
         expected = r["ts"].replace(tzinfo=timezone.utc).astimezone(ZoneInfo(zone)).date()
         assert r["d"] == expected
         assert r["r"] == (a.month_start(0) <= expected < a.month_start(1))
+
+
+def test_clock_across_the_year_boundary():
+    a = AsOf.parse("2023-12-31T20:00:00")  # 05:00 on 2024-01-01 in Tokyo
+    assert a.today == date(2024, 1, 1) and a.yesterday == date(2023, 12, 31)
+    assert (a.year_label, a.year_month_label) == ("2024", "2024-01")
+    assert a.month_start(-1) == date(2023, 12, 1) and a.month_start(1) == date(2024, 2, 1)
+    assert a.month_window_utc() == (datetime(2023, 12, 31, 15), datetime(2024, 1, 31, 15))
+    assert a.month_window_utc(1) == (datetime(2023, 11, 30, 15), datetime(2024, 1, 31, 15))
+    assert a.recent_window() == (datetime(2023, 12, 31), datetime(2024, 1, 1, 4, 55))
+    assert a.shifted(days=1).today == date(2024, 1, 2)
