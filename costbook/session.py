@@ -28,6 +28,9 @@ CLUSTER_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "536870912",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # checkpoints of a finished run are dropped once their frames are gone;
+    # staged merge sources stay below spark.checkpoint.dir for its retention
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
