@@ -5,12 +5,14 @@
 
 Telemetry is read from ``--telemetry`` (one folder per view, see
 ``costbook.sources.telemetry.TABLES``).  Without ``--asof`` nothing runs:
-the clock is always explicit, so a rerun is reproducible.
+the clock is always explicit (``now`` prints the instant it took), so a
+rerun is reproducible.
 """
 
 from __future__ import annotations
 
 import argparse
+from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
@@ -23,11 +25,15 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("--telemetry", required=True)
     ap.add_argument("--marts", required=True)
-    ap.add_argument("--asof", required=True, help="UTC instant, ISO format")
+    ap.add_argument("--asof", required=True,
+                    help="UTC instant, ISO format; 'now' takes the current instant (printed, so a rerun can repeat it)")
     ap.add_argument("--zone", default=DEFAULT_ZONE)
     ap.add_argument("--region", default=DEFAULT_REGION)
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("costbook-daily").getOrCreate()
+    if args.asof == "now":
+        args.asof = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0).isoformat()
+        print(f"asof\t{args.asof}")
     asof = AsOf.parse(args.asof, args.zone, args.region)
     for name, path in run_daily(spark, read_telemetry(spark, args.telemetry), asof, args.marts).items():
         print(f"{name}\t{path}")
