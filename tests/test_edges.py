@@ -301,3 +301,12 @@ def test_baseline_cost_is_a_whole_day_and_only_on_days_with_jobs(spark):
     rows = editions.editions_source(t.jobs_timeline, t.reservation_timeline, t.reservations, t.price_compute,
                                     A).collect()
     assert [(r["date"], r["baseline_cost"]) for r in rows] == [(date(2024, 1, 29), 50 * 24 * 0.051)]
+
+
+def test_project_without_reservation_rows_costs_null(spark):
+    m = datetime(2024, 1, 29, 1, 0)
+    t = telemetry(spark, timeline=[period(job_id="a", reservation=RID, created=m, start=m, ms=60_000)],
+                  rt=[("adm", 7, RID, 50, m)], res=[("other", 8, "STANDARD")])
+    rows = editions.editions_source(t.jobs_timeline, t.reservation_timeline, t.reservations, t.price_compute,
+                                    A).collect()
+    assert [(r["edition"], r["baseline_cost"], r["cost"]) for r in rows] == [(None, None, None)]
