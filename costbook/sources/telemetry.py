@@ -68,6 +68,7 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     column is kept so filters on it prune folders.  Other columns outside the
     schema are not read.
     """
+    require_utc(spark)  # zoned timestamps in an export are cast to UTC wall clock
     schema = TABLES[name]
     df = spark.read.option("basePath", f"{root}/{name}").parquet(f"{root}/{name}")
     parts = [F.col(c).cast("date").alias(c) for c in DAY_PARTITION_COLUMNS if c in df.columns]
