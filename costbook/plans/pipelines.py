@@ -1,7 +1,10 @@
 """The seven scheduled pipelines, each as "build source DataFrame, then sink".
 
-``*_source`` functions are pure (lazy DataFrames, no action).  ``run_*``
-functions write the mart at ``path`` and return nothing.  Options that
+``*_source`` functions return the DataFrame a run writes; they write no
+mart (the editions source materialises its per-minute totals and counts its
+two lookups first, and the storage-analysis source creates its mart folder
+if absent so yesterday's partition can be read).  ``run_*`` functions write
+the mart at ``path`` and return nothing.  Options that
 correct a behaviour of the scheduled scripts are keyword arguments, off by
 default.
 """
