@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import common, mixing
+from . import common, mixing, quality
 
 
 def _read(spark, sf_dir, name):
@@ -19,3 +19,15 @@ def op1_mix_sources(spark, sf_dir):
 
 QUERIES = {"op1_mix_sources": op1_mix_sources}
 ORACLE: dict[str, str] = {}
+
+
+def op2_quality_rules(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents")
+    rules = quality.learn(docs, _read(spark, sf_dir, "labels"))
+    q = F.col("q")
+    return docs.select("doc_id", quality.measure(F.col("text")).alias("q")).select(
+        "doc_id", *[q[c].alias(c) for c in quality.BASE], quality.base_failed(q).alias("base_failed"),
+        (~quality.base_failed(q) & rules.verdict(q)).alias("kept"), rules.rule_number(q).alias("rule"))
+
+
+QUERIES["op2_quality_rules"] = op2_quality_rules
