@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import common, mixing, quality
+from . import common, langid, mixing, packing, pii, quality, secrets, toxicity
 
 
 def _read(spark, sf_dir, name):
@@ -31,3 +32,64 @@ def op2_quality_rules(spark, sf_dir):
 
 
 QUERIES["op2_quality_rules"] = op2_quality_rules
+
+
+def _joined(spans):
+    """kind:start:end, comma-joined, of an array of spans."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _count(spans, kind):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+def op7_secret_formats(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.learn(docs))
+    base = F.filter("spans", lambda s: s["kind"] != secrets.KINDS[3])
+    return found.select("doc_id", *[_count(F.col("spans"), k).alias(f"n_{k}") for k in secrets.KINDS],
+                        F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("spans")).alias("spans"))
+
+
+QUERIES["op7_secret_formats"] = op7_secret_formats
+
+
+def op3_sanitise_terms(spark, sf_dir):
+    found = pii.sanitise(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[_count(F.col("base"), k).alias(f"n_{k}") for k in pii.KINDS[:4]],
+                        F.size("terms").cast("long").alias("n_term"), F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
+                        _joined(F.concat("base", "terms")).alias("spans"))
+
+
+QUERIES["op3_sanitise_terms"] = op3_sanitise_terms
+
+
+def op5_pack_sequences(spark, sf_dir):
+    return packing.pack(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES["op5_pack_sequences"] = op5_pack_sequences
+
+
+def _held_out():
+    """The rows that models don't learn from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def op6_rank_language(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.learn(docs, ~_held_out()))
+    return found.select("doc_id", _held_out().alias("held_out"), "lang_pred", "score")
+
+
+QUERIES["op6_rank_language"] = op6_rank_language
+
+
+def op10_toxicity_windows(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents")
+    net = toxicity.learn(docs, _read(spark, sf_dir, "labels"), ~_held_out())
+    return toxicity.score(docs, net).select("doc_id", _held_out().alias("held_out"), "score",
+                                            (F.col("score") >= 0.7).cast("int").alias("predicted"), "at_word")
+
+
+QUERIES["op10_toxicity_windows"] = op10_toxicity_windows
