@@ -23,7 +23,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left
 
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -120,7 +122,6 @@ def _near(text: str, spans, reach: int):
         if k == len(merged) or merged[k][0] >= m.end():
             terms.append((m.start(), m.end(), m[0]))
     starts = [t[0] for t in terms]
-    from bisect import bisect_left
     for kind, s, e in spans:
         i = bisect_left(starts, s)
         near = terms[max(0, i - reach):i + reach]
@@ -193,10 +194,7 @@ def disclosing(texts: DataFrame, near: DataFrame, n_docs: int, support: int, thr
     return scored.filter(F.col("disclosure") >= threshold).select("entity", "term", "disclosure")
 
 
-@F.pandas_udf("string")
-def _clean(text, spans):
-    import pandas as pd
-
+def _clean(text: pd.Series, spans: pd.Series) -> pd.Series:
     def one(t, found):
         if t is None:
             return None
@@ -215,4 +213,4 @@ def _clean(text, spans):
 
 def clean(text: Column, spans: Column) -> Column:
     """The text with every span replaced by what it is."""
-    return _clean(text, spans)
+    return F.pandas_udf(_clean, "string")(text, spans)
