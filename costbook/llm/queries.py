@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import common, langid, mixing, packing, pii, quality, secrets, toxicity
+from . import common, jaccard, langid, mixing, packing, pii, quality, secrets, toxicity
 
 
 def _read(spark, sf_dir, name):
@@ -93,3 +93,10 @@ def op10_toxicity_windows(spark, sf_dir):
 
 
 QUERIES["op10_toxicity_windows"] = op10_toxicity_windows
+
+
+def op4_ngram_jaccard(spark, sf_dir):
+    return jaccard.near_duplicates(_read(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+QUERIES["op4_ngram_jaccard"] = op4_ngram_jaccard
