@@ -95,7 +95,7 @@ def mix(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str =
             edge = F.struct(F.lit(cut[0]).alias("f"), F.lit(cut[1]).alias("r"), F.lit(cut[2]).alias("k"),
                             F.lit(cut[3]).alias("e"))
             copies = copies + F.when(F.get("finish", F.lit(e)).isNotNull() & (place <= edge), 1).otherwise(0)
-    out = timed.withColumn("copies", copies.cast("int"))
+    out = timed.withColumn("copies", copies.cast("long"))
     return out.select(F.col("_id").alias(id_col), F.col("source").alias(source_col),
                       *[F.col(f"_k{i}").alias(c) for i, c in enumerate(x for x in keep if x not in (id_col, source_col))],
                       "size", "source_size", "target", "copies",
@@ -124,3 +124,28 @@ def _cut(timed: DataFrame, copies: int) -> tuple | None:
     if last is None:  # the range's first copy is already over: the range before ends the mix
         last = places.filter(F.col("range") < held["range"]).agg(F.max(F.struct(*order))).first()[0]
     return None if last is None else tuple(last)
+
+
+def oracle_sql() -> str:
+    """DuckDB SQL of op1_mix_sources."""
+    return r"""WITH rows AS (SELECT doc_id, source, md5(doc_id::VARCHAR) AS key,
+  coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM rows GROUP BY source),
+weighed AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM sources),
+capped AS (SELECT *, 3 * source_size AS cap, [5.0::DOUBLE, 2.0, 1.0][rank % 3 + 1] AS w FROM weighed),
+filled AS (SELECT *, cap / w AS fill FROM capped),
+levels AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER e, 0))::DOUBLE
+    / (sum(w) OVER () - coalesce(sum(w) OVER e, 0)) AS level FROM filled
+  WINDOW e AS (ORDER BY fill, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+water AS (SELECT level FROM levels WHERE level < fill ORDER BY fill, rank LIMIT 1),
+targets AS (SELECT *, CASE WHEN fill > (SELECT level FROM water) THEN w * (SELECT level FROM water) ELSE cap END::DOUBLE AS target
+  FROM levels),
+run AS (SELECT r.*, t.rank, t.source_size, t.target, sum(r.size) OVER (PARTITION BY t.rank ORDER BY key, doc_id) AS done
+  FROM rows r JOIN targets t ON r.source IS NOT DISTINCT FROM t.source),
+places AS (SELECT *, (e * source_size + done)::DOUBLE / target AS f FROM run, range(3) AS x(e) WHERE size > 0),
+ordered AS (SELECT *, sum(size) OVER (ORDER BY f, rank, key, e) AS upto FROM places),
+counted AS (SELECT rank, key, doc_id, size, count(*) / count(DISTINCT e) AS same, count(DISTINCT e) AS copies FROM ordered
+  WHERE upto <= (SELECT sum(size) FROM rows) GROUP BY rank, key, doc_id, size)
+SELECT r.doc_id, r.source, r.size, r.source_size, r.target, coalesce(c.copies, 0) AS copies,
+  r.size * coalesce(c.copies, 0) AS taken
+FROM run r LEFT JOIN counted c ON r.rank = c.rank AND r.key = c.key AND r.doc_id IS NOT DISTINCT FROM c.doc_id AND r.size = c.size"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import common, jaccard, langid, mixing, packing, pii, quality, secrets, toxicity
+from . import common, embeddings, jaccard, langid, lines, mixing, packing, pii, quality, secrets, toxicity
 
 
 def _read(spark, sf_dir, name):
@@ -19,7 +19,7 @@ def op1_mix_sources(spark, sf_dir):
 
 
 QUERIES = {"op1_mix_sources": op1_mix_sources}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_mix_sources": mixing.oracle_sql()}
 
 
 def op2_quality_rules(spark, sf_dir):
@@ -100,3 +100,22 @@ def op4_ngram_jaccard(spark, sf_dir):
 
 
 QUERIES["op4_ngram_jaccard"] = op4_ngram_jaccard
+
+
+def op8_embedding_links(spark, sf_dir):
+    return embeddings.near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
+QUERIES["op8_embedding_links"] = op8_embedding_links
+
+
+def op9_line_runs(spark, sf_dir):
+    docs = _read(spark, sf_dir, "documents")
+    out = lines.dedup(docs.select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", F.size("deleted_lines").cast("long").alias("n_deleted"),
+                      F.array_join(F.col("deleted_lines").cast("array<string>"), ",").alias("deleted"),
+                      F.md5("text").alias("clean_md5"))
+
+
+QUERIES["op9_line_runs"] = op9_line_runs
+ORACLE["op9_line_runs"] = lines.oracle_sql()
