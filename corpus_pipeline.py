@@ -30,29 +30,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated line runs go from the texts; a text that loses all its lines goes."""
-    out = lines.dedup(docs).filter(~((F.size("deleted_lines") > 0) & (F.size("deleted_lines") == F.col("n_lines"))))
-    return out.withColumn("n_chars", F.when(F.size("deleted_lines") > 0, F.length("text").cast(docs.schema["n_chars"].dataType))
-                          .otherwise(F.col("n_chars"))).select(*docs.columns)
+    out = lines.dedup(docs, out_col="_pipeline_lines")
+    n, gone = F.col("_pipeline_lines.n_lines"), F.size("_pipeline_lines.deleted")
+    out = out.filter(~((gone > 0) & (gone == n)))
+    chars = F.when(gone > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", chars).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked at a Jaccard similarity of 0.8 over 5-word n-grams, the one of smallest id stays."""
     found = jaccard.near_duplicates(docs, words=5, percent=80)
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stay")).distinct()
-    rows = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
+    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_pipeline_stay")).distinct()
+    rows = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_pipeline_stay")), "left_semi")
     once = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(1)))
-    return rows.withColumn("_once", once).filter("_once = 1 OR doc_id IS NULL").select(*docs.columns)
+    return rows.withColumn("_pipeline_once", once).filter("_pipeline_once = 1 OR doc_id IS NULL").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     size = common.word_count(F.col("text"))
     taken = mixing.mix(docs, size).filter("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies").distinct()
-    rows = docs.withColumn("_words", size).join(
-        taken, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
-        & (F.col("_words") == F.col("_size")))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*docs.columns)
+        F.col("doc_id").alias("_pipeline_id"), F.col("source").alias("_pipeline_source"), F.col("size").alias("_pipeline_size"),
+        F.col("copies").alias("_pipeline_copies")).distinct()
+    rows = docs.withColumn("_pipeline_words", size).join(
+        taken, F.col("doc_id").eqNullSafe(F.col("_pipeline_id")) & F.col("source").eqNullSafe(F.col("_pipeline_source"))
+        & (F.col("_pipeline_words") == F.col("_pipeline_size")))
+    return rows.withColumn("_pipeline_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_pipeline_copies"))).select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

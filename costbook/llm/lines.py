@@ -74,16 +74,17 @@ def _grouped(rows: DataFrame, name: str) -> DataFrame:
     return common.staged(rows.join(groups, "key").select("doc", "line", "name", "words", "inner").dropDuplicates(["doc", "line"]), name)
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 20) -> DataFrame:
-    """``docs`` with later copies deleted from the text, and ``n_lines`` (with a word) and
-    ``deleted_lines`` (their numbers among these)."""
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 20,
+          out_col: str = "line_dedup") -> DataFrame:
+    """``docs`` with later copies deleted from the text, and the struct ``out_col`` of
+    ``n_lines`` (lines with a word, before) and ``deleted`` (their numbers among these)."""
     windows = repeated_windows(docs, id_col, text_col, min_words)
-    gone = windows.groupBy("doc").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(
-        F.sequence("line", F.col("line") + F.col("length") - 1))))).alias("_gone"))
+    gone = windows.groupBy(F.col("doc").alias("_line_dedup_doc")).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(
+        F.sequence("line", F.col("line") + F.col("length") - 1))))).alias("_line_dedup_gone"))
     text = F.col(text_col)
-    rows = docs.withColumn("_doc", F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("text")))
-    rows = rows.join(gone, rows["_doc"] == gone["doc"], "left").drop("doc", "_doc")
-    none = F.array().cast("array<int>")
+    doc = F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("text"))
+    rows = docs.join(gone, doc == F.col("_line_dedup_doc"), "left").drop("_line_dedup_doc")
+    deleted = F.coalesce("_line_dedup_gone", F.array().cast("array<int>"))
 
     def without(gone_: Column) -> Column:
         lines = F.split(text, "\n")
@@ -91,9 +92,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
         kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), places)
         return common.let(lines, lambda x: F.array_join(F.transform(kept, lambda i: F.get(x, i)), "\n"))
 
-    return rows.withColumn("n_lines", F.when(text.isNull(), 0).otherwise(F.size(_numbered(text))).cast("long")).withColumn(
-        "deleted_lines", F.coalesce("_gone", none)).withColumn(
-        text_col, F.when(F.size("deleted_lines") > 0, without(F.col("deleted_lines"))).otherwise(text)).drop("_gone")
+    n_lines = F.when(text.isNull(), 0).otherwise(F.size(_numbered(text))).cast("long")
+    rows = rows.withColumn("_line_dedup", F.struct(n_lines.alias("n_lines"), deleted.alias("deleted"))).drop("_line_dedup_gone")
+    cut = F.when(F.size("_line_dedup.deleted") > 0, without(F.col("_line_dedup.deleted"))).otherwise(text)
+    return rows.withColumn(text_col, cut).withColumnRenamed("_line_dedup", out_col)
 
 
 def oracle_sql(min_words: int = 20, levels: int = 14) -> str:

@@ -183,9 +183,9 @@ def disclosing(texts: DataFrame, near: DataFrame, n_docs: int, support: int, thr
     pairs = common.staged(pairs.filter(F.col("contexts") >= support), "pii-pairs")
     if pairs.isEmpty():
         return None
-    # document frequencies of the pairs' terms, over all texts; Spark broadcasts the terms only while they are few
+    # document frequencies of the pairs' terms, over all texts: counted first, so that a frequent term meets the pairs once
     held = texts.select(F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)))).alias("term"))
-    n_t = held.join(pairs.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
+    n_t = held.groupBy("term").agg(F.count("*").alias("n_t"))
     n_e = near.join(pairs.select("entity").distinct(), "entity", "left_semi").groupBy("entity").agg(
         F.count_distinct("uid").alias("n_e"))
     gain = F.log(F.col("n_te") * F.lit(float(n_docs)) / (F.col("n_t") * F.col("n_e")))

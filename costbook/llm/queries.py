@@ -112,9 +112,9 @@ QUERIES["op8_embedding_links"] = op8_embedding_links
 def op9_line_runs(spark, sf_dir):
     docs = _read(spark, sf_dir, "documents")
     out = lines.dedup(docs.select("doc_id", "text"))
-    return out.select("doc_id", "n_lines", F.size("deleted_lines").cast("long").alias("n_deleted"),
-                      F.array_join(F.col("deleted_lines").cast("array<string>"), ",").alias("deleted"),
-                      F.md5("text").alias("clean_md5"))
+    deleted = F.col("line_dedup.deleted")
+    return out.select("doc_id", "line_dedup.n_lines", F.size(deleted).cast("long").alias("n_deleted"),
+                      F.array_join(deleted.cast("array<string>"), ",").alias("deleted"), F.md5("text").alias("clean_md5"))
 
 
 QUERIES["op9_line_runs"] = op9_line_runs
