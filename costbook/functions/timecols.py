@@ -56,32 +56,23 @@ def month_labels(d: str | Column) -> dict[str, Column]:
     return {"year": F.date_format(c, "yyyy"), "year_month": F.date_format(c, "yyyy-MM")}
 
 
-# Day-partitioned telemetry exports: a timestamp column and the partition
-# columns whose range it implies.  ``both``: the partition is the UTC day of
-# that very column.  ``upper`` / ``lower``: only one side follows (a job is
-# created before it starts; its periods start after it is created).
-DAY_PARTITION_RULES = {
-    "creation_time": (("creation_date", "both"),),
-    "start_time": (("creation_date", "upper"),),
-    "period_start": (("period_date", "both"),),
-    "job_creation_time": (("period_date", "lower"),),
+# Day-partitioned telemetry exports: the partition column that holds the UTC
+# day of a timestamp column.  Only the day of the very column that a window
+# filters may prune; a job's creation day says nothing certain of its start.
+DAY_PARTITION_OF = {
+    "creation_time": "creation_date",
+    "start_time": "start_date",
+    "period_start": "period_date",
 }
 
 
 def day_partition_bounds(columns: list[str], column: str, lo: datetime, hi: datetime) -> Column:
-    """Partition predicates implied by ``lo <= column <= hi`` (or ``< hi``).
+    """The partition predicate implied by ``lo <= column <= hi`` (or ``< hi``).
 
-    Present only when the frame carries the day partition column, so a scan
-    of a date-partitioned export lists and reads just the days the window
-    can touch.  The predicate is implied by the row filter: it never drops a
-    row that filter keeps.
+    Present only when the frame carries the day partition of ``column``.  A
+    partition's rows have that day, so no row that the row filter keeps is lost.
     """
-    cond = F.lit(True)
-    for part, side in DAY_PARTITION_RULES.get(column, ()):
-        if part not in columns:
-            continue
-        if side in ("both", "lower"):
-            cond = cond & (F.col(part) >= date_lit(lo.date()))
-        if side in ("both", "upper"):
-            cond = cond & (F.col(part) <= date_lit(hi.date()))
-    return cond
+    part = DAY_PARTITION_OF.get(column)
+    if part not in columns:
+        return F.lit(True)
+    return (F.col(part) >= date_lit(lo.date())) & (F.col(part) <= date_lit(hi.date()))

@@ -38,7 +38,8 @@ from costbook.functions import (
 )
 from costbook.operators.lookups import broadcast_if_small
 from costbook.operators.prices import edition_price
-from costbook.session import scratch_root
+from costbook.session import Staging
+from costbook.sources.fanin import gather
 
 
 # --- predicates ---------------------------------------------------------------
@@ -54,7 +55,6 @@ def filter_month_window(timeline: DataFrame, asof: AsOf, months_back: int = 0) -
     return timeline.filter(
         in_range("job_creation_time", created_lo, created_hi)
         & in_range("period_start", period_lo, period_hi)
-        & day_partition_bounds(cols, "job_creation_time", created_lo, created_hi)
         & day_partition_bounds(cols, "period_start", period_lo, period_hi)
     )
 
@@ -231,18 +231,24 @@ def editions_source(
     dedupe_projects: bool = False,
     latest_per_key: bool = False,
     match_reservation: bool = False,
+    staging: Staging | None = None,
 ) -> DataFrame:
     """The whole editions roll-up, ready for the upsert.
 
     The per-minute totals feed both the key list (which administration
     projects to read) and the minute join.  They are one row per
-    reservation-minute, so they are checkpointed to the shared checkpoint
-    folder: the month's timeline is scanned once, and a lost executor does
-    not send the job back to that scan.
+    reservation-minute, so they are staged as Parquet: the month's timeline is
+    scanned once, and a lost executor does not send the job back to that scan.
+
+    A source that exists once per administration project is gathered for the
+    projects that the totals name; a missing or unreadable one stops the run.
     """
-    scratch_root(timeline.sparkSession)
-    totals = minute_totals(edition_jobs(timeline, asof, months_back)).checkpoint(eager=True)
+    staging = staging or Staging(timeline.sparkSession)
+    totals = staging.table(minute_totals(edition_jobs(timeline, asof, months_back)), "minute-totals")
     ids = totals.select("reservation_id").distinct()
+    admins = ids.select(_checked_admin(F.col("reservation_id")).alias("p"))
+    reservation_timeline, _ = gather(reservation_timeline, admins, "p", "raise")
+    reservations, _ = gather(reservations, admins, "p", "raise")
     res = reservation_minutes(
         ids, reservation_timeline, reservations, minute_range=asof.month_window_utc(0),
         dedupe_projects=dedupe_projects, weighted=True, match_reservation=match_reservation,

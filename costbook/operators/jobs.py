@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from costbook.asof import AsOf
 from costbook.constants import FINISHED_STATE
 from costbook.functions import TIB, between_closed, date_lit, day_partition_bounds, ms_between
+from costbook.session import Staging
 
 JOB_KEYS = ["project_id", "job_id", "user_email"]
 
@@ -59,9 +60,16 @@ def job_statements(job_text: DataFrame) -> DataFrame:
 
 
 def query_analysis_rows(jobs: DataFrame, job_text: DataFrame, asof: AsOf, window: str = "as_written",
-                        states=(FINISHED_STATE,)) -> DataFrame:
-    """Rows appended to the query-analysis mart."""
-    recent = recent_jobs(jobs, asof, window, states)
+                        states=(FINISHED_STATE,), staging: Staging | None = None) -> DataFrame:
+    """Rows appended to the query-analysis mart.
+
+    The window's finished jobs are staged once and feed the roll-up, the
+    semi-join and the Bloom filters that Spark builds from them, so the jobs
+    export is scanned once.
+    """
+    staging = staging or Staging(jobs.sparkSession)
+    columns = [*JOB_KEYS, "cache_hit", "start_time", "end_time", "statement_type", "total_bytes_billed"]
+    recent = staging.table(recent_jobs(jobs, asof, window, states).select(*columns), "recent-jobs")
     billed = job_billed(recent)
     # Keeping only text rows of the selected jobs changes nothing in a left
     # join, but gives Spark a plain filtered scan to build its runtime Bloom

@@ -1,8 +1,7 @@
-"""Broadcast of small lookup tables, behind a size check.
+"""Broadcast of small lookup tables, behind a check of their size in bytes.
 
-A lookup is broadcast only after counting it: at most ``max_rows`` rows
-(``limit`` bounds the count itself).  Beyond that the join stays a shuffle
-join, where adaptive execution can still split a skewed key.
+Beyond the bound the join stays a shuffle join, where adaptive execution can
+still split a skewed key; the result is the same.
 """
 
 from __future__ import annotations
@@ -11,12 +10,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Per-project lists (reservations and their editions, administration
-# projects in use) hold thousands of rows in a large organisation.
-DEFAULT_MAX_ROWS = 200_000
+# projects in use) are far below this even in a large organisation.
+DEFAULT_MAX_BYTES = 32 << 20
+_ROW_OVERHEAD = 64
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+def size_bytes(df: DataFrame) -> int:
+    """Measured size of ``df``: its values as text, plus a fixed overhead a row."""
+    width = F.lit(_ROW_OVERHEAD)
+    for c in df.columns:
+        width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+    return df.agg(F.sum(width.cast("long"))).first()[0] or 0
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` measures at most ``max_bytes``, else ``df``."""
+    return F.broadcast(df) if size_bytes(df) <= max_bytes else df

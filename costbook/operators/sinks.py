@@ -12,13 +12,13 @@ touches:
    the rest; unmatched source rows are inserted; other target rows stay;
    a target row matching two source rows fails the merge before anything
    is written, as MERGE does (checked with a grouped count, not a window);
-4. the result is checkpointed to the shared checkpoint folder (cutting the
-   lineage back to the files about to be replaced), then written with
-   dynamic partition overwrite.
+4. the result is staged below the scratch root (cutting the lineage back to
+   the files about to be replaced), then written with dynamic partition
+   overwrite.
 
-The source is first written to the scratch folder and its (few) partition
-values are listed, so step 1 is a static partition filter: the target's
-other partitions are never listed or read.
+The source is staged too, and its partition values name the folders that
+step 1 reads: the target's other partitions are neither listed nor read,
+however many partitions there are.
 
 Each merge key fixes its partition (every key includes the date, or a month
 that determines it), so rows of untouched partitions can never match.
@@ -28,6 +28,7 @@ assumed.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from costbook import schemas
-from costbook.functions import date_lit
-from costbook.session import scratch_path, scratch_root
+from costbook.session import Staging
 
 
 @dataclass(frozen=True)
@@ -78,6 +78,16 @@ class MergeError(RuntimeError):
     pass
 
 
+class MartSchemaError(ValueError):
+    pass
+
+
+# A mart folder keeps its schema in this file (Spark skips names that begin
+# with an underscore).
+SCHEMA_FILE = "_mart_schema.json"
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _filesystem(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -89,25 +99,72 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def kept_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The schema that a mart folder keeps."""
+    fs, jpath = _filesystem(spark, f"{path}/{SCHEMA_FILE}")
+    if not fs.exists(jpath):
+        return None
+    stream = fs.open(jpath)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return StructType.fromJson(json.loads(text))
+
+
 def ensure(spark: SparkSession, mart: Mart, path: str) -> None:
-    """``CREATE TABLE IF NOT EXISTS``: an empty folder (read with the mart's
-    schema it is an empty table); no-op when present.  No Spark job runs."""
+    """``CREATE TABLE IF NOT EXISTS``: a folder that keeps the mart's schema.
+
+    A folder that is there must keep the same schema; one from before schemas
+    were kept gets it now.
+    """
     fs, jpath = _filesystem(spark, path)
-    if not fs.exists(jpath):
+    kept = kept_schema(spark, path) if fs.exists(jpath) else None
+    if kept is None:
         fs.mkdirs(jpath)
+        out = fs.create(_filesystem(spark, f"{path}/{SCHEMA_FILE}")[1], True)
+        out.write(bytearray(mart.schema.json().encode()))
+        out.close()
+    elif _types(kept) != _types(mart.schema):
+        raise MartSchemaError(f"{path} keeps another schema than {mart.name}: {_types(kept)}")
+
 
+def _types(schema: StructType) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in schema.fields]
 
-def read(spark: SparkSession, mart: Mart, path: str) -> DataFrame:
-    df = spark.read.schema(mart.schema).option("basePath", path).parquet(path)
+
+def checked(df: DataFrame, mart: Mart) -> DataFrame:
+    """``df`` with the mart's columns, if all are there and of the mart's types."""
+    have = dict(_types(df.schema))
+    wrong = [f"{n}: {have.get(n, 'missing')}, not {t}" for n, t in _types(mart.schema) if have.get(n) != t]
+    if wrong:
+        raise MartSchemaError(f"rows for {mart.name} don't fit: " + "; ".join(wrong))
     return df.select(*mart.columns)
 
 
+def read(spark: SparkSession, mart: Mart, path: str, values: list | None = None) -> DataFrame:
+    """The mart's rows; with ``values`` only those partitions' folders are listed."""
+    reader = spark.read.schema(mart.schema).option("basePath", path)
+    if values is None:
+        return reader.parquet(path).select(*mart.columns)
+    return read_partitions(spark, reader, path, mart.partition_col, values, mart.schema).select(*mart.columns)
+
+
+def read_partitions(spark: SparkSession, reader, path: str, column: str, values: list, schema: StructType) -> DataFrame:
+    """The folders of these date partition values that exist, and no others."""
+    fs, _ = _filesystem(spark, path)
+    folders = [f"{path}/{column}={_NULL_PARTITION if v is None else v.isoformat()}" for v in values]
+    there = [f for f in folders if fs.exists(_filesystem(spark, f)[1])]
+    return reader.parquet(*there) if there else spark.createDataFrame([], schema)
+
+
 def append(df: DataFrame, mart: Mart, path: str, replace_partition: bool = False) -> None:
     """``INSERT INTO`` the mart.  A rerun appends the same rows again; with
     ``replace_partition=True`` the partitions written are replaced instead."""
     spark = df.sparkSession
+    rows = checked(df, mart)
     ensure(spark, mart, path)
-    writer = df.select(*mart.columns).write.partitionBy(mart.partition_col)
+    writer = rows.write.partitionBy(mart.partition_col)
     if replace_partition:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
@@ -153,47 +210,24 @@ def merged_rows(target: DataFrame, source: DataFrame, mart: Mart) -> DataFrame:
     return j.select(*out)
 
 
-# Above this many touched partitions the target is narrowed by a semi-join
-# instead of a literal partition list (the scheduled windows touch at most two
-# months of days, or one month start).
-MAX_LISTED_PARTITIONS = 10_000
-
-
-def _stage_source(source: DataFrame, mart: Mart) -> tuple[DataFrame, list]:
-    """Write the merge source below the scratch root and read it back (one
-    job; the lineage is cut), then list its distinct partition values from
-    the staged files (a small job over a small table)."""
-    spark = source.sparkSession
-    p = mart.partition_col
-    path = scratch_path(spark, f"merge-source-{mart.name}")
-    source.select(*mart.columns).write.parquet(path)
-    staged = spark.read.schema(mart.schema).parquet(path)
-    values = [r[0] for r in staged.select(p).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()]
-    return staged, values
-
-
 def upsert(source: DataFrame, mart: Mart, path: str) -> None:
     """MERGE ``source`` into the mart at ``path`` (see the module notes).
 
-    The source (a daily or monthly roll-up) is staged once in the scratch
-    folder: the merge reads it twice, and its partition values become a
-    literal filter (all mart partition columns are dates), so the target scan lists only the touched partitions
-    instead of the mart's whole history.
+    The source (a daily or monthly roll-up) is staged once: the merge reads it
+    twice, and its partition values (dates) name the folders of the target that
+    are read.  The merged rows are staged too, which cuts the lineage back to the
+    files about to be replaced; both folders are removed at the end.
     """
     spark = source.sparkSession
+    rows = checked(source, mart)
     ensure(spark, mart, path)
-    scratch_root(spark)  # makes sure a checkpoint folder is set
     p = mart.partition_col
-    src, parts = _stage_source(source, mart)
-    target = read(spark, mart, path)
-    if len(parts) <= MAX_LISTED_PARTITIONS:
-        values = [v for v in parts if v is not None]
-        cond = F.col(p).isin([date_lit(v) for v in values]) if values else F.lit(False)
-        if len(values) < len(parts):
-            cond = cond | F.col(p).isNull()
-        target = target.filter(cond)
-    if repeated_matches(target, src, mart).limit(1).count():
-        raise MergeError(f"MERGE into {mart.name}: a target row matches more than one source row")
-    merged = merged_rows(target, src, mart).checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(mart.partition_col).parquet(path))
+    with Staging(spark) as staging:
+        src = staging.table(rows, f"merge-source-{mart.name}")
+        parts = sorted((r[0] for r in src.select(p).distinct().collect()), key=str)  # one value a day
+        target = read(spark, mart, path, parts)
+        if not repeated_matches(target, src, mart).isEmpty():
+            raise MergeError(f"MERGE into {mart.name}: a target row matches more than one source row")
+        merged = staging.table(merged_rows(target, src, mart), f"merged-{mart.name}")
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(mart.partition_col).parquet(path))

@@ -1,14 +1,10 @@
 """Slot use per job: per second, per minute (mean and peak), per job.
 
-The timeline is hash-partitioned once on ``(project_id, job_id, minute)``.
-Both the per-second and the per-minute roll-ups group by supersets of these
-columns, so they run in place with no further shuffle; the minute in the key
-spreads a long-running hot job over many tasks (a single job cannot have more
-than one row per second, so its minutes are few).
-
-For the mart, the per-minute rows are then placed by the job keys
-``(project, job, user)``: the per-job roll-up runs in place, and so do the
-two left joins with the jobs (job text on the job keys, slot-hours on the job
+The timeline is hash-partitioned once on the job keys ``(project, job, user)``.
+The per-second, per-minute and per-job roll-ups group by supersets of these
+columns, so they run in place with no further shuffle.  A job has at most one
+row per second, about 110,000 in the window: no job key is hot.  The two left
+joins with the jobs run in place too (job text on the job keys, slot-hours on the job
 keys plus reservation).  The slot side carries, per job, a map from
 reservation to its slot-hours; looking up the job's own reservation is the
 four-key equality join (a NULL reservation finds nothing), with one
@@ -37,9 +33,7 @@ def recent_timeline(timeline: DataFrame, asof: AsOf, window: str = "as_written",
 
 def slot_second(timeline: DataFrame) -> DataFrame:
     """``SUM(period_slot_ms)`` per second and job (``slot_sec = ms / 1000``)."""
-    placed = timeline.withColumn("period_minute", trunc_minute("period_start")).repartition(
-        "project_id", "job_id", "period_minute"
-    )
+    placed = timeline.withColumn("period_minute", trunc_minute("period_start")).repartition(*JOB_KEYS)
     return placed.groupBy("period_start", "period_minute", *SLOT_KEYS).agg(
         F.sum("period_slot_ms").alias("slot_ms")
     )
@@ -71,7 +65,7 @@ def slot_hours_by_job(minutes: DataFrame) -> DataFrame:
     unique per reservation, and a NULL reservation (which no equality join can
     match) is left out of the map.
     """
-    hours = slot_job_hours(minutes.repartition(*JOB_KEYS)).filter(F.col("reservation_id").isNotNull())
+    hours = slot_job_hours(minutes).filter(F.col("reservation_id").isNotNull())
     entry = F.struct("reservation_id", F.struct("optimistic_slot_hour", "pessmistic_slot_hour"))
     return hours.groupBy(*JOB_KEYS).agg(F.map_from_entries(F.collect_list(entry)).alias("slot_by_reservation"))
 

@@ -4,21 +4,26 @@
         --asof 2024-01-29T21:00:00
 
 Telemetry is read from ``--telemetry`` (one folder per view, see
-``costbook.sources.telemetry.TABLES``).  Without ``--asof`` nothing runs:
-the clock is always explicit (``now`` prints the instant it took), so a
-rerun is reproducible.
+``costbook.sources.telemetry.TABLES``); ``--scratch`` names a folder that all
+executors share, unless ``spark.checkpoint.dir`` does.  Without ``--asof``
+nothing runs: the clock is always explicit (``now`` prints the instant it
+took), so a rerun is reproducible.  Marts that failed are listed with their
+error, and the exit status is then 1.
 """
 
 from __future__ import annotations
 
 import argparse
+import sys
 from datetime import datetime, timezone
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 from costbook.asof import DEFAULT_REGION, DEFAULT_ZONE, AsOf
 from costbook.plans.pipelines import run_daily
-from costbook.sources.telemetry import read_telemetry
+from costbook.session import CLUSTER_CONF, is_local
+from costbook.sources.telemetry import export
 
 
 def main(argv=None) -> None:
@@ -29,14 +34,35 @@ def main(argv=None) -> None:
                     help="UTC instant, ISO format; 'now' takes the current instant (printed, so a rerun can repeat it)")
     ap.add_argument("--zone", default=DEFAULT_ZONE)
     ap.add_argument("--region", default=DEFAULT_REGION)
+    ap.add_argument("--scratch", help="folder shared by all executors, for staged tables")
     args = ap.parse_args(argv)
-    spark = SparkSession.builder.appName("costbook-daily").getOrCreate()
+    spark = _session(args.scratch)
     if args.asof == "now":
         args.asof = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0).isoformat()
         print(f"asof\t{args.asof}")
     asof = AsOf.parse(args.asof, args.zone, args.region)
-    for name, path in run_daily(spark, read_telemetry(spark, args.telemetry), asof, args.marts).items():
-        print(f"{name}\t{path}")
+    run = run_daily(spark, export(spark, args.telemetry, asof), asof, args.marts)
+    for name, path in run.paths.items():
+        error = run.errors.get(name)
+        print(f"{name}\t{path}" if error is None else f"{name}\tFAILED\t{type(error).__name__}: {str(error).splitlines()[0]}")
+        for project, why in run.skipped.get(name, {}).items():
+            print(f"{name}\tskipped\t{project}\t{why}")
+    if run.errors:
+        sys.exit(1)
+
+
+def _session(scratch: str | None) -> SparkSession:
+    """The session of the submit; off local masters with the settings for a large cluster."""
+    given = SparkConf()
+    builder = SparkSession.builder.appName("costbook-daily").config("spark.sql.session.timeZone", "UTC")
+    if not is_local(given.get("spark.master", "local")):
+        builder = builder.config(map={k: v for k, v in CLUSTER_CONF.items() if not given.contains(k)})
+    if scratch:
+        builder = builder.config("spark.checkpoint.dir", scratch)
+    spark = builder.getOrCreate()
+    if scratch:
+        spark.sparkContext.setCheckpointDir(scratch)
+    return spark
 
 
 if __name__ == "__main__":

@@ -18,11 +18,11 @@ from costbook import schemas
 from costbook.asof import DEFAULT_ASOF, AsOf
 from costbook.functions import admin_project, date_lit
 from costbook.operators import editions, jobs, ondemand, sinks, slots, storage
-from costbook.operators.prices import append_compute_prices, edition_price, storage_prices
+from costbook.operators.prices import append_compute_prices, append_storage_prices, edition_price, storage_prices
 from costbook.plans import pipelines
 from costbook.session import scratch_path
 from costbook.sources import fixtures
-from costbook.sources.fanin import fan_in
+from costbook.sources.fanin import PerProject, fan_in
 from costbook.sources.telemetry import read_table
 
 ASOF = DEFAULT_ASOF
@@ -177,6 +177,28 @@ def price_revision_append(spark, sf_dir):
     return ondemand.ondemand_day_cost(_t(spark, sf_dir).jobs, prices, ASOF)
 
 
+def price_revision_storage(spark, sf_dir):
+    """Append the 2024-01-01 revision to a storage price list holding the first
+    one, then price the month with the result."""
+    path = scratch_path(spark, "price-storage")
+    append_storage_prices(fixtures.price_storage(spark, OLD_PRICES), path)
+    revision = fixtures.price_storage(spark).filter(F.col("application_start_date") > date_lit(OLD_PRICES))
+    append_storage_prices(revision, path)
+    t = _t(spark, sf_dir).with_(price_storage=spark.read.schema(schemas.PRICE_STORAGE).parquet(path))
+    daily = pipelines.read_month(spark, _daily_history_mart(spark, sf_dir), ASOF)
+    return pipelines.monthly_storage_pricing_source(daily, t, ASOF)
+
+
+def create_mart(spark, sf_dir):
+    """The slot-analysis mart created, created again (a no-op), filled, and read
+    by the schema that it keeps."""
+    path = scratch_path(spark, "mart-created")
+    sinks.ensure(spark, sinks.SLOT_ANALYSIS, path)
+    sinks.ensure(spark, sinks.SLOT_ANALYSIS, path)
+    pipelines.run_slot_analysis(_t(spark, sf_dir), ASOF, path)
+    return spark.read.schema(sinks.kept_schema(spark, path)).parquet(path)
+
+
 # --- predicates and projections --------------------------------------------------------
 def filter_month_window(spark, sf_dir):
     return editions.filter_month_window(_t(spark, sf_dir).jobs_timeline, ASOF)
@@ -328,9 +350,27 @@ def fan_in_skip(spark, sf_dir):
     return storage.billing_model(result.frame)
 
 
-# --- whole pipelines -------------------------------------------------------------------------
+# --- whole pipelines, on sources exported one folder per project ------------------------------
+_PROJECT_COLUMN = {"reservation_timeline": "project_id", "reservations": "project_id", "job_text": "project_id",
+                   "schema_options": "catalog_name"}
+
+
+def _by_project(spark, sf_dir, *names):
+    """The telemetry with the named sources written one folder per project."""
+    t = _t(spark, sf_dir)
+    sources = {}
+    for name in names:
+        root = scratch_path(spark, f"{name}-by-project")
+        rows = getattr(t, name)
+        rows.withColumn("export_project", F.col(_PROJECT_COLUMN[name])).write.partitionBy("export_project").parquet(root)
+        sources[name] = PerProject(spark, root + "/export_project={key}", rows.schema)
+    return t.with_(**sources)
+
+
 def editions_day_pricing(spark, sf_dir):
-    return upsert_editions(spark, sf_dir)
+    path = scratch_path(spark, "mart-editions")
+    pipelines.run_editions_day_pricing(_by_project(spark, sf_dir, "reservation_timeline", "reservations"), ASOF, path)
+    return sinks.read(spark, sinks.DAILY_EDITIONS_COMPUTE_PRICING, path)
 
 
 def ondemand_day_pricing(spark, sf_dir):
@@ -340,8 +380,9 @@ def ondemand_day_pricing(spark, sf_dir):
 
 
 def daily_storage_usage(spark, sf_dir):
+    """A project without options (here proj-6) is skipped: its tables count as logical."""
     path = scratch_path(spark, "mart-daily-storage")
-    pipelines.run_daily_storage_usage(_t(spark, sf_dir), ASOF, path)
+    pipelines.run_daily_storage_usage(_by_project(spark, sf_dir, "schema_options"), ASOF, path)
     return sinks.read(spark, sinks.DAILY_STORAGE_USAGE, path)
 
 
@@ -353,20 +394,20 @@ def monthly_storage_pricing(spark, sf_dir):
 
 def query_analysis(spark, sf_dir):
     path = scratch_path(spark, "mart-query-analysis")
-    pipelines.run_query_analysis(_t(spark, sf_dir), ASOF, path)
+    pipelines.run_query_analysis(_by_project(spark, sf_dir, "job_text"), ASOF, path)
     return sinks.read(spark, sinks.QUERY_ANALYSIS, path)
 
 
 def slot_analysis(spark, sf_dir):
     path = scratch_path(spark, "mart-slot-analysis")
-    pipelines.run_slot_analysis(_t(spark, sf_dir), ASOF, path)
+    pipelines.run_slot_analysis(_by_project(spark, sf_dir, "job_text"), ASOF, path)
     return sinks.read(spark, sinks.SLOT_ANALYSIS, path)
 
 
 def storage_analysis(spark, sf_dir):
     """Yesterday's run (seeded), then today's run appended: the mart holds both days."""
     path = _seed_storage_analysis(spark, sf_dir)
-    pipelines.run_storage_analysis(spark, _t(spark, sf_dir), ASOF, path)
+    pipelines.run_storage_analysis(spark, _by_project(spark, sf_dir, "schema_options"), ASOF, path)
     return sinks.read(spark, sinks.STORAGE_ANALYSIS, path)
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 # Settings for a large cluster (apply with SparkSession.builder.config(map=...)).
@@ -53,37 +53,78 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def require_utc(spark: SparkSession) -> None:
-    """Pin the session zone to UTC.
+    """Raise unless the session zone is UTC.
 
     Telemetry instants are ``timestamp_ntz`` values holding UTC.  Most
     functions used on them are zone-free, but ``timestamp_diff`` and
     ``date_trunc`` accept only zoned timestamps and convert through the
-    session zone; under UTC that conversion is exact (no daylight-saving
-    gaps), so run times and minute/hour buckets do not depend on where the
-    driver runs.
+    session zone; only under UTC is that conversion exact.  The caller's
+    setting is not changed.
     """
-    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    zone = spark.conf.get("spark.sql.session.timeZone", None)
+    if zone not in ("UTC", "Etc/UTC", "Z", "GMT"):
+        raise ValueError(f"the pipelines need spark.sql.session.timeZone=UTC, not {zone}")
+
+
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[n]``)."""
+    return master == "local" or master.startswith("local[")
 
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables and checkpoints.
 
-    On a cluster this is ``spark.checkpoint.dir`` as the deployment names it.
-    Only when the session has none (local tests, the driver's checks) a fresh
-    private folder is made and registered as the checkpoint directory.
+    This is ``spark.checkpoint.dir`` as the deployment names it.  Only a local
+    master without the setting gets a fresh folder of this machine; on several
+    machines such a folder would lose rows, so there it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not configured and not is_local(sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="costbook-ckpt-")
     sc.setCheckpointDir(configured)
     return (sc.getCheckpointDir() or configured).rstrip("/")
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder that this library has written below the scratch root."""
+    if not path.startswith(scratch_root(spark)):
+        raise ValueError(f"{path} is not below the scratch root")
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+class Staging:
+    """Tables written below the scratch root for one run, and removed after it.
+
+    As a context manager it deletes its folders at the end; used without
+    ``with`` (a lazy result that is read later) they stay for the retention of
+    the scratch root.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` as Parquet and read it back: computed once, with statistics."""
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> "Staging":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        for path in self.paths:
+            remove_path(self.spark, path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location below the scratch root."""
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

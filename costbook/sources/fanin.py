@@ -8,9 +8,9 @@ later reads them all in parallel).
 
 Lazy evaluation hides some failures: a missing path fails at once, but a
 corrupt file would fail only when the union runs.  Each source is therefore
-opened eagerly (schema and file footers are read, no rows), and skipped
-sources are reported back instead of being dropped silently.  A source that
-passes the check may still fail in the later job; that error is not caught.
+opened first: a distributed Spark job reads the footer of every file of it and
+merges their schemas, so one corrupt file, or one file of other types, makes
+the source unreadable.  Skipped sources are reported, not dropped silently.
 """
 
 from __future__ import annotations
@@ -33,13 +33,40 @@ class FanInResult:
     skipped: dict[str, str] = field(default_factory=dict)
 
 
+@dataclass(frozen=True)
+class PerProject:
+    """A source that exists once per project, at ``template.format(key=project)``."""
+
+    spark: SparkSession
+    template: str
+    schema: StructType
+
+    def path(self, key: str) -> str:
+        return self.template.format(key=key)
+
+
+def gather(source: DataFrame | PerProject, keys: DataFrame, column: str, on_error: str) -> tuple[DataFrame, dict[str, str]]:
+    """A source's rows for the projects that ``keys`` names, and what was skipped and why.
+
+    A single dataset is returned as it is (a later join picks its rows).  For
+    sources per project the distinct keys come to the driver: an organisation's
+    projects, a list that names one folder each.
+    """
+    if isinstance(source, DataFrame):
+        return source, {}
+    names = [r[0] for r in keys.select(column).distinct().collect() if r[0] is not None]
+    result = fan_in(source.spark, {k: source.path(k) for k in names}, source.schema, on_error)
+    return result.frame, result.skipped
+
+
 def _check(spark: SparkSession, path: str, schema: StructType) -> None:
-    # Reading without a schema makes Spark list the files and read their
-    # footers now; a missing folder or a corrupt footer raises here.
-    probe = spark.read.parquet(path)
-    missing = [f.name for f in schema.fields if f.name not in probe.columns]
-    if missing:
-        raise FanInError(f"{path}: missing columns {missing}")
+    # With schema merging Spark reads the footers of all files in a job.
+    probe = spark.read.option("mergeSchema", "true").option("ignoreCorruptFiles", "false").parquet(path)
+    have = {f.name: f.dataType.simpleString() for f in probe.schema.fields}
+    wrong = [f"{f.name}: {have.get(f.name, 'missing')}" for f in schema.fields
+             if have.get(f.name) != f.dataType.simpleString()]
+    if wrong:
+        raise FanInError(f"{path}: columns missing or of another type: {wrong}")
 
 
 def fan_in(
@@ -53,7 +80,7 @@ def fan_in(
 
     ``on_error="raise"`` stops at the first unreadable source (in key order,
     the strict loop); ``"skip"`` leaves it out and records it in ``skipped``.
-    The per-source checks only read metadata; ``parallelism`` of them run at
+    The checks read footers only, in Spark jobs of which ``parallelism`` run at
     once, so thousands of projects do not mean thousands of sequential
     round trips.
     """

@@ -38,7 +38,6 @@ from pyspark.sql import functions as F
 
 from costbook import schemas
 from costbook.functions import admin_project, ntz, trunc_minute
-from costbook.session import require_utc
 from costbook.sources.telemetry import Telemetry
 
 # Reservation ids of the fixture and the edition each stands for.
@@ -293,8 +292,10 @@ def daily_storage_history(events: DataFrame) -> DataFrame:
 
 
 def telemetry(spark: SparkSession, sf_dir: str, price_up_to: date | None = None) -> Telemetry:
-    """All pipeline inputs derived from the driver tables at ``sf_dir``."""
-    require_utc(spark)
+    """All pipeline inputs derived from the driver tables at ``sf_dir``.
+
+    The fixture's session runs in UTC: the driver's tables hold UTC."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     events = read_driver_table(spark, sf_dir, "events")
     lineitem = read_driver_table(spark, sf_dir, "lineitem")
     timeline = jobs_timeline(events)

@@ -1,24 +1,29 @@
 """Telemetry inputs of the pipelines.
 
 The scheduled scripts query live warehouse views.  Here every view is an
-exported table: one dataset per view, with explicit schemas so no job is spent
-on inference and the scan reads only the columns a plan needs.  Views that
-the scripts read "one per project" (job text, reservation timeline,
-reservations, schema options) are single datasets holding the project column;
-a plain join to the selected keys replaces the scripts' per-project loop.
-Where an export really is split into one folder per project, use
-:func:`costbook.sources.fanin.fan_in`.
+exported table: one dataset per view, read with its declared columns.  Views
+that the scripts read "one per project" (job text, reservation timeline,
+reservations, schema options) are single datasets holding the project column,
+or a :class:`costbook.sources.fanin.PerProject`, one folder per project.
+
+An export laid out by the UTC day of a timestamp is read through the folders
+of the days that a pipeline's window touches: :func:`export` knows the windows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costbook import schemas
+from costbook.asof import AsOf
+from costbook.functions.timecols import DAY_PARTITION_OF
 from costbook.session import require_utc
+from costbook.sources.fanin import PerProject
 
 # Dataset names below an export root, and their schemas.
 TABLES = {
@@ -36,46 +41,80 @@ TABLES = {
 
 @dataclass(frozen=True)
 class Telemetry:
-    """The inputs of all seven pipelines, as lazy DataFrames."""
+    """The inputs of all seven pipelines, as lazy DataFrames or per-project sources."""
 
     jobs: DataFrame
     jobs_timeline: DataFrame
-    job_text: DataFrame
-    reservation_timeline: DataFrame
-    reservations: DataFrame
+    job_text: DataFrame | PerProject
+    reservation_timeline: DataFrame | PerProject
+    reservations: DataFrame | PerProject
     table_storage: DataFrame
-    schema_options: DataFrame
+    schema_options: DataFrame | PerProject
     price_compute: DataFrame
     price_storage: DataFrame
 
-    def with_(self, **frames: DataFrame) -> "Telemetry":
+    def with_(self, **frames) -> "Telemetry":
         return replace(self, **frames)
 
+    @property
+    def spark(self) -> SparkSession:
+        return self.jobs.sparkSession
+
 
 # Columns kept when an export has them (used by opt-in corrections only).
 OPTIONAL = {"reservations": schemas.RESERVATIONS_OPTIONAL.fields}
 
-# Day partition columns an export may be laid out by (UTC day of a timestamp):
-# jobs by ``creation_date``, timelines by ``period_date``.  When present they
-# are kept, and the window filters add the implied partition predicates.
-DAY_PARTITION_COLUMNS = ("creation_date", "period_date")
+# Day partition columns an export may be laid out by (UTC day of a timestamp).
+# When present they are kept, and the window filters add the partition predicate.
+DAY_PARTITION_COLUMNS = tuple(DAY_PARTITION_OF.values())
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Read one exported dataset with its declared schema.
+def read_table(spark: SparkSession, root: str, name: str, column: str | None = None,
+               window: tuple[datetime, datetime] | None = None) -> DataFrame:
+    """Read one exported dataset, cast to its declared columns.
 
-    Hive-style partition folders below it are discovered; a day partition
-    column is kept so filters on it prune folders.  Other columns outside the
-    schema are not read.
+    Spark infers the schema from a footer, so that exports with other integer
+    widths or zoned timestamps are accepted; columns outside the schema are not
+    read.  With ``column`` and ``window``, an export laid out by that column's
+    day is listed and read for the days of the window only.
     """
     require_utc(spark)  # zoned timestamps in an export are cast to UTC wall clock
-    schema = TABLES[name]
-    df = spark.read.option("basePath", f"{root}/{name}").parquet(f"{root}/{name}")
+    schema, path = TABLES[name], f"{root}/{name}"
+    paths = [path] if window is None else _day_folders(spark, path, DAY_PARTITION_OF[column], *window)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    df = spark.read.option("basePath", path).parquet(*paths)
     parts = [F.col(c).cast("date").alias(c) for c in DAY_PARTITION_COLUMNS if c in df.columns]
     optional = [df[f.name].cast(f.dataType).alias(f.name) for f in OPTIONAL.get(name, ()) if f.name in df.columns]
     return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields], *optional, *parts)
 
 
-def read_telemetry(spark: SparkSession, root: str) -> Telemetry:
+def _day_folders(spark: SparkSession, path: str, part: str, lo: datetime, hi: datetime) -> list[str]:
+    """The existing day folders from ``lo`` to ``hi``; the whole dataset if it is not laid out by ``part``."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = jpath(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not len(fs.globStatus(jpath(f"{path}/{part}=*")) or ()):
+        return [path]
+    days = [lo.date() + timedelta(days=k) for k in range((hi.date() - lo.date()).days + 1)]
+    folders = [f"{path}/{part}={d.isoformat()}" for d in days]
+    return [f for f in folders if fs.exists(jpath(f))]
+
+
+def read_telemetry(spark: SparkSession, root: str, windows: dict[str, tuple] | None = None) -> Telemetry:
+    """All datasets below ``root``; ``windows`` maps a dataset to (column, window)."""
     require_utc(spark)
-    return Telemetry(**{name: read_table(spark, root, name) for name in TABLES})
+    windows = windows or {}
+    return Telemetry(**{name: read_table(spark, root, name, *windows.get(name, ())) for name in TABLES})
+
+
+def export(spark: SparkSession, root: str, asof: AsOf, window: str = "as_written") -> Callable[[str], Telemetry]:
+    """The telemetry at ``root`` by mart: each pipeline lists the days of its own windows."""
+    month, recent = asof.month_window_utc(0), asof.recent_window(window)
+    windows = {
+        "daily_editions_compute_pricing": {"jobs_timeline": ("period_start", month),
+                                           "reservation_timeline": ("period_start", month)},
+        "daily_ondemand_compute_pricing": {"jobs": ("creation_time", asof.month_window_utc(1))},
+        "query_analysis": {"jobs": ("start_time", recent)},
+        "slot_analysis": {"jobs": ("start_time", recent), "jobs_timeline": ("period_start", recent)},
+    }
+    return lambda mart: read_telemetry(spark, root, windows.get(mart))
