@@ -35,6 +35,8 @@ FRAGMENTS = 8
 SMALL = 16
 #: At most so many n-grams are known to be frequent: one megabyte for each task.
 FREQUENT = 1 << 17
+#: At most so many ids of candidates are broadcast (16 bytes each).
+BROADCAST_IDS = 1 << 19
 _FLUSH = 1 << 22
 
 
@@ -186,6 +188,22 @@ def _pairs(rows: DataFrame, percent: int) -> DataFrame:
         F.when(F.col("node_a") < F.col("node_b"), F.col("size_b")).otherwise(F.col("size_a")).alias("size_b")).distinct()
 
 
+def _shared_enough(pairs: DataFrame, buckets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose early n-grams agree in enough places.
+
+    All common n-grams of the two prefixes are in ``buckets``.  Where the prefix that
+    ends first in the order ends, all before it is known, and at most the rest of that
+    document can still agree: the overlap is at most common + size - prefix length.
+    """
+    early = buckets.groupBy("node").agg(F.collect_set("token").alias("early"))
+    rest = lambda size: F.ceil(F.lit(percent) * F.col(size) / F.lit(100)) - 1
+    need = F.ceil(F.lit(percent) * (F.col("size_a") + F.col("size_b")) / F.lit(100 + percent))
+    both = pairs.join(early.select(F.col("node").alias("a"), F.col("early").alias("early_a")), "a").join(
+        early.select(F.col("node").alias("b"), F.col("early").alias("early_b")), "b")
+    common_ = F.size(F.array_intersect("early_a", "early_b"))
+    return both.filter(common_ + F.greatest(rest("size_a"), rest("size_b")) >= need).select("a", "b", "size_a", "size_b")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
                     percent: int = 80) -> DataFrame:
     """Per row of ``docs``: the id, n_shingles and component_id (the smallest id reachable by links)."""
@@ -225,7 +243,8 @@ def _links(read: DataFrame, found: DataFrame, buckets: DataFrame, words: int, pe
     centres = large.filter("node = lead OR node = other")
     stars = _sided(large, "a").join(_sided(centres, "b"), "token").filter("node_a != node_b")
     pairs = common.staged(_pairs(both.unionByName(stars), percent), "ngram-pairs")
-    links = common.staged(_verified(read, found, pairs, words, percent, order), "ngram-links")
+    near = common.staged(_shared_enough(pairs, buckets, percent), "ngram-near")
+    links = common.staged(_verified(read, found, near, words, percent, order), "ngram-links")
     if large.isEmpty():
         return links
     label = common.connected_components(links)
@@ -238,7 +257,7 @@ def _links(read: DataFrame, found: DataFrame, buckets: DataFrame, words: int, pe
     across = _sided(minor, "a", "component").join(_sided(placed, "b", "component"), "token").filter(
         "component_a != component_b")
     rest = _pairs(across, percent).join(pairs, ["a", "b"], "left_anti")
-    rest = common.staged(rest, "ngram-rest")
+    rest = common.staged(_shared_enough(rest, buckets, percent), "ngram-rest")
     if rest.isEmpty():
         return links
     return links.unionByName(_verified(read, found, rest, words, percent, order))
@@ -248,10 +267,12 @@ def _verified(read: DataFrame, found: DataFrame, pairs: DataFrame, words: int, p
     """The pairs whose partial overlaps sum to the similarity."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     classes = found.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"))
-    ids = classes.join(nodes, "node", "left_semi").select(F.col("id").alias("want")).distinct()
-    texts = read.join(ids, F.col("id").eqNullSafe(F.col("want")), "left_semi").select("data")
+    ids = common.staged(classes.join(nodes, "node", "left_semi").select(F.col("id").alias("want")).distinct(), "ngram-ids")
+    # few ids are broadcast, so that the texts stay where they are; many meet the texts in a shuffle
+    few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    texts = read.join(few, F.col("id").eqNullSafe(F.col("want")), "left_semi").select("data")
     segments = texts.mapInArrow(_segments(words, order), "node long, fragment int, grams array<long>")
-    segments = common.staged(segments.join(nodes, "node", "left_semi").dropDuplicates(["node", "fragment"]), "ngram-segments")
+    segments = common.staged(segments.dropDuplicates(["node", "fragment"]), "ngram-segments")
     one = pairs.join(segments.withColumnRenamed("node", "a"), "a")
     two = one.join(segments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("grams_b")), ["b", "fragment"])
     overlap = two.select("a", "b", "size_a", "size_b", F.size(F.array_intersect("grams", "grams_b")).alias("n")).groupBy(
