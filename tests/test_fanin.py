@@ -42,3 +42,17 @@ def test_many_sources_checked_in_parallel(spark, tmp_dir):
     assert sorted(res.skipped) == [f"p{i:02d}" for i in range(0, 40, 5)]
     with pytest.raises(FanInError, match="'p00'"):
         fan_in(spark, sources, schemas.SCHEMA_OPTIONS, on_error="raise", parallelism=8)
+
+
+def test_one_corrupt_or_odd_file_makes_a_source_unreadable(spark, tmp_dir):
+    for name in ("half", "odd", "good"):
+        _write(spark, f"{tmp_dir}/{name}", [(name, "d", "storage_billing_model", "LOGICAL")])
+    with open(f"{tmp_dir}/half/part-zz-corrupt.parquet", "wb") as fh:
+        fh.write(b"garbage that is not parquet")
+    spark.range(3).selectExpr("id AS catalog_name", "'d' AS schema_name", "'o' AS option_name", "'v' AS option_value").write.mode(
+        "append").parquet(f"{tmp_dir}/odd")
+    sources = {k: f"{tmp_dir}/{k}" for k in ("half", "odd", "good")}
+    res = fan_in(spark, sources, schemas.SCHEMA_OPTIONS, on_error="skip")
+    assert set(res.skipped) == {"half", "odd"} and res.frame.count() == 1
+    with pytest.raises(FanInError):
+        fan_in(spark, sources, schemas.SCHEMA_OPTIONS, on_error="raise")

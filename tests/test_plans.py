@@ -5,10 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from conftest import SF_SMALL
 from costbook.asof import DEFAULT_ASOF as A
 from costbook.operators import editions, jobs, ondemand, slots
+from costbook.plans.registry import QUERIES
 from costbook.sources import fixtures
 from costbook.sources.telemetry import TABLES, read_telemetry
 
@@ -47,19 +47,19 @@ def test_scan_reads_only_needed_columns(exported):
     assert set(c.split(":")[0] for c in schema.split(",")) == {"project_id", "reservation_id", "statement_type"}
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_python_udf(spark, key):
-    plan = _plan(entry.queries()[key](spark, SF_SMALL))
+    plan = _plan(QUERIES[key](spark, SF_SMALL))
     assert not re.search(r"PythonUDF|BatchEvalPython|ArrowEvalPython|FlatMapGroupsInPandas", plan)
 
 
-def test_slot_rollups_shuffle_twice(exported):
+def test_slot_rollups_shuffle_once(exported):
     df = slots.slot_job_hours(slots.slot_minute(slots.slot_second(slots.recent_timeline(exported.jobs_timeline, A))))
     plan = df._jdf.queryExecution().sparkPlan().toString()
     exchanges = re.findall(r"Exchange (\w+)", df._jdf.queryExecution().executedPlan().toString())
     assert plan  # planned
-    # one placement by (project, job, minute) for the second and minute roll-ups, one for the per-job roll-up
-    assert len(exchanges) == 2, exchanges
+    # one placement by the job keys serves the second, minute and job roll-ups
+    assert len(exchanges) == 1, exchanges
 
 
 def test_query_analysis_shuffles(spark, exported):
@@ -101,7 +101,7 @@ def day_partitioned(spark, tmp_path_factory):
 
     root = str(tmp_path_factory.mktemp("export_by_day"))
     t = fixtures.telemetry(spark, SF_SMALL)
-    t.jobs.withColumn("creation_date", F.to_date("creation_time")).write.partitionBy("creation_date").parquet(
+    t.jobs.withColumn("start_date", F.to_date("start_time")).write.partitionBy("start_date").parquet(
         f"{root}/jobs")
     t.jobs_timeline.withColumn("period_date", F.to_date("period_start")).write.partitionBy("period_date").parquet(
         f"{root}/jobs_timeline")
@@ -113,8 +113,7 @@ def day_partitioned(spark, tmp_path_factory):
 
 @pytest.mark.parametrize("build,part", [
     (lambda t: editions.filter_month_window(t.jobs_timeline, A), "period_date"),
-    (lambda t: ondemand.filter_two_month_window(t.jobs, A), "creation_date"),
-    (lambda t: jobs.filter_recent_window(t.jobs, "start_time", A), "creation_date"),
+    (lambda t: jobs.filter_recent_window(t.jobs, "start_time", A), "start_date"),
     (lambda t: slots.recent_timeline(t.jobs_timeline, A), "period_date"),
 ])
 def test_day_partitions_are_pruned(day_partitioned, build, part):
@@ -182,7 +181,7 @@ def test_broadcast_if_small(spark):
     assert "ResolvedHint" in small.hint("broadcast")._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in broadcast_if_small(small)._jdf.queryExecution().analyzed().toString().lower()
     big = spark.range(50)
-    assert "broadcast" not in broadcast_if_small(big, max_rows=10)._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in broadcast_if_small(big, max_bytes=100)._jdf.queryExecution().analyzed().toString().lower()
 
 
 def test_reservation_timeline_is_not_shuffled_by_project(spark, exported):
@@ -205,5 +204,64 @@ def test_slot_analysis_shuffles_each_input_once(spark, exported):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     exchanges = re.findall(r"Exchange hashpartitioning\((\w+)#\d+, (\w+)#\d+, (\w+)", plan)
-    # timeline by (project, job, minute); minute rows, jobs and text by the job keys
-    assert sorted(e[2] for e in exchanges) == ["period_minute", "user_email", "user_email", "user_email"], exchanges
+    # timeline, jobs and text by the job keys, once each
+    assert [e[2] for e in exchanges] == ["user_email"] * 3, exchanges
+
+
+def test_query_analysis_scans_the_jobs_export_once(spark, exported):
+    """With Bloom filters on: the staged window feeds everything, the export is not in the plan."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        files = jobs.query_analysis_rows(exported.jobs, exported.job_text, A).inputFiles()
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert not any("/jobs/" in f for f in files) and any("recent-jobs" in f for f in files)
+
+
+def test_only_the_window_s_days_are_listed(spark, tmp_path):
+    """Neither an export nor a mart lists other days than those asked for."""
+    from datetime import date, timedelta
+
+    from costbook.operators import sinks
+    from costbook.sources.telemetry import export, read_table
+
+    root = str(tmp_path)
+    t = fixtures.telemetry(spark, SF_SMALL)
+    t.jobs.withColumn("start_date", F.to_date("start_time")).write.partitionBy("start_date").parquet(f"{root}/jobs")
+    lo, hi = A.recent_window()
+    df = read_table(spark, root, "jobs", "start_time", (lo, hi))
+    days = {f.split("start_date=")[1][:10] for f in df.inputFiles()}
+    assert days and days <= {(lo.date() + timedelta(days=k)).isoformat() for k in range(3)}
+    assert len(read_table(spark, root, "jobs").inputFiles()) > len(df.inputFiles())
+    for name in TABLES:
+        if name != "jobs":
+            getattr(t, name).write.parquet(f"{root}/{name}")
+    one = export(spark, root, A)("query_analysis")
+    whole = jobs.recent_jobs(t.jobs, A)
+    assert jobs.recent_jobs(one.jobs, A).count() == whole.count() > 0
+
+    mart = f"{root}/mart"
+    sinks.append(fixtures.daily_storage_history(fixtures.read_driver_table(spark, SF_SMALL, "events")),
+                 sinks.DAILY_STORAGE_USAGE, mart)
+    day = sinks.read(spark, sinks.DAILY_STORAGE_USAGE, mart, [date(2024, 1, 5)])
+    assert {f.split("/date=")[1][:10] for f in day.inputFiles()} == {"2024-01-05"}
+    assert sinks.read(spark, sinks.DAILY_STORAGE_USAGE, mart, [date(1999, 1, 1)]).count() == 0
+
+
+def test_a_job_created_after_its_start_is_kept(spark, tmp_path):
+    """Only the day of the filtered column prunes."""
+    from datetime import datetime
+
+    from costbook import schemas
+    from helpers import job
+
+    root = str(tmp_path)
+    rows = spark.createDataFrame([job(start=datetime(2024, 1, 29, 12), created=datetime(2024, 1, 31, 1))], schemas.JOBS)
+    from costbook.sources.telemetry import read_table
+
+    rows.withColumn("creation_date", F.to_date("creation_time")).write.partitionBy("creation_date").parquet(f"{root}/jobs")
+    assert jobs.recent_jobs(read_table(spark, root, "jobs"), A).count() == 1

@@ -26,6 +26,32 @@ def test_create_if_absent_is_empty_and_idempotent(spark, tmp_dir):
     assert rows(spark, path) == []
 
 
+def test_a_mart_keeps_its_schema(spark, tmp_dir):
+    path = f"{tmp_dir}/m"
+    good = src(spark, [("a", 1.0, "2024", "2024-01", date(2024, 1, 1))])
+    sinks.append(good, M, path)
+    assert sinks.kept_schema(spark, path) == M.schema
+    with pytest.raises(sinks.MartSchemaError, match="cost"):
+        sinks.append(good.withColumn("cost", good["cost"].cast("string")), M, path)
+    with pytest.raises(sinks.MartSchemaError, match="missing"):
+        sinks.upsert(good.drop("cost"), M, path)
+    with pytest.raises(sinks.MartSchemaError, match="another schema"):
+        sinks.ensure(spark, sinks.QUERY_ANALYSIS, path)
+    assert rows(spark, path) == [("a", 1.0, "2024", "2024-01", date(2024, 1, 1))]
+
+
+def test_merge_over_many_partitions(spark, tmp_dir):
+    """One path for any number of partitions."""
+    from datetime import timedelta
+
+    path = f"{tmp_dir}/m"
+    days = [date(2020, 1, 1) + timedelta(days=k) for k in range(300)]
+    sinks.upsert(src(spark, [("a", 1.0, "x", "x", d) for d in days]).coalesce(1), M, path)
+    sinks.upsert(src(spark, [("a", 2.0, "y", "y", d) for d in days[:150]] + [("b", 3.0, "y", "y", days[-1])]).coalesce(1), M, path)
+    got = rows(spark, path)
+    assert len(got) == 301 and sum(r[1] for r in got) == 2 * 150 + 150 + 3 and {r[2] for r in got if r[0] == "a"} == {"x"}
+
+
 def test_upsert_insert_update_keep(spark, tmp_dir):
     path = f"{tmp_dir}/m"
     d1, d2, d3 = date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)
