@@ -26,9 +26,12 @@ from costbook.sources.fanin import PerProject, fan_in
 from costbook.sources.telemetry import read_table
 
 ASOF = DEFAULT_ASOF
-# The earlier scheduled run that seeds the merge targets: 2024-01-15 21:00 UTC,
-# on the telemetry known at that instant and the first price revision only.
-SEED_ASOF = AsOf(datetime(2024, 1, 15, 21, 0, 0))
+# The earlier scheduled runs that seed the merge targets: 2023-12-15 and
+# 2024-01-15, 21:00 UTC, on the telemetry known at those instants and the first
+# price revision only.  The first one's oldest rows meet no later source row
+# (kept), the second one's are updated, the rest is inserted.
+SEED_ASOF = AsOf(datetime(2023, 12, 15, 21, 0, 0))
+MID_ASOF = AsOf(datetime(2024, 1, 15, 21, 0, 0))
 OLD_PRICES = fixtures.PRICE_REVISION_DATES[0]
 
 
@@ -36,8 +39,8 @@ def _t(spark: SparkSession, sf_dir: str, price_up_to=None):
     return fixtures.telemetry(spark, sf_dir, price_up_to)
 
 
-def _seed_telemetry(spark: SparkSession, sf_dir: str):
-    return fixtures.known_at(_t(spark, sf_dir, OLD_PRICES), SEED_ASOF.instant)
+def _seed_telemetry(spark: SparkSession, sf_dir: str, asof=SEED_ASOF):
+    return fixtures.known_at(_t(spark, sf_dir, OLD_PRICES), asof.instant)
 
 
 # --- sources -----------------------------------------------------------------------
@@ -101,13 +104,14 @@ def price_storage_latest(spark, sf_dir):
 
 
 def _seed_storage_analysis(spark, sf_dir) -> str:
-    """A storage-analysis mart holding yesterday's run, on the tables of
-    lineitem rows with ``l_linenumber > 1``."""
+    """A storage-analysis mart holding the runs of yesterday, on the tables of lineitem
+    rows with ``l_linenumber > 1``, and of two days before, on those ``> 2``."""
     path = scratch_path(spark, "mart-storage-analysis")
     t = _t(spark, sf_dir)
     lineitem = fixtures.read_driver_table(spark, sf_dir, "lineitem")
-    yesterday = t.with_(table_storage=fixtures.table_storage(lineitem.filter(F.col("l_linenumber") > 1)))
-    pipelines.run_storage_analysis(spark, yesterday, ASOF.shifted(days=-1), path)
+    for days in (2, 1):
+        then = t.with_(table_storage=fixtures.table_storage(lineitem.filter(F.col("l_linenumber") > days)))
+        pipelines.run_storage_analysis(spark, then, ASOF.shifted(days=-days), path)
     return path
 
 
@@ -132,15 +136,27 @@ def append_daily(spark, sf_dir):
 
 
 def upsert_editions(spark, sf_dir):
-    """First merge into an empty editions mart: every source row is inserted,
-    repeated keys included (on this data a rerun raises, as MERGE does)."""
+    """Runs of December and of 2024-01-15 (old prices, every edition STANDARD), then
+    today's run: December's rows stay, costs known by then are updated while the
+    edition stays, later days are inserted.  Reservations whose baseline changes
+    within the day would repeat keys (and raise, as MERGE does); they are left out."""
     path = scratch_path(spark, "mart-editions")
-    pipelines.run_editions_day_pricing(_t(spark, sf_dir), ASOF, path)
+
+    def part(t):
+        return t.with_(jobs_timeline=t.jobs_timeline.filter(F.col("reservation_id").isin(
+            fixtures.RESERVATION_STD, fixtures.RESERVATION_ENTPLUS)))
+
+    for asof in (SEED_ASOF, MID_ASOF):
+        t = part(_seed_telemetry(spark, sf_dir, asof))
+        before = t.with_(reservations=t.reservations.withColumn("edition", F.lit("STANDARD")))
+        pipelines.run_editions_day_pricing(before, asof, path, match_reservation=True)
+    pipelines.run_editions_day_pricing(part(_t(spark, sf_dir)), ASOF, path, match_reservation=True)
     return sinks.read(spark, sinks.DAILY_EDITIONS_COMPUTE_PRICING, path)
 
 
 def upsert_ondemand(spark, sf_dir):
-    """The run of 2024-01-15 (old prices), then today's run merged over it."""
+    """December's run (old prices), then today's run merged over it: November's rows
+    stay, December's are updated, January's are inserted."""
     path = scratch_path(spark, "mart-ondemand")
     pipelines.run_ondemand_day_pricing(_seed_telemetry(spark, sf_dir), SEED_ASOF, path)
     pipelines.run_ondemand_day_pricing(_t(spark, sf_dir), ASOF, path)
@@ -157,10 +173,12 @@ def _daily_history_mart(spark, sf_dir, up_to=None) -> str:
 
 
 def upsert_monthly_storage(spark, sf_dir):
-    """Month-to-date prices of 2024-01-16 (old prices), then today's merged over them."""
+    """Month-to-date prices of December and of 2024-01-16 (old prices), then today's
+    merged over them: December stays, January is updated."""
     path = scratch_path(spark, "mart-monthly-storage")
-    seed_hist = _daily_history_mart(spark, sf_dir, up_to=SEED_ASOF.today)
-    pipelines.run_monthly_storage_pricing(spark, _t(spark, sf_dir, OLD_PRICES), SEED_ASOF, seed_hist, path)
+    for asof in (SEED_ASOF, MID_ASOF):
+        seed_hist = _daily_history_mart(spark, sf_dir, up_to=asof.today)
+        pipelines.run_monthly_storage_pricing(spark, _t(spark, sf_dir, OLD_PRICES), asof, seed_hist, path)
     hist = _daily_history_mart(spark, sf_dir)
     pipelines.run_monthly_storage_pricing(spark, _t(spark, sf_dir), ASOF, hist, path)
     return sinks.read(spark, sinks.MONTHLY_STORAGE_PRICING, path)
@@ -405,7 +423,7 @@ def slot_analysis(spark, sf_dir):
 
 
 def storage_analysis(spark, sf_dir):
-    """Yesterday's run (seeded), then today's run appended: the mart holds both days."""
+    """The two days before (seeded), then today's run appended: the mart holds three days."""
     path = _seed_storage_analysis(spark, sf_dir)
     pipelines.run_storage_analysis(spark, _by_project(spark, sf_dir, "schema_options"), ASOF, path)
     return sinks.read(spark, sinks.STORAGE_ANALYSIS, path)
@@ -428,8 +446,26 @@ def editions_match_reservation(spark, sf_dir):
 
 
 def ondemand_latest_per_key(spark, sf_dir):
-    """Newest price per class and region, not over the whole price list."""
-    return pipelines.ondemand_day_pricing_source(_t(spark, sf_dir), ASOF, latest_per_key=True)
+    """Newest price per class and region, not over the whole price list, whose last
+    revision covers one class only."""
+    t = fixtures.with_partial_revision(_t(spark, sf_dir))
+    return pipelines.ondemand_day_pricing_source(t, ASOF, latest_per_key=True)
+
+
+def ondemand_partial_revision(spark, sf_dir):
+    """As written, a revision that covers one class makes the other prices NULL."""
+    return pipelines.ondemand_day_pricing_source(fixtures.with_partial_revision(_t(spark, sf_dir)), ASOF)
+
+
+def editions_latest_per_key(spark, sf_dir):
+    t = fixtures.with_partial_revision(_t(spark, sf_dir))
+    return pipelines.editions_day_pricing_source(t, ASOF, latest_per_key=True)
+
+
+def monthly_storage_latest_per_key(spark, sf_dir):
+    t = fixtures.with_partial_revision(_t(spark, sf_dir))
+    daily = pipelines.read_month(spark, _daily_history_mart(spark, sf_dir), ASOF)
+    return pipelines.monthly_storage_pricing_source(daily, t, ASOF, latest_per_key=True)
 
 
 def storage_explicit_logical(spark, sf_dir):
@@ -460,6 +496,58 @@ def slot_analysis_all_timeline_states(spark, sf_dir):
     return pipelines.slot_analysis_source(_t(spark, sf_dir), ASOF, timeline_states=None)
 
 
+def _fresh(name):
+    return lambda spark, sf_dir: (_t(spark, sf_dir), scratch_path(spark, f"mart-{name}"))
+
+
+def _run(pipeline, mart):
+    def body(spark, state):
+        t, path = state
+        pipeline(t, ASOF, path)
+        return sinks.read(spark, mart, path)
+
+    return body
+
+
+def _run_monthly(spark, state):
+    (t, path), daily = state
+    pipelines.run_monthly_storage_pricing(spark, t, ASOF, daily, path)
+    return sinks.read(spark, sinks.MONTHLY_STORAGE_PRICING, path)
+
+
+def _run_storage_analysis(spark, state):
+    t, path = state
+    pipelines.run_storage_analysis(spark, t, ASOF, path)
+    return sinks.read(spark, sinks.STORAGE_ANALYSIS, path)
+
+
+def _run_upsert_ondemand(spark, state):
+    t, path = state
+    pipelines.run_ondemand_day_pricing(t, ASOF, path)
+    return sinks.read(spark, sinks.DAILY_ONDEMAND_COMPUTE_PRICING, path)
+
+
+def _seeded_ondemand(spark, sf_dir):
+    path = scratch_path(spark, "mart-ondemand")
+    pipelines.run_ondemand_day_pricing(_seed_telemetry(spark, sf_dir), SEED_ASOF, path)
+    return _t(spark, sf_dir), path
+
+
+# The pipelines as the bench times them: (prepare, run).  Preparing (seeding a
+# mart, writing a source one folder per project) is fixture work and not timed.
+TIMED = {
+    "editions_day_pricing": (_fresh("editions"), _run(pipelines.run_editions_day_pricing, sinks.DAILY_EDITIONS_COMPUTE_PRICING)),
+    "ondemand_day_pricing": (_fresh("ondemand"), _run(pipelines.run_ondemand_day_pricing, sinks.DAILY_ONDEMAND_COMPUTE_PRICING)),
+    "daily_storage_usage": (_fresh("daily"), _run(pipelines.run_daily_storage_usage, sinks.DAILY_STORAGE_USAGE)),
+    "query_analysis": (_fresh("query"), _run(pipelines.run_query_analysis, sinks.QUERY_ANALYSIS)),
+    "slot_analysis": (_fresh("slot"), _run(pipelines.run_slot_analysis, sinks.SLOT_ANALYSIS)),
+    "storage_analysis": (lambda spark, sf_dir: (_t(spark, sf_dir), _seed_storage_analysis(spark, sf_dir)),
+                         _run_storage_analysis),
+    "monthly_storage_pricing": (lambda spark, sf_dir: (_fresh("monthly")(spark, sf_dir), _daily_history_mart(spark, sf_dir)),
+                                _run_monthly),
+    "upsert_ondemand": (_seeded_ondemand, _run_upsert_ondemand),
+}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in list(globals().items())
     if callable(fn) and not name.startswith("_") and getattr(fn, "__module__", None) == __name__

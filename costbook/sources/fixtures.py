@@ -15,7 +15,9 @@ Mapping (events ``e``, lineitem ``l``):
   started at ``ts``, ended ``round(value*1000)`` ms later;
   ``round(value*1e9)`` bytes billed; cache hit for views; statement by event
   type; RUNNING when ``event_id % 10 = 0``, else DONE.
-* timeline: three periods per job, 30 s apart from ``ts`` cut to the second,
+* times: ``ts`` is moved for a share of the events, see ``spread``; jobs of
+  ``event_id % 10 = 2`` were created a month before they start.
+* timeline (its own state: RUNNING when ``(event_id + i) % 10 = 0``): three periods per job, 30 s apart from ``ts`` cut to the second,
   ``round(value*100) * 1000 * (i+1)`` slot ms (whole slot seconds).
 * job text: ``event_type || ' ' || props``, missing when ``event_id % 13 = 0``.
 * reservation timeline: each reservation-minute of the timeline; baseline
@@ -80,6 +82,10 @@ PRICE_STORAGE_ROWS = [
     (0.025, 0.0125, 0.05, 0.025, "asia-northeast1", date(2024, 1, 1)),
     (0.02, 0.01, 0.04, 0.02, "us", date(2024, 1, 1)),
 ]
+# A later revision that covers one class, or the other region, only: as written
+# it makes all other prices NULL; the newest price per key stays.
+PARTIAL_COMPUTE_ROWS = [("enterprise", 0.1, "asia-northeast1", date(2024, 1, 20))]
+PARTIAL_STORAGE_ROWS = [(0.021, 0.011, 0.041, 0.021, "us", date(2024, 1, 20))]
 PRICE_REVISION_DATES = (date(2023, 7, 1), date(2024, 1, 1))
 
 
@@ -121,15 +127,25 @@ def _job_columns() -> dict[str, Column]:
     }
 
 
+def spread(events: DataFrame) -> DataFrame:
+    """The events with ``ts`` moved for a share of them (by ``event_id % 10``: 3 a month
+    back, 7 two months back, 5 a month on) and ``created``, a month before ``ts`` for 2:
+    so that every window has rows outside it."""
+    n = F.col("event_id") % 10
+    days = F.when(n == 3, -31).when(n == 7, -62).when(n == 5, 31).otherwise(0)
+    moved = events.withColumn("ts", F.timestamp_add("DAY", days, F.col("ts").cast("timestamp_ntz")))
+    return moved.withColumn("created", F.timestamp_add("DAY", F.when(n == 2, -31).otherwise(0), F.col("ts")))
+
+
 def jobs(events: DataFrame) -> DataFrame:
     c = _job_columns()
-    ts = F.col("ts").cast("timestamp_ntz")
-    return events.select(
+    ts = F.col("ts")
+    return spread(events).select(
         c["project_id"].alias("project_id"),
         c["job_id"].alias("job_id"),
         c["user_email"].alias("user_email"),
         c["reservation_id"].alias("reservation_id"),
-        ts.alias("creation_time"),
+        F.col("created").alias("creation_time"),
         ts.alias("start_time"),
         F.timestamp_add("MILLISECOND", F.round(F.col("value") * 1000).cast("bigint"), ts).alias("end_time"),
         F.round(F.col("value") * 1e9).cast("bigint").alias("total_bytes_billed"),
@@ -141,20 +157,21 @@ def jobs(events: DataFrame) -> DataFrame:
 
 def jobs_timeline(events: DataFrame) -> DataFrame:
     c = _job_columns()
-    ts = F.col("ts").cast("timestamp_ntz")
+    ts = F.col("ts")
     i = F.col("period_index")
+    running = (F.col("event_id") + i) % 10 == 0
     return (
-        events.select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("period_index"))
+        spread(events).select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("period_index"))
         .select(
             c["project_id"].alias("project_id"),
             c["job_id"].alias("job_id"),
             c["user_email"].alias("user_email"),
             c["reservation_id"].alias("reservation_id"),
-            ts.alias("job_creation_time"),
+            F.col("created").alias("job_creation_time"),
             F.timestamp_add("SECOND", i * 30, F.date_trunc("second", ts).cast("timestamp_ntz")).alias("period_start"),
             (F.round(F.col("value") * 100).cast("bigint") * 1000 * (i + 1)).alias("period_slot_ms"),
             c["statement_type"].alias("statement_type"),
-            c["state"].alias("state"),
+            F.when(running, F.lit("RUNNING")).otherwise(F.lit("DONE")).alias("state"),
         )
     )
 
@@ -274,10 +291,18 @@ def price_storage(spark: SparkSession, up_to: date | None = None) -> DataFrame:
     return spark.createDataFrame(rows, schemas.PRICE_STORAGE)
 
 
+def with_partial_revision(t: Telemetry) -> Telemetry:
+    """The telemetry with a revision that covers only some of the prices."""
+    spark = t.spark
+    return t.with_(
+        price_compute=t.price_compute.unionByName(spark.createDataFrame(PARTIAL_COMPUTE_ROWS, schemas.PRICE_COMPUTE)),
+        price_storage=t.price_storage.unionByName(spark.createDataFrame(PARTIAL_STORAGE_ROWS, schemas.PRICE_STORAGE)))
+
+
 def daily_storage_history(events: DataFrame) -> DataFrame:
     """Rows of the daily storage mart for the days covered by ``events``."""
     hundredths = F.sum(F.round(F.col("value") * 100).cast("bigint"))
-    per_day = events.groupBy(
+    per_day = spread(events).groupBy(
         _project(F.col("user_id")).alias("project_id"), F.to_date(F.col("ts")).alias("date")
     ).agg(hundredths.alias("s"))
     s = F.col("s").cast("double")
