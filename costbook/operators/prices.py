@@ -36,26 +36,40 @@ def compute_price(prices: DataFrame, region: str, price_class: str, latest_per_k
 
 
 def edition_price(prices: DataFrame, edition: Column, region: str, latest_per_key: bool = False) -> Column:
-    """``CASE edition WHEN 'STANDARD' THEN price('standard') ... END``."""
+    """``CASE edition WHEN 'STANDARD' THEN price('standard') ... END``, with one lookup.
+
+    The lookup is a map from class to price; two prices of one class raise.
+    """
+    key = (F.col("region") == F.lit(region)) & F.col("class").isin(list(EDITION_CLASSES.values()))
+    if latest_per_key:
+        newest = prices.filter(key).groupBy("class").agg(F.max("application_start_date").alias("application_start_date"))
+        rows = prices.filter(key).join(newest, ["class", "application_start_date"])
+    else:
+        rows = prices.filter(_revision_filter(prices, key, False))
+    entries = F.collect_list(F.struct("class", "pay_as_you_go_pricing"))
+    once = F.when(F.count("class") > F.count_distinct("class"), F.raise_error(F.lit("more than one price of a class")))
+    lookup = rows.agg(F.coalesce(once.cast("map<string,double>"), F.map_from_entries(entries)).alias("p")).scalar()
     expr = None
     for name, cls in EDITION_CLASSES.items():
-        p = compute_price(prices, region, cls, latest_per_key)
+        p = lookup[cls]
         expr = F.when(edition == F.lit(name), p) if expr is None else expr.when(edition == F.lit(name), p)
     return expr
 
 
-def storage_price(prices: DataFrame, storage_class: str, region: str, latest_per_key: bool = False) -> Column:
-    """One of the four storage prices of the newest revision in ``region``."""
-    column = STORAGE_PRICE_COLUMNS[storage_class]
+def storage_prices(prices: DataFrame, region: str, latest_per_key: bool = False) -> dict[str, Column]:
+    """The four storage prices of the newest revision in ``region``, with one lookup.
+
+    ``latest_per_key=True`` takes the newest revision that names each price.
+    """
     key = F.col("region") == F.lit(region)
     if latest_per_key:
-        key = key & F.col(column).isNotNull()
-    rows = prices.filter(_revision_filter(prices, key, latest_per_key))
-    return rows.select(column).scalar()
-
-
-def storage_prices(prices: DataFrame, region: str, latest_per_key: bool = False) -> dict[str, Column]:
-    return {k: storage_price(prices, k, region, latest_per_key) for k in STORAGE_PRICE_COLUMNS}
+        out = {}
+        for k, column in STORAGE_PRICE_COLUMNS.items():
+            rows = prices.filter(_revision_filter(prices, key & F.col(column).isNotNull(), True))
+            out[k] = rows.select(column).scalar()
+        return out
+    row = prices.filter(_revision_filter(prices, key, False)).select(F.struct(*STORAGE_PRICE_COLUMNS.values())).scalar()
+    return {k: row[column] for k, column in STORAGE_PRICE_COLUMNS.items()}
 
 
 # --- maintaining the price lists ------------------------------------------------------
