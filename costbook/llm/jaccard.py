@@ -8,8 +8,9 @@ are summed per pair.  Only pairs that share one of their first
 
 Copies are one class and take part once.  A bucket (the classes that share an early
 n-gram) of up to ``SMALL`` members offers all its pairs; a larger one first offers two
-stars, and then, once the links found have joined its members into components, every
-pair across components that could still link: no link between components is missed,
+stars, then the likeliest partners of its members, and then, once the links found have
+joined them into components, every pair across components that could still link: no
+link between components is missed,
 and no group of near copies is expanded into all its pairs.
 
 Edge cases: A-Z is lower-cased, nothing else; fewer words than n form one n-gram; null,
@@ -33,6 +34,8 @@ from .common import slices
 FRAGMENTS = 8
 #: Buckets of more classes than this are joined by stars first.
 SMALL = 16
+#: Partners that a class of a large bucket is compared with before the rest.
+LIKELIEST = 3
 #: At most so many n-grams are known to be frequent: one megabyte for each task.
 FREQUENT = 1 << 17
 #: At most so many ids of candidates are broadcast (16 bytes each).
@@ -200,8 +203,9 @@ def _shared_enough(pairs: DataFrame, buckets: DataFrame, percent: int) -> DataFr
     need = F.ceil(F.lit(percent) * (F.col("size_a") + F.col("size_b")) / F.lit(100 + percent))
     both = pairs.join(early.select(F.col("node").alias("a"), F.col("early").alias("early_a")), "a").join(
         early.select(F.col("node").alias("b"), F.col("early").alias("early_b")), "b")
-    common_ = F.size(F.array_intersect("early_a", "early_b"))
-    return both.filter(common_ + F.greatest(rest("size_a"), rest("size_b")) >= need).select("a", "b", "size_a", "size_b")
+    both = both.withColumn("shared", F.size(F.array_intersect("early_a", "early_b")))
+    return both.filter(F.col("shared") + F.greatest(rest("size_a"), rest("size_b")) >= need).select(
+        "a", "b", "size_a", "size_b", "shared")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
@@ -260,7 +264,21 @@ def _links(read: DataFrame, found: DataFrame, buckets: DataFrame, words: int, pe
     rest = common.staged(_shared_enough(rest, buckets, percent), "ngram-rest")
     if rest.isEmpty():
         return links
-    return links.unionByName(_verified(read, found, rest, words, percent, order))
+    # the likeliest partners of each class first: what they join needs no other pair
+    ends = rest.select("a", "b", "shared", F.explode(F.array("a", "b")).alias("node"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("shared"), "a", "b"))
+    likely = ends.withColumn("place", place).filter(F.col("place") <= LIKELIEST).select("a", "b").distinct()
+    first = common.staged(rest.join(likely, ["a", "b"], "left_semi"), "ngram-likely")
+    links = common.staged(links.unionByName(_verified(read, found, first, words, percent, order)), "ngram-links")
+    label = common.staged(common.connected_components(links), "ngram-labels")
+    left = rest.join(likely, ["a", "b"], "left_anti")
+    for side in "ab":
+        left = left.join(label.select(F.col("node").alias(side), F.col("component").alias(f"in_{side}")), side, "left")
+    apart = F.coalesce("in_a", "a") != F.coalesce("in_b", "b")
+    left = common.staged(left.filter(apart).select("a", "b", "size_a", "size_b"), "ngram-left")
+    if left.isEmpty():
+        return links
+    return links.unionByName(_verified(read, found, left, words, percent, order))
 
 
 def _verified(read: DataFrame, found: DataFrame, pairs: DataFrame, words: int, percent: int, order: Order) -> DataFrame:
