@@ -6,9 +6,9 @@ import duckdb
 import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
-from test_jaccard import components
-from test_lines import brute
-from test_quality import base
+from .test_jaccard import components
+from .test_lines import brute
+from .test_quality import base
 from tokenizers import Tokenizer
 
 import corpus_pipeline
