@@ -10,9 +10,11 @@ tables with 0.96; closer ones more often.  Far pairs (distance 1.41) share a key
 probability 1e-5.
 
 Equal vectors are one class.  A bucket is cut into chunks of ``CHUNK`` classes and
-compared chunk by chunk; each task returns, per vector, a count of links first seen in
-that table and one edge towards its component, so output grows with the vectors and not
-with their pairs, and no bucket is capped.
+compared chunk by chunk; each block labels the components of its links and returns, per
+linked vector, a count of links first seen in that table and one edge to the smallest
+node of its component in the block.  These edges join what the block's links join, so
+components are exactly the closure of the links found, output grows with the vectors and
+not with their pairs, and no bucket is capped.
 
 Edge cases: null labels, null, empty or zero vectors and vectors with null or non-finite
 components link with nothing; vectors of different length are not compared; null ids
@@ -67,6 +69,29 @@ def _hash_rows(tables: int, hashes: int, width: float, seed: int):
     return run
 
 
+def _least_linked(near: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per row and per column of ``near``, the smallest node of its component (rows are the nodes
+    ``left``, columns ``right``).  Every row and column is expanded once."""
+    rows, columns = left.copy(), right.copy()
+    row_open, column_open = near.any(axis=1), near.any(axis=0)
+    for start in np.nonzero(row_open)[0]:
+        if not row_open[start]:
+            continue
+        new, in_rows, in_columns = np.array([start]), [], []
+        while len(new):
+            row_open[new] = False
+            in_rows.append(new)
+            met = np.nonzero(near[new].any(axis=0) & column_open)[0]
+            if not len(met):
+                break
+            column_open[met] = False
+            in_columns.append(met)
+            new = np.nonzero(near[:, met].any(axis=1) & row_open)[0]
+        r, c = np.concatenate(in_rows), np.concatenate(in_columns)
+        rows[r] = columns[c] = min(left[r].min(), right[c].min())
+    return rows, columns
+
+
 def _compare(threshold: float):
     """Rows sorted by block (table, bucket, chunk pair) to (node, other, links): a count or an edge."""
 
@@ -87,11 +112,15 @@ def _compare(threshold: float):
         for t in range(table):  # pairs that an earlier table has compared already
             near &= keys[left, t][:, None] != keys[right, t][None, :]
         if diagonal:
+            near |= near.T  # the two products of a pair may differ in their last bit
             np.fill_diagonal(near, False)
-        for side, other, hits in ((left, right, near), (right, left, near.T))[:1 if diagonal else 2]:
+            # a column stands for the same vector as its row: linked here, so that both are of one component
+            lows = _least_linked(near | np.diag(near.any(axis=1)), node[left], node[left])
+        else:
+            lows = _least_linked(near, node[left], node[right])
+        for side, other, hits, low in ((left, right, near, lows[0]), (right, left, near.T, lows[1]))[:1 if diagonal else 2]:
             some = hits.any(axis=1)
             if some.any():
-                low = np.where(hits, node[other][None, :], np.iinfo(np.int64).max).min(axis=1)
                 yield node[side[some]], low[some], (hits @ copies[other])[some]
 
     def run(batches):

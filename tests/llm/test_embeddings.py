@@ -71,3 +71,33 @@ def test_odd_vectors(spark):
     alone = [(i, 0, i) for i in (3, 4, 5, 6, 7, 8, 9, 10, 12)]
     assert got == sorted([(0, 4, 1), (1, 4, 1), (1, 4, 1), (2, 4, 1), (11, 4, 1), *alone])
     assert embeddings.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def chains(groups=40, length=7, step=10):
+    """Per label a chain in the plane: only neighbours, ``step`` degrees apart, are linked."""
+    angle = np.deg2rad(step * np.arange(length))
+    return [(g * length + k, [float(np.cos(a + g)), float(np.sin(a + g))], g) for g in range(groups) for k, a in enumerate(angle)]
+
+
+@pytest.mark.parametrize("chunk", [2, 512])
+def test_components_are_the_closure_of_the_links(spark, monkeypatch, chunk):
+    monkeypatch.setattr(embeddings, "CHUNK", chunk)
+    rows = chains()
+    n, least = brute(rows)
+    # one projection and a wide cell: a label is one bucket, so that every link is found
+    found = embeddings.near_duplicates(spark.createDataFrame(rows, SCHEMA), tables=1, hashes=1, width=1e9)
+    out = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found.collect()}
+    assert out == {i: (n[i], least[i]) for i in n}
+
+
+def test_block_joins_a_chain_whose_ends_have_the_small_nodes():
+    import pyarrow as pa
+
+    at = {1: 0, 3: 1, 4: 2, 2: 3}  # the links 1-3, 3-4, 4-2
+    nodes = sorted(at)
+    angle = [np.deg2rad(10 * at[i]) for i in nodes]
+    batch = pa.RecordBatch.from_pydict({
+        "block": [7] * 4, "table": [0] * 4, "side": [2] * 4, "keys": [[5]] * 4,
+        "vector": [[float(np.cos(a)), float(np.sin(a))] for a in angle], "node": nodes, "copies": [1] * 4})
+    found = [r for part in embeddings._compare(0.98)([batch]) for r in part.to_pylist()]
+    assert {r["node"]: (r["other"], r["links"]) for r in found} == {1: (1, 1), 2: (1, 1), 3: (1, 2), 4: (1, 2)}
