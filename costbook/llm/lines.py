@@ -7,12 +7,16 @@ pairing a suffix's group with that of the suffix 2^k lines on.  A group of two o
 suffixes is an interval whose longest common prefix is at least 2^k lines: a repeated
 run.  A group is named by its first suffix (by document id, then line), so a suffix that
 is not its group's name begins a later copy.  Suffixes that are alone in their group
-drop out, and the doubling ends when none is left: after log2 of the longest repeated
-run.  The order among groups says nothing about repeats and is not computed.
+drop out, and the doubling ends when none is left.  The order among groups says nothing about repeats and is not computed.
 
-A line is deleted if a window of 1, 2, 4, ... lines that holds it has at least
-``min_words`` words and an earlier copy.  Longer repeated runs are unions of such
-windows.
+A line is deleted if a run of any number of lines that holds it has at least
+``min_words`` words and an earlier copy.  Two windows per line decide that: the shortest
+with ``min_words`` words that ends there and the shortest that begins there.  In such a
+run, a line up to which the run has ``min_words`` words lies in the window that ends at
+it, and the lines before that in the window that begins where the run does; both windows
+are inside the run, so they have its earlier copy.  Every line has a word: the windows
+have at most ``min_words`` lines, and the doubling goes no further.  A window of n lines
+is named by the groups of its first and of its last 2^k lines, 2^k <= n < 2^(k + 1).
 
 Only suffixes that begin with a repeated line are ever shuffled after the first count,
 and a group is met as one grouped minimum and maximum, not as a list.
@@ -25,7 +29,7 @@ columns pass through.  Lines are compared by 96 bits of hash.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -47,31 +51,52 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = rows.select("doc", "line", F.struct(F.xxhash64(line).alias("a"), F.hash(line).alias("b")).alias("key"),
                        common.word_count(line).alias("words"))
     active = _grouped(common.staged(rows, "lines"), "lines-0")
+    windows = common.staged(_windows(active, max(1, min_words)), "lines-windows")
     found, span = None, 1
     while True:
-        new = active.filter((F.struct("doc", "line") != F.col("name")) & (F.col("words") >= min_words)).select(
-            "doc", "line", F.lit(span).alias("length"), "inner")
-        # a window both of whose halves are windows found before adds nothing
-        new = new.filter("NOT inner").drop("inner")
+        of = windows.filter((F.col("length") >= span) & (F.col("length") < 2 * span)).join(
+            active.select("doc", "line", "name"), ["doc", "line"])
+        last = active.select("doc", F.col("line").alias("tail"), F.col("name").alias("next"))
+        of = of.withColumn("tail", F.col("line") + F.col("length") - span).join(last, ["doc", "tail"])
+        key = ["length", "name", "next"]
+        firsts = of.groupBy(*key).agg(F.min(F.struct("doc", "line")).alias("first"))
+        new = of.join(firsts, key).filter(F.struct("doc", "line") != F.col("first")).select("doc", "line", "length")
+        new = common.staged(new, f"copies-{span}")
         found = new if found is None else found.unionByName(new)
-        ahead = active.select("doc", (F.col("line") - span).alias("line"), F.col("name").alias("next"),
-                              F.col("words").alias("next_words"))
-        pairs = active.join(ahead, ["doc", "line"]).select(
-            "doc", "line", F.struct("name", "next").alias("key"), (F.col("words") + F.col("next_words")).alias("words"),
-            ((F.col("words") >= min_words) & (F.col("next_words") >= min_words)).alias("inner"))
+        if 2 * span > max(1, min_words):
+            return found
+        ahead = active.select("doc", (F.col("line") - span).alias("line"), F.col("name").alias("next"))
+        pairs = active.join(ahead, ["doc", "line"]).select("doc", "line", F.struct("name", "next").alias("key"), "words")
         span *= 2
         active = _grouped(common.staged(pairs, f"pairs-{span}"), f"lines-{span}")
         if active.isEmpty():
             return found
 
 
+def _windows(active: DataFrame, min_words: int) -> DataFrame:
+    """(doc, line, length): per line the shortest windows of repeated lines with at least
+    ``min_words`` words that begin and that end there."""
+    stretch = F.col("line") - F.row_number().over(Window.partitionBy("doc").orderBy("line"))
+    rows = active.select("doc", "line", "words", stretch.alias("stretch"))
+    by = Window.partitionBy("doc", "stretch")
+    rows = rows.withColumn("upto", F.sum("words").over(by.orderBy("line").rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("before", F.col("upto") - F.col("words"))
+    # lines that begin less than min_words words on, and lines that end less than that many words back
+    on, back = by.orderBy("before").rangeBetween(0, min_words - 1), by.orderBy("upto").rangeBetween(1 - min_words, 0)
+    rows = rows.select("doc", "line", "upto", "before", F.max("line").over(on).alias("end"), F.max("upto").over(on).alias("end_upto"),
+                       F.min("line").over(back).alias("start"), F.min("before").over(back).alias("start_before"))
+    ahead = F.when(F.col("end_upto") - F.col("before") >= min_words, F.struct(
+        F.col("line").alias("line"), (F.col("end") - F.col("line") + 1).alias("length")))
+    behind = F.when((F.col("upto") - F.col("start_before") >= min_words) & (F.col("start") < F.col("line")), F.struct(
+        F.col("start").alias("line"), (F.col("line") - F.col("start") + 1).alias("length")))
+    return rows.select("doc", F.explode(F.array_compact(F.array(ahead, behind))).alias("w")).select("doc", "w.line", "w.length")
+
+
 def _grouped(rows: DataFrame, name: str) -> DataFrame:
     """The suffixes whose key another suffix shares, with their group's first suffix as ``name``."""
-    if "inner" not in rows.columns:
-        rows = rows.withColumn("inner", F.lit(False))
     at = F.struct("doc", "line")
     groups = rows.groupBy("key").agg(F.min(at).alias("name"), F.max(at).alias("last")).filter("name != last").drop("last")
-    return common.staged(rows.join(groups, "key").select("doc", "line", "name", "words", "inner").dropDuplicates(["doc", "line"]), name)
+    return common.staged(rows.join(groups, "key").select("doc", "line", "name", "words").dropDuplicates(["doc", "line"]), name)
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 20,

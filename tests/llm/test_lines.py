@@ -72,3 +72,43 @@ def test_query_equals_sql(spark):
     assert sorted(map(tuple, df.collect())) == sorted(con.execute(ORACLE["op9_line_runs"]).fetchall())
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def brute_all(rows, min_words):
+    """Deleted line numbers by document, from windows of every length."""
+    seqs = {i: [x for x in t.split("\n") if x.split()] for i, t in rows if t is not None}
+    gone = {i: set() for i, _ in rows}
+    for n in range(1, max(map(len, seqs.values()), default=0) + 1):
+        first = set()
+        for i in sorted(seqs):
+            for p in range(len(seqs[i]) - n + 1):
+                w = tuple(seqs[i][p:p + n])
+                if w in first and sum(len(x.split()) for x in w) >= min_words:
+                    gone[i] |= set(range(p, p + n))
+                first.add(w)
+    return gone
+
+
+@pytest.mark.parametrize("min_words", [1, 6, 20])
+def test_runs_of_every_length_equal_brute_force(docs, min_words):
+    rng = random.Random(min_words)
+    pool = [" ".join(f"p{k}w{j}" for j in range(rng.randrange(1, 9))) for k in range(60)]
+    rows = []
+    for i in range(60):
+        text = []
+        while len(text) < 12:
+            at, n = rng.randrange(60), rng.randrange(1, 9)
+            text += pool[at:at + n] if rng.random() < 0.7 else [f"own line {i} {len(text)}"]
+        rows.append((i, "\n".join(text)))
+    rows += [(100, "\n".join(["a"] * 30)), (101, "\n".join(["a"] * 19)), (102, "x\n" + "\n".join(["a"] * 25))]
+    want = brute_all(rows, min_words)
+    assert want != brute(rows, min_words) or min_words == 1
+    assert {r["doc_id"]: set(r["line_dedup"]["deleted"]) for r in lines.dedup(docs(rows), min_words=min_words).collect()} == want
+
+
+@pytest.mark.parametrize("words", [(9, 9, 9), (40, 5, 6), (5, 6, 40), (1,) * 21])
+def test_run_whose_windows_of_two_powers_are_short(docs, words):
+    run = "\n".join(" ".join(f"r{k}y{j}" for j in range(n)) for k, n in enumerate(words))
+    rows = [(i, f"start {i} a\n{run}\nend {i} b") for i in range(3)]
+    out = {r["doc_id"]: r["text"] for r in lines.dedup(docs(rows)).collect()}
+    assert out == {0: rows[0][1], 1: "start 1 a\nend 1 b", 2: "start 2 a\nend 2 b"}
