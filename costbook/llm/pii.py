@@ -10,7 +10,8 @@ that hold the entity and N documents,
 pointwise mutual information as a share of the entity's own information; 1 means
 that the term alone gives the entity away.  Terms over ``threshold`` that stand near
 the entity in at least ``support`` different contexts become spans of kind ``term``
-wherever they stand near that entity; documents without entities are left alone.
+wherever they stand, in every text and at any distance; ``reach`` only serves the
+estimate.  Occurrences inside an entity belong to that entity.
 ``sanitise`` replaces entities by their kind and generalises terms to what they are
 (a number, a name), or removes them.
 
@@ -104,10 +105,8 @@ def entity_key(kind: int, value: str) -> str:
     return f"{KINDS[kind]}:" + (value.lower() if kind == 0 else re.sub(r"[^0-9.]" if kind == 1 else r"[^0-9]", "", value))
 
 
-def _near(text: str, spans, reach: int):
-    """(entity, term, start, end, context) of the ``reach`` terms before and after each entity."""
-    if not spans:
-        return
+def _terms(text: str, spans) -> list[tuple[int, int, str]]:
+    """(start, end, term) of the terms that overlap no entity."""
     masked = sorted((s, e) for _, s, e in spans)
     merged: list[list[int]] = []
     for s, e in masked:
@@ -121,6 +120,14 @@ def _near(text: str, spans, reach: int):
             k += 1
         if k == len(merged) or merged[k][0] >= m.end():
             terms.append((m.start(), m.end(), m[0]))
+    return terms
+
+
+def _near(text: str, spans, reach: int):
+    """(entity, term, start, end, context) of the ``reach`` terms before and after each entity."""
+    if not spans:
+        return
+    terms = _terms(text, spans)
     starts = [t[0] for t in terms]
     for kind, s, e in spans:
         i = bisect_left(starts, s)
@@ -131,11 +138,28 @@ def _near(text: str, spans, reach: int):
             yield entity, t, a, b, context
 
 
-def _schema(kind: pa.DataType, keep_text: bool) -> pa.Schema:
+def _places(batches):
+    """(uid, terms): every occurrence of every term that overlaps no entity."""
+    place = pa.struct([("term", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
+    for part in slices(batches, 64):
+        offsets, names, starts, ends = [0], [], [], []
+        for text, base in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
+            for a, b, t in _terms(text or "", [(s["kind"], s["start"], s["end"]) for s in base]):
+                names.append(t)
+                starts.append(a)
+                ends.append(b)
+            offsets.append(len(names))
+        places = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(starts, pa.int64()),
+                                             pa.array(ends, pa.int64())], fields=list(place))
+        yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), places)],
+                                         names=["uid", "places"])
+
+
+def _schema(kind: pa.DataType) -> pa.Schema:
     span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
     fields = [("uid", pa.string()), ("id", kind), ("base", pa.list_(span)), ("entity", pa.string()),
               ("term", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("context", pa.int64())]
-    return pa.schema(fields + [("text", pa.string())] * keep_text)
+    return pa.schema(fields + [("text", pa.string())])
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = 6, support: int = 3,
@@ -155,11 +179,11 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", re
                     {"kind": KINDS[k], "start": s, "end": e} for k, s, e in spans]})
                 rows += [{"uid": uid, "entity": e, "term": t, "start": a, "end": b, "context": c}
                          for e, t, a, b, c in _near(text or "", spans, reach)]
-            yield pa.RecordBatch.from_pylist(rows, schema=_schema(part.column(0).type, keep_text))
+            yield pa.RecordBatch.from_pylist(rows, schema=_schema(part.column(0).type))
 
     span = "struct<kind:string,start:long,end:long>"
     out = (f"uid string, id {kind.simpleString()}, base array<{span}>, entity string, term string, start long, end long, "
-           "context long" + (", text string" if keep_text else ""))
+           "context long, text string")
     # one pass over the texts gives both kinds of rows: documents (with base) and near terms (with entity)
     rows = common.staged(docs.select(id_col, text_col).mapInArrow(find, out), "pii")
     found = rows.filter("base IS NOT NULL")
@@ -168,10 +192,14 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", re
     if terms is None:
         done = found.withColumn("terms", F.array().cast(f"array<{span}>"))
     else:
-        near = rows.filter("entity IS NOT NULL").join(terms, ["entity", "term"]).select("uid", F.struct(
+        # every occurrence in every text, not only those near the entity
+        marked = common.staged(terms.select("term").distinct(), "pii-terms")
+        places = found.select("uid", "text", "base").mapInArrow(
+            _places, "uid string, places array<struct<term:string,start:long,end:long>>").select("uid", F.inline("places"))
+        held = places.join(marked, "term").select("uid", F.struct(
             F.lit("term").alias("kind"), "start", "end").alias("s"))
-        near = near.groupBy("uid").agg(F.array_sort(F.collect_set("s")).alias("terms"))
-        done = found.join(near, "uid", "left").withColumn("terms", F.coalesce("terms", F.array().cast(f"array<{span}>")))
+        held = held.groupBy("uid").agg(F.array_sort(F.collect_set("s")).alias("terms"))
+        done = found.join(held, "uid", "left").withColumn("terms", F.coalesce("terms", F.array().cast(f"array<{span}>")))
     return done.select(F.col("id").alias(id_col), "base", "terms",
                        *([clean(F.col("text"), F.concat("base", "terms")).alias("clean_text")] if keep_text else []))
 

@@ -66,6 +66,19 @@ def test_terms_that_reveal_an_entity(docs):
     assert all(not out[k]["base"] and not out[k]["terms"] for k in range(4, 64))
 
 
+def test_revealing_terms_go_wherever_they_stand(docs):
+    far = " ".join(f"f{j}" for j in range(12))
+    rows = [(r["doc_id"], r["text"]) for r in _revealing(docs).collect()]
+    rows[0] = (0, f"{rows[0][1]} {far} zanzibarian again")  # far from the entity in its text
+    rows.append((64, f"a zanzibarian without any address {far}"))  # in a text without the entity
+    out = {r["doc_id"]: r for r in pii.sanitise(docs(rows), keep_text=True).collect()}
+    for i in (0, 1, 64):
+        text, marked = dict(rows)[i], [(s["start"], s["end"]) for s in out[i]["terms"]]
+        places = [m.span() for m in re.finditer("zanzibarian", text)]
+        assert len(places) == (2 if i == 0 else 1) and set(places) <= set(marked)
+        assert "zanzibarian" not in out[i]["clean_text"]
+
+
 def test_copies_of_one_context_give_no_support(docs):
     out = pii.sanitise(docs(["c1 c2 zanzibarian writes to kim@site.example.org c3 c4"] * 5 + ["plain words"] * 20)).collect()
     assert all(not r["terms"] for r in out)
