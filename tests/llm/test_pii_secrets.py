@@ -117,6 +117,24 @@ def test_learned_format_is_found(docs):
     assert not any(out[k] for k in range(120, 320)) and not out[321]
 
 
+def test_short_letter_only_and_longer_tokens_are_scored(docs):
+    import random
+
+    rng = random.Random(6)
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    short = lambda: "".join(rng.choices(upper + "0123456789", k=12))
+    letters = lambda: "".join(rng.choices(upper, k=20))
+    ends = lambda: "".join(rng.choices(upper, k=8)) + "".join(rng.choices("0123456789abcdef", k=16))
+    rows = [f"some words here password = {make()} then" for make in (short, letters, ends) for _ in range(130)]
+    rows += [" ".join("".join(rng.choices("etaoinshr", k=7)) for _ in range(40)) for _ in range(200)]
+    bare = [short(), letters(), ends()]
+    df = docs(rows + [f"words {v} words" for v in bare])
+    out = {r["doc_id"]: r["spans"] for r in secrets.scan(df, secrets.learn(df)).collect()}
+    for k, v in enumerate(bare):
+        assert ("format", 6, 6 + len(v)) in [(s["kind"], s["start"], s["end"]) for s in out[len(rows) + k]]
+    assert not any(s["kind"] == "format" for k in range(390, 590) for s in out[k])
+
+
 def test_secrets_odd_rows(odd, docs):
     out = secrets.scan(odd, secrets.learn(odd))
     assert out.count() == odd.count() and out.filter("size(spans) > 0").count() == 0
