@@ -33,8 +33,6 @@ from .common import slices
 
 #: Ids of a block, and of its end that is solved again with what follows.
 BLOCK, TAIL = 1 << 18, 1 << 13
-#: At most one sentence end in so many ids is offered as a cut.
-GRAIN = 48
 #: The split before merges that goes with the vocabulary's byte-level pre-tokenizer (fixed value).
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -149,7 +147,6 @@ class _Stream:
         ends = np.cumsum(lengths)
         stream = np.concatenate([ids[at:] for _, ids, at in self.docs])
         marks = np.nonzero(self.encode.sentence_end[np.minimum(stream, len(self.encode.sentence_end) - 1)])[0] + 1
-        marks = marks[np.unique(marks // GRAIN, return_index=True)[1]]
         settled = self.size if last else self.size - TAIL
         begin = 0
         for end in cuts(ends, marks, self.window, *self.costs):

@@ -68,3 +68,16 @@ def test_odd_rows_and_empty_table(odd, docs):
     out = packing.pack(odd, PATH).toPandas()
     assert len(out[out.doc_id == 5]) == 2 and set(out[out.doc_id == 1].doc_tokens) == {1}
     assert packing.pack(docs([]), PATH).count() == 0
+
+
+def test_every_sentence_end_is_offered():
+    class Encode:
+        sentence_end = np.array([False, False, True, False])
+
+        def __call__(self, text):
+            return np.array([int(c) for c in text], dtype=np.uint32)
+
+    # sentence ends after 10 and 40 ids of one cell of 48: only a cut at 40 fills the window
+    stream = packing._Stream(Encode(), 40, 1, 4.0, 64.0)
+    stream.add(1, "3" * 9 + "2" + "3" * 29 + "2" + "3" * 39)
+    assert [sum(len(ids) for _, _, ids, _ in w) for w in stream.windows(last=True)] == [40, 40]
