@@ -33,7 +33,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     neither recompute it nor depend on the executors that made it."""
     path = f"{shared_dir(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(df: DataFrame | None) -> None:
+    """Delete the folder of a staged table that nothing reads any more."""
+    if df is not None:
+        spark, path = df.sparkSession, df.staged_at
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def let(value: Column, body) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import common, embeddings, jaccard, langid, lines, mixing, packing, pii, quality, secrets, toxicity
+from . import collocations, common, embeddings, jaccard, langid, lines, mixing, packing, pii, quality, secrets, toxicity
 
 
 def _read(spark, sf_dir, name):
@@ -119,3 +119,11 @@ def op9_line_runs(spark, sf_dir):
 
 QUERIES["op9_line_runs"] = op9_line_runs
 ORACLE["op9_line_runs"] = lines.oracle_sql()
+
+
+def op11_phrase_collocations(spark, sf_dir):
+    return collocations.collocations(_read(spark, sf_dir, "documents"))
+
+
+QUERIES["op11_phrase_collocations"] = op11_phrase_collocations
+ORACLE["op11_phrase_collocations"] = collocations.oracle_sql()
