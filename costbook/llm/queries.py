@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import collocations, common, embeddings, jaccard, langid, lines, mixing, packing, pii, quality, secrets, toxicity
+from . import (collocations, common, embeddings, jaccard, langid, lines, mixing, packing, pieces, pii, quality, repair, secrets,
+               toxicity)
 
 
 def _read(spark, sf_dir, name):
@@ -127,3 +128,17 @@ def op11_phrase_collocations(spark, sf_dir):
 
 QUERIES["op11_phrase_collocations"] = op11_phrase_collocations
 ORACLE["op11_phrase_collocations"] = collocations.oracle_sql()
+
+
+def op12_sentence_pieces(spark, sf_dir):
+    return pieces.digests(_read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+QUERIES["op12_sentence_pieces"] = op12_sentence_pieces
+
+
+def op13_conversation_repair(spark, sf_dir):
+    return repair.repaired_conversations(_read(spark, sf_dir, "conversations"))
+
+
+QUERIES["op13_conversation_repair"] = op13_conversation_repair
