@@ -9,8 +9,8 @@ one full cycle from there.  The scans end when no phrase has shards left.
 A scan is one job: a task counts its words and the active phrases in it (integer codes
 of its own words, so nothing is compared by a hash), and the counts meet the counts so
 far in one shuffle on the phrase.  Which phrases have reached the threshold is sent to
-the tasks as two bit maps of ``FILTER_BITS`` bits a length: phrases over the threshold,
-and those that passed it within the last cycle.  Their size is fixed.  A false hit only
+the tasks as bit maps of ``FILTER_BITS`` bits a length: phrases over the threshold, and
+those that passed it since each scan of the last cycle.  Their size is fixed.  A false hit only
 counts a phrase too early.  Counts are kept per shard and counting a shard again gives
 the same number, so early counts change nothing; and a phrase with a word below the
 threshold stays below it.
@@ -44,8 +44,8 @@ from .common import slices
 UNKNOWN = "und"
 #: Characters that end a piece (fixed values): ``.,;:!?`` and U+000A to U+000D.
 ENDS = b".,;:!?\n\x0b\x0c\r"
-#: Bits of each map of phrases over the threshold: two megabytes.
-FILTER_BITS = 1 << 24
+#: Bits of each map of phrases over the threshold: half a megabyte.
+FILTER_BITS = 1 << 22
 #: Words that a task holds before it passes on its counts.
 HELD_WORDS = 1 << 22
 _SEED = 42
@@ -66,20 +66,34 @@ def _folded(h: np.ndarray, w: np.ndarray) -> np.ndarray:
     return ((h << np.uint64(7)) | (h >> np.uint64(57))) ^ w
 
 
-def _maps(state: DataFrame, since: int, longest: int, bits: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Per length below the longest: bits of the phrases over the threshold, and of those since the scan ``since``."""
+def _maps(state: DataFrame, scan: int, shards: int, longest: int, bits: int) -> dict[int, tuple[np.ndarray, dict[int, np.ndarray]]]:
+    """Per length below the longest: bits of the phrases over the threshold, and per scan of
+    the last cycle the bits of those that reached it in that scan or later."""
     over = state.filter(F.col("reach").isNotNull() & F.col("words").between(1, longest - 1))
     at = over.select("words", "reach", _phrase_hash(F.col("lang"), F.col("phrase")).bitwiseAND(F.lit(bits - 1)).alias("at"))
     bit = F.expr("shiftleft(1L, CAST(at & 63 AS INT))")
+    since = [k for k in range(scan - shards, scan) if k >= 0]
     rows = at.groupBy("words", F.shiftrightunsigned("at", 6).alias("word")).agg(
-        F.bit_or(bit).alias("all"), F.bit_or(F.when(F.col("reach") >= since, bit).otherwise(F.lit(0))).alias("late"))
-    maps = {n: (np.zeros(bits // 64 or 1, np.uint64), np.zeros(bits // 64 or 1, np.uint64)) for n in range(1, longest)}
+        F.bit_or(bit).alias("over"), *[F.bit_or(F.when(F.col("reach") >= k, bit).otherwise(F.lit(0))).alias(f"s{k}") for k in since])
+    none = lambda: np.zeros(max(bits // 64, 1), np.uint64)
+    maps = {n: (none(), {k: none() for k in since}) for n in range(1, longest)}
     for r in rows.collect():  # at most bits / 64 rows a length
-        for m, v in zip(maps[r["words"]], (r["all"], r["late"])):
-            m[r["word"]] = np.int64(v).astype(np.uint64)
+        over, late = maps[r["words"]]
+        over[r["word"]] = np.int64(r["over"]).astype(np.uint64)
+        for k in since:
+            late[k][r["word"]] = np.int64(r[f"s{k}"]).astype(np.uint64)
     return maps
 
 
+def _recent(maps, hashes: np.ndarray) -> np.ndarray:
+    """The scan of the last cycle in which a phrase reached the threshold at the latest, -1 for an earlier one, -2 if it has not."""
+    over, late = maps
+    out = np.where(_has(over, hashes), -1, -2)
+    for k in sorted(late):
+        out[_has(late[k], hashes)] = k
+    return out
+
+
 def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     at = h & np.uint64(len(bits) * 64 - 1)
     return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
@@ -111,57 +125,62 @@ class _Counter:
             self.held += [np.fromiter(map(self.code.__getitem__, words), np.int64, len(words)), np.zeros(1, np.int64)]
         return len(words)
 
-    def rows(self, words_too: bool, maps: dict, longest: int):
-        """(words, phrases, counts) of the held texts; words 0 is the number of all words."""
+    def rows(self, words_too: bool, maps: dict, longest: int, shards: int):
+        """(words, phrases, counts, untils) of the held texts; words 0 is the number of all words,
+        until the last scan in which a phrase is counted."""
         if not self.held:
             return
         text = np.concatenate(self.held)
         names = pa.array(list(self.code), pa.binary())
+        size = len(names)
         if words_too:
-            n = np.bincount(text, minlength=len(names))
-            yield 0, pa.array([b""], pa.binary()), np.array([n[1:].sum()])
-            if len(n) > 1:
-                yield 1, names[1:], n[1:]
+            n = np.bincount(text, minlength=size)
+            yield 0, pa.array([b""], pa.binary()), np.array([n[1:].sum()]), np.array([shards - 1])
+            if size > 1:
+                yield 1, names[1:], n[1:], np.full(size - 1, shards - 1)
         if not maps:
             return
-        own = np.fromiter((xxhash.xxh64_intdigest(w, seed=self.seed) for w in self.code), np.uint64, len(names))
-        whole = text > 0  # whether a phrase of the length starts here
-        hashes, size = own[text], len(names)
+        own = np.fromiter((xxhash.xxh64_intdigest(w, seed=self.seed) for w in self.code), np.uint64, size)
+        recent = _recent(maps[1], own)
+        recent[0] = -2
+        recent = recent[text]  # of the phrase of length - 1 that starts at each word
         for length in range(2, longest + 1):
-            if length - 1 not in maps:
-                break
-            over, late = (_has(m, hashes) & whole for m in maps[length - 1])
-            whole = whole[:-1] & (text[length - 1:] > 0)
-            active = np.nonzero(over[:-1] & over[1:] & (late[:-1] | late[1:]))[0]
+            latest = np.maximum(recent[:-1], recent[1:])
+            both = np.nonzero((recent[:-1] > -2) & (recent[1:] > -2))[0]
+            active = both[latest[both] > -1]
+            if len(active):
+                code, bound = text[active], size
+                for k in range(1, length):
+                    if bound * size > 1 << 62:  # renumbered, so that codes never pass 64 bits
+                        code, bound = np.unique(code, return_inverse=True)[1].astype(np.int64), len(active)
+                    code, bound = code * size + text[active + k], bound * size
+                _, first, n = np.unique(code, return_index=True, return_counts=True)
+                at = active[first]
+                yield length, pc.binary_join_element_wise(*[names.take(pa.array(text[at + k])) for k in range(length)], b" "), n, latest[at] + shards
             if length < longest:
-                hashes = _folded(hashes[:-1], own[text[length - 1:]])
-            if not len(active):
-                continue
-            code, bound = text[active], size
-            for k in range(1, length):
-                if bound * size > 1 << 62:  # renumbered, so that codes never pass 64 bits
-                    code, bound = np.unique(code, return_inverse=True)[1].astype(np.int64), len(active)
-                code, bound = code * size + text[active + k], bound * size
-            _, first, n = np.unique(code, return_index=True, return_counts=True)
-            parts = [names.take(pa.array(text[active[first] + k])) for k in range(length)]
-            yield length, pc.binary_join_element_wise(*parts, b" "), n
-
-
-def _scan(words_too: bool, maps, longest: int, held_words: int):
-    """(lang, phrase, words, n) of a task's texts; ``maps`` is a broadcast."""
+                hashes = own[text[both]]
+                for k in range(1, length):
+                    hashes = _folded(hashes, own[text[both + k]])
+                recent = np.full(len(latest), -2)
+                recent[both] = _recent(maps[length], hashes)
+
+
+def _scan(words_too: bool, maps, longest: int, shards: int, held_words: int):
+    """(lang, phrase, words, n, until) of a task's texts; ``maps`` is a broadcast."""
 
     def run(batches):
         table, counters, held = _spaced(), {}, 0
 
         def passed_on():
             for c in counters.values():
-                for length, phrases, n in c.rows(words_too, maps.value, longest):
+                for length, phrases, n, until in c.rows(words_too, maps.value, longest, shards):
                     phrases = phrases.cast(pa.string())
                     for at in range(0, len(phrases), 1 << 16):
-                        part = phrases[at:at + (1 << 16)]
+                        to = at + (1 << 16)
+                        part = phrases[at:to]
                         yield pa.RecordBatch.from_arrays(
                             [pa.repeat(c.lang, len(part)), part, pa.repeat(pa.scalar(length, pa.int32()), len(part)),
-                             pa.array(n[at:at + (1 << 16)], pa.int64())], names=["lang", "phrase", "words", "n"])
+                             pa.array(n[at:to], pa.int64()), pa.array(until[at:to], pa.int32())], names=["lang", "phrase", "words", "n", "until"])
 
         for part in slices(batches, 256):
             for lang, data in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
@@ -179,20 +198,23 @@ def _scan(words_too: bool, maps, longest: int, held_words: int):
 
 # --- the cycle --------------------------------------------------------------------
 def _merged(state: DataFrame | None, found: DataFrame, scan: int, shards: int, least: int) -> DataFrame:
-    """The counts so far with a scan's: per phrase one count a shard, and the scan in which it reached ``least``."""
+    """The counts so far with a scan's: per phrase one count a shard, the scan in which it
+    reached ``least``, and the last scan that counts it.  A phrase whose cycle has ended
+    below the threshold goes.  (One that a false hit counted too early may go, too: its
+    own cycle counts all shards again.)"""
     kept = [f"c{j}" for j in range(shards)]
     now = kept[scan % shards]
     none = F.lit(None).cast("long")
-    rows = found.select("lang", "phrase", "words", *[none.alias(c) for c in kept], F.lit(None).cast("int").alias("reach"), "n")
+    rows = found.select("lang", "phrase", "words", *[none.alias(c) for c in kept], F.lit(None).cast("int").alias("reach"), "until", "n")
     if state is not None:
         rows = state.withColumn("n", none).unionByName(rows)
-    sums = rows.groupBy("lang", "phrase", "words").agg(*[F.max(c).alias(c) for c in kept], F.max("reach").alias("reach"), F.sum("n").alias("n"))
+    sums = rows.groupBy("lang", "phrase").agg(
+        F.max("words").alias("words"), *[F.max(c).alias(c) for c in kept], F.max("reach").alias("reach"), F.max("until").alias("until"), F.sum("n").alias("n"))
     sums = sums.withColumn(now, F.coalesce("n", now))
     total = reduce(lambda a, b: a + b, [F.coalesce(F.col(c), F.lit(0)) for c in kept])
     reach = F.coalesce("reach", F.when(total >= least, F.lit(scan)))
-    # the cycle of every phrase of so many words has ended: what is below the threshold stays there
-    over = (F.col("words") == 0) | (total >= least) | (F.col("words") * shards - 1 > scan)
-    return sums.filter(over).select("lang", "phrase", "words", *kept, reach.alias("reach"))
+    stays = (F.col("words") == 0) | (total >= least) | (F.col("until") > scan)
+    return sums.filter(stays).select("lang", "phrase", "words", *kept, reach.alias("reach"), "until")
 
 
 def counts(docs: DataFrame, longest: int = 3, least: int = 10, shards: int = 2, lang_col: str = "lang", text_col: str = "text",
@@ -211,10 +233,11 @@ def counts(docs: DataFrame, longest: int = 3, least: int = 10, shards: int = 2,
         active = [n for n in range(2, longest + 1) if reached.get(n - 1, -1) >= max(scan - shards, 0)]
         if scan >= shards and not active:
             break
-        maps = _maps(state, scan - shards, longest, bits) if active else {}
+        maps = _maps(state, scan, shards, longest, bits) if active else {}
         sent = spark.sparkContext.broadcast(maps)
         rows = shard.filter(F.col("shard") == scan % shards).select("lang", "data")
-        found = rows.mapInArrow(_scan(scan < shards, sent, longest, held_words), "lang string, phrase string, words int, n long")
+        found = rows.mapInArrow(_scan(scan < shards, sent, longest, shards, held_words),
+                                "lang string, phrase string, words int, n long, until int")
         new = common.staged(_merged(state, found, scan, shards, least), "phrase-counts")
         common.discard(state)
         sent.destroy()
