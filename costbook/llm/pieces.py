@@ -6,7 +6,9 @@ to a span of bytes of the original text.  White space, the dummy prefix and the
 replacement of spaces follow the model's normaliser settings.  Encoding merges
 neighbouring pieces, best score first and leftmost on ties, and falls back to byte pieces
 for unknown ones.  Merges never pass a pair of characters that no piece holds side by
-side, so a text is encoded in such segments, and segments are kept in a table.
+side, so a text is encoded in such segments.  Where the model's scores rule out ties, the
+merges of ordinary segments are run by a faster library of equal ids; runs of spaces and
+long segments, and models that it can't serve, are merged here.
 
 Byte pieces each cover their own byte.  Where several source characters became one
 normalised character, or one became several, each of its pieces covers the whole source.
@@ -24,6 +26,7 @@ import re
 import struct
 import zlib
 from heapq import heapify, heappop, heappush
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -121,6 +124,7 @@ class Model:
         self.beside = {w[k:k + 2] for w in words for k in range(len(w) - 1)}
         self.bytes = {int(p[3:5], 16): i for i, (p, _, k) in enumerate(pieces) if k == _BYTE} if trainer.get(35, 0) else {}
         self._kept: dict[str, tuple[int, ...]] = {}
+        self._fast = False  # not known yet
         # a run of spaces and what follows, if no piece holds a space after another character
         whole = any(b == self.space and a != b for a, b in self.beside)
         self._cuts = None if whole else re.compile(f"{self.space}*[^{self.space}]+|{self.space}+", re.S)
@@ -190,16 +194,20 @@ class Model:
         parts: list = list(text)
         n = len(parts)
         rank = self.rank
-        if n < 24:  # few pairs: looking at all of them is quicker than a heap
-            while len(parts) > 1:
-                best = at = None
-                for i in range(len(parts) - 1):
-                    r = rank.get(parts[i] + parts[i + 1])
-                    if r is not None and (best is None or r < best):
-                        best, at = r, i
-                if best is None:
+        if n < 96:  # few pairs: the least of a list is quicker than a heap
+            get, none = rank.get, len(rank)
+            ranks = [get(a + b, none) for a, b in zip(parts, parts[1:])]
+            while ranks:
+                best = min(ranks)
+                if best == none:
                     break
-                parts[at:at + 2] = [parts[at] + parts[at + 1]]
+                i = ranks.index(best)
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+                del ranks[i]
+                if i:
+                    ranks[i - 1] = get(parts[i - 1] + parts[i], none)
+                if i < len(ranks):
+                    ranks[i] = get(parts[i] + parts[i + 1], none)
         else:
             left, right = list(range(-1, n - 1)), list(range(1, n + 1))
             heap = [(r, i, i + 1, 2) for i in range(n - 1) if (r := rank.get(parts[i] + parts[i + 1])) is not None]
@@ -234,22 +242,71 @@ class Model:
         """The ids of a segment, cut where no piece reaches across."""
         found = self._kept.get(text)
         if found is None:
-            cuts = [0, *[k for k in range(1, len(text)) if text[k - 1:k + 1] not in self.beside], len(text)]
-            ids: list[int] = []
-            for a, b in zip(cuts, cuts[1:]):
-                ids += (self.ids[text[a]],) if b - a == 1 and text[a] in self.ids else self._merged(text[a:b])
-            found = tuple(ids)
+            beside = self.beside
+            cuts = [k for k, pair in enumerate(map(add, text, text[1:]), 1) if pair not in beside]
+            if cuts:  # parts of it stand in other segments, too
+                found = tuple(i for a, b in zip([0, *cuts], [*cuts, len(text)]) for i in self._segment(text[a:b]))
+            else:
+                found = tuple(self._merged(text))
             if len(text) <= KEPT_LENGTH:
                 if len(self._kept) >= KEPT:
                     self._kept.clear()
                 self._kept[text] = found
         return found
 
+    def _ranked(self):
+        """(library, ids by rank): the merges run by a faster library, for segments in which no
+        two merges tie and that are short; None where its results could differ.
+
+        Bytes come first, then what joins them to characters, then the pieces by score: so
+        characters are whole before any other merge, as they are here.
+        """
+        if self._cuts is None or not self.bytes:
+            return None
+        import tiktoken
+
+        ranks = {bytes([b]): b for b in range(256)}
+        for c in sorted({c for w in self.ids for c in w}):
+            data = c.encode()
+            for k in range(2, len(data) + 1):
+                ranks.setdefault(data[:k], len(ranks))
+        tied = {w for w in self.ids if len(w) > 1 and not w.strip(self.space)}
+        for w in sorted((w for w in self.ids if len(w) > 1 and w not in tied), key=self.rank.__getitem__):
+            ranks[w.encode()] = len(ranks)
+        places = [self.rank[w] for w in self.ids if len(w) > 1 and w not in tied]
+        if len(set(places)) != len(places) or any(self._merged(w) != [i] for w, i in self.ids.items() if w not in tied):
+            return None  # ties, or pieces that merging never reaches (the library takes them at once)
+        names = {w.encode(): i for w, i in self.ids.items()}
+        each = [[names[data]] if data in names else [self.bytes[b] for b in data] for data in ranks]
+        library = tiktoken.Encoding("pieces", pat_str=self._cuts.pattern, mergeable_ranks=ranks, special_tokens={})
+        odd = re.compile(f"{self.space}{{2,}}[^{self.space}]*|{self.space}?[^{self.space}]{{{KEPT_LENGTH},}}", re.S)
+        one = np.array([e[0] for e in each])
+        return library, each, one, np.array([len(e) > 1 for e in each]), odd
+
     def encode_normalised(self, text: str) -> list[int]:
+        if self._fast is False:
+            self._fast = self._ranked()
         out: list[int] = []
-        get, segment, extend = self._kept.get, self._segment, out.extend
-        for s in self._cuts.findall(text) if self._cuts else [text]:
-            extend(get(s) or segment(s))
+        if self._fast is None:
+            for s in self._cuts.findall(text) if self._cuts else [text]:
+                out += self._segment(s)
+            return out
+        library, each, one, several, odd = self._fast
+        at = 0
+
+        def plain(some: str):
+            ranks = np.array(library.encode_ordinary(some), dtype=np.int64)
+            if several[ranks].any():
+                return [i for r in ranks.tolist() for i in each[r]]
+            return one[ranks].tolist()
+
+        for hit in odd.finditer(text):
+            if hit.start() > at:
+                out += plain(text[at:hit.start()])
+            out += self._segment(hit.group())
+            at = hit.end()
+        if at < len(text):
+            out += plain(text[at:])
         return out
 
     def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
