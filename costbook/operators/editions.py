@@ -81,6 +81,27 @@ def _checked_admin(reservation_id: Column) -> Column:
     return F.when(admin.isNull(), F.raise_error(message)).otherwise(admin)
 
 
+def _admin_copies(reservation_ids: DataFrame, dedupe_projects: bool) -> DataFrame:
+    """Administration projects in use, and how often the script takes each one's timeline."""
+    ids = reservation_ids.select(_checked_admin(F.col("reservation_id")).alias("admin_project"))
+    if dedupe_projects:
+        return ids.distinct().withColumn("copies", F.lit(1).cast("bigint"))
+    return ids.groupBy("admin_project").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def _with_edition(rt: DataFrame, reservations: DataFrame, match_reservation: bool) -> DataFrame:
+    """Reservation minutes with the editions of their project's reservations (left)."""
+    keys = ["project_id", "project_number"]
+    lookup = reservations.select(*keys, "edition")
+    if match_reservation:
+        if "reservation_name" not in reservations.columns:
+            raise ValueError("match_reservation needs a reservation_name column in the reservations")
+        rt = rt.withColumn("_reservation_name", F.substring_index("reservation_id", ".", -1))
+        lookup = reservations.select(*keys, F.col("reservation_name").alias("_reservation_name"), "edition")
+        keys = keys + ["_reservation_name"]
+    return rt.join(broadcast_if_small(lookup), on=keys, how="left")
+
+
 def reservation_minutes(
     reservation_ids: DataFrame,
     reservation_timeline: DataFrame,
@@ -108,28 +129,16 @@ def reservation_minutes(
     instead of ``k`` identical rows: a project with ``k`` reservations would
     otherwise hold ``k`` squared rows per minute.
     """
-    ids = reservation_ids.select(_checked_admin(F.col("reservation_id")).alias("admin_project"))
-    if dedupe_projects:
-        admins = ids.distinct().withColumn("copies", F.lit(1).cast("bigint"))
-    else:
-        admins = ids.groupBy("admin_project").agg(F.count(F.lit(1)).alias("copies"))
+    admins = _admin_copies(reservation_ids, dedupe_projects)
     rt = reservation_timeline
     if minute_range is not None:
         rt = rt.filter(in_range("period_start", *minute_range)
                        & day_partition_bounds(rt.columns, "period_start", *minute_range))
-    # Both lookups are per-project lists; broadcasting them (after a row count)
+    # Both lookups are per-project lists; broadcasting them (after a measurement)
     # keeps the timeline, whose rows share a handful of project keys, from
     # being shuffled by project.
     admins = broadcast_if_small(admins)
-    keys = ["project_id", "project_number"]
-    lookup = reservations.select(*keys, "edition")
-    if match_reservation:
-        if "reservation_name" not in reservations.columns:
-            raise ValueError("match_reservation needs a reservation_name column in the reservations")
-        rt = rt.withColumn("_reservation_name", F.substring_index("reservation_id", ".", -1))
-        lookup = reservations.select(*keys, F.col("reservation_name").alias("_reservation_name"), "edition")
-        keys = keys + ["_reservation_name"]
-    with_edition = rt.join(broadcast_if_small(lookup), on=keys, how="left")
+    with_edition = _with_edition(rt, reservations, match_reservation)
     res = with_edition.join(admins, with_edition["project_id"] == admins["admin_project"], "inner").select(
         "reservation_id",
         F.col("slots_assigned").alias("baseline"),
@@ -173,6 +182,10 @@ def edition_slot_minute(totals: DataFrame, res: DataFrame) -> DataFrame:
     r = res.withColumnRenamed("period_start", "period_minute")
     copies = F.col("copies") if "copies" in res.columns else F.lit(1)
     joined = totals.join(r, on=["reservation_id", "period_minute"], how="inner")
+    return _slot_minute(joined, copies)
+
+
+def _slot_minute(joined: DataFrame, copies: Column) -> DataFrame:
     g = joined.groupBy("reservation_id", "period_minute", "baseline", "edition").agg(
         F.sum(F.col("slot_ms") * copies).alias("slot_ms"), F.sum(F.col("n_periods") * copies).alias("n_periods")
     )
@@ -255,3 +268,36 @@ def editions_source(
     )
     hours = edition_slot_hour(edition_slot_minute(totals, res))
     return edition_day_cost(hours, prices, asof, latest_per_key)
+
+
+# --- from partial sums kept per UTC day -----------------------------------------------
+def edition_minute_partials(timeline: DataFrame, reservation_timeline: DataFrame, reservations: DataFrame, asof: AsOf,
+                            months_back: int = 0, match_reservation: bool = False) -> DataFrame:
+    """Per UTC day folder: the minute totals that met reservation minutes, before the
+    scripts' copies multiply them, and each reservation id seen (a row without a minute).
+
+    How often a project's timeline counts depends on the month's reservation ids, so
+    it is no part of a day.
+    """
+    part = "period_date"
+    job = filter_reserved_jobs(filter_month_window(timeline, asof, months_back))
+    totals = job.groupBy(F.col(part).alias("day"), "reservation_id", trunc_minute("period_start").alias("period_minute")).agg(
+        F.sum("period_slot_ms").alias("slot_ms"), F.count("period_slot_ms").alias("n_periods"))
+    lo, hi = asof.month_window_utc(0)
+    rt = _with_edition(reservation_timeline.filter(in_range("period_start", lo, hi)), reservations, match_reservation).select(
+        "project_id", "reservation_id", F.col("slots_assigned").alias("baseline"), F.col("period_start").alias("period_minute"), "edition")
+    met = totals.join(rt, on=["reservation_id", "period_minute"], how="inner").groupBy(
+        "day", "project_id", "reservation_id", "period_minute", "baseline", "edition").agg(
+        F.sum("slot_ms").alias("slot_ms"), F.sum("n_periods").alias("n_periods"))
+    seen = totals.select("day", "reservation_id").distinct()
+    return met.unionByName(seen, allowMissingColumns=True)
+
+
+def edition_cost_of_partials(partials: DataFrame, prices: DataFrame, asof: AsOf, dedupe_projects: bool = False,
+                             latest_per_key: bool = False) -> DataFrame:
+    """The rows of :func:`editions_source`, from partial sums."""
+    ids = partials.filter("period_minute IS NULL").select("reservation_id").distinct()
+    admins = broadcast_if_small(_admin_copies(ids, dedupe_projects))
+    met = partials.filter("period_minute IS NOT NULL")
+    joined = met.join(admins, met["project_id"] == admins["admin_project"], "inner")
+    return edition_day_cost(edition_slot_hour(_slot_minute(joined, F.col("copies"))), prices, asof, latest_per_key)

@@ -6,9 +6,9 @@ billed-size roll-up (grouped by eight columns that include them) and the
 sort-merge join with the text both accept that partitioning, so the jobs side
 is shuffled a single time (a roll-up of one row per job gains nothing from a
 map-side partial sum).
-Job text is read whole (the scripts put no time filter on it); Spark's
-runtime Bloom filter, built from the selected jobs, trims it before its
-shuffle.
+The scripts put no time filter on the job text.  Spark's runtime Bloom filter,
+built from the selected jobs, trims it before its shuffle, and of an export
+laid out by the job's creation day only the days of the selected jobs are read.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from costbook.asof import AsOf
 from costbook.constants import FINISHED_STATE
 from costbook.functions import TIB, between_closed, date_lit, day_partition_bounds, ms_between
+from costbook.functions.timecols import DAY_PARTITION_OF
 from costbook.session import Staging
 
 JOB_KEYS = ["project_id", "job_id", "user_email"]
@@ -59,24 +60,49 @@ def job_statements(job_text: DataFrame) -> DataFrame:
     return job_text.select(*JOB_KEYS, F.col("query").alias("statement"))
 
 
+def text_of_days(job_text: DataFrame, recent: DataFrame) -> DataFrame:
+    """The job text of the UTC days on which the selected jobs were created.
+
+    Only for an export laid out by ``creation_date`` (the job's creation day);
+    any other is returned as it is.  The days are few (one row each), so their
+    broadcast is bounded, and dynamic partition pruning takes them to the scan:
+    the folders of other days are not read.
+    """
+    part = DAY_PARTITION_OF["creation_time"]
+    if part not in job_text.columns:
+        return job_text
+    days = recent.select(F.to_date("creation_time").alias(part)).distinct()
+    return job_text.join(F.broadcast(days), on=part, how="left_semi")
+
+
+def selected_statements(job_text: DataFrame, recent: DataFrame) -> DataFrame:
+    """The statements of the selected jobs.
+
+    Keeping only text rows of the selected jobs changes nothing in a left join,
+    but gives Spark a plain filtered scan to build its runtime Bloom filter from
+    (it cannot see through the roll-up, nor does it take a scan without a
+    selective predicate), so the job text is filtered before it is shuffled; the
+    semi-join's partitioning is then reused by the left join.
+    """
+    return job_statements(text_of_days(job_text, recent)).join(recent.select(*JOB_KEYS), on=JOB_KEYS, how="left_semi")
+
+
 def query_analysis_rows(jobs: DataFrame, job_text: DataFrame, asof: AsOf, window: str = "as_written",
                         states=(FINISHED_STATE,), staging: Staging | None = None) -> DataFrame:
     """Rows appended to the query-analysis mart.
 
     The window's finished jobs are staged once and feed the roll-up, the
     semi-join and the Bloom filters that Spark builds from them, so the jobs
-    export is scanned once.
+    export is scanned once.  The window is named again on the staged rows: it
+    drops none, and is the selective predicate without which Spark builds no
+    runtime filter.
     """
     staging = staging or Staging(jobs.sparkSession)
-    columns = [*JOB_KEYS, "cache_hit", "start_time", "end_time", "statement_type", "total_bytes_billed"]
-    recent = staging.table(recent_jobs(jobs, asof, window, states).select(*columns), "recent-jobs")
+    columns = [*JOB_KEYS, "cache_hit", "creation_time", "start_time", "end_time", "statement_type", "total_bytes_billed"]
+    staged = staging.table(recent_jobs(jobs, asof, window, states).select(*columns), "recent-jobs")
+    recent = staged.filter(between_closed("start_time", *asof.recent_window(window)))
     billed = job_billed(recent)
-    # Keeping only text rows of the selected jobs changes nothing in a left
-    # join, but gives Spark a plain filtered scan to build its runtime Bloom
-    # filter from (it cannot see through the roll-up), so the whole job-text
-    # table is filtered before it is shuffled; the semi-join's partitioning is
-    # then reused by the left join.
-    statements = job_statements(job_text).join(recent.select(*JOB_KEYS), on=JOB_KEYS, how="left_semi")
+    statements = selected_statements(job_text, recent)
     joined = billed.join(statements, on=JOB_KEYS, how="left")
     return joined.select(
         "project_id",

@@ -22,8 +22,13 @@ however many partitions there are.
 
 Each merge key fixes its partition (every key includes the date, or a month
 that determines it), so rows of untouched partitions can never match.
-Replacing several partitions is not atomic, and one writer per mart is
-assumed.
+
+Replacing several partitions is not atomic, but it is recoverable: a journal
+(one file in the mart's folder) names the staged rows and the partitions before
+the first one is replaced, and goes after the last.  A run that finds a journal
+first replaces those partitions again from the staged rows, which outlive the
+run that stopped.  Until then a reader may see partitions of both states.  One
+writer per mart is assumed.
 """
 
 from __future__ import annotations
@@ -36,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from costbook import schemas
-from costbook.session import Staging
+from costbook.session import Staging, remove_path
 
 
 @dataclass(frozen=True)
@@ -82,9 +87,14 @@ class MartSchemaError(ValueError):
     pass
 
 
-# A mart folder keeps its schema in this file (Spark skips names that begin
-# with an underscore).
+class RecoveryError(RuntimeError):
+    pass
+
+
+# A mart folder keeps its schema in this file, and the replacement that is under
+# way in the other (Spark skips names that begin with an underscore).
 SCHEMA_FILE = "_mart_schema.json"
+JOURNAL_FILE = "_replacing.json"
 _NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -99,34 +109,55 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
-def kept_schema(spark: SparkSession, path: str) -> StructType | None:
-    """The schema that a mart folder keeps."""
-    fs, jpath = _filesystem(spark, f"{path}/{SCHEMA_FILE}")
+def read_small(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file, None if there is none."""
+    fs, jpath = _filesystem(spark, path)
     if not fs.exists(jpath):
         return None
     stream = fs.open(jpath)
     try:
-        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
-    return StructType.fromJson(json.loads(text))
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Replace a small file: a reader finds the old text, none, or the whole new one."""
+    fs, new = _filesystem(spark, f"{path}.new")
+    out = fs.create(new, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    remove(spark, path)
+    if not fs.rename(new, _filesystem(spark, path)[1]):
+        raise OSError(f"{path} could not be replaced")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of a mart, if it is there."""
+    fs, jpath = _filesystem(spark, path)
+    fs.delete(jpath, True)
+
+
+def kept_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The schema that a mart folder keeps."""
+    text = read_small(spark, f"{path}/{SCHEMA_FILE}")
+    return None if text is None else StructType.fromJson(json.loads(text))
 
 
 def ensure(spark: SparkSession, mart: Mart, path: str) -> None:
     """``CREATE TABLE IF NOT EXISTS``: a folder that keeps the mart's schema.
 
     A folder that is there must keep the same schema; one from before schemas
-    were kept gets it now.
+    were kept gets it now.  A replacement that an earlier run began is ended.
     """
     fs, jpath = _filesystem(spark, path)
     kept = kept_schema(spark, path) if fs.exists(jpath) else None
     if kept is None:
         fs.mkdirs(jpath)
-        out = fs.create(_filesystem(spark, f"{path}/{SCHEMA_FILE}")[1], True)
-        out.write(bytearray(mart.schema.json().encode()))
-        out.close()
+        write_small(spark, f"{path}/{SCHEMA_FILE}", mart.schema.json())
     elif _types(kept) != _types(mart.schema):
         raise MartSchemaError(f"{path} keeps another schema than {mart.name}: {_types(kept)}")
+    recover(spark, mart, path)
 
 
 def _types(schema: StructType) -> list[tuple[str, str]]:
@@ -216,7 +247,8 @@ def upsert(source: DataFrame, mart: Mart, path: str) -> None:
     The source (a daily or monthly roll-up) is staged once: the merge reads it
     twice, and its partition values (dates) name the folders of the target that
     are read.  The merged rows are staged too, which cuts the lineage back to the
-    files about to be replaced; both folders are removed at the end.
+    files about to be replaced; both folders are removed at the end, the merged rows
+    only after all partitions have been replaced.
     """
     spark = source.sparkSession
     rows = checked(source, mart)
@@ -228,6 +260,42 @@ def upsert(source: DataFrame, mart: Mart, path: str) -> None:
         target = read(spark, mart, path, parts)
         if not repeated_matches(target, src, mart).isEmpty():
             raise MergeError(f"MERGE into {mart.name}: a target row matches more than one source row")
-        merged = staging.table(merged_rows(target, src, mart), f"merged-{mart.name}")
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(mart.partition_col).parquet(path))
+        staging.table(merged_rows(target, src, mart), f"merged-{mart.name}")
+        replace_partitions(spark, mart, path, staging.release(), parts)
+
+
+def replace_partitions(spark: SparkSession, mart: Mart, path: str, staged: str, parts: list) -> None:
+    """Replace the partitions ``parts`` by the rows staged at ``staged``, then delete these.
+
+    The journal stands from before the first partition until after the last, so a run
+    that stops in between is ended by :func:`recover`.
+    """
+    journal = {"staged": staged, "partitions": [None if v is None else v.isoformat() for v in parts]}
+    write_small(spark, f"{path}/{JOURNAL_FILE}", json.dumps(journal))
+    _swap(spark, mart, path, staged)
+    remove(spark, f"{path}/{JOURNAL_FILE}")
+    remove_path(spark, staged)
+
+
+def _swap(spark: SparkSession, mart: Mart, path: str, staged: str) -> None:
+    rows = spark.read.schema(mart.schema).parquet(staged)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(mart.partition_col).parquet(path)
+
+
+def recover(spark: SparkSession, mart: Mart, path: str) -> list[str]:
+    """End the replacement that a stopped run began; returns its partitions (none: nothing to do).
+
+    All of them are replaced again: which ones the stopped run had reached does not
+    matter, since their rows are those staged, not what the mart holds now.
+    """
+    text = read_small(spark, f"{path}/{JOURNAL_FILE}")
+    if text is None:
+        return []
+    journal = json.loads(text)
+    if not exists(spark, journal["staged"]):
+        raise RecoveryError(f"{path}: a replacement of {journal['partitions']} was not ended, and its rows at "
+                            f"{journal['staged']} are gone; restore these partitions and delete {JOURNAL_FILE}")
+    _swap(spark, mart, path, journal["staged"])
+    remove(spark, f"{path}/{JOURNAL_FILE}")
+    remove_path(spark, journal["staged"])
+    return journal["partitions"]

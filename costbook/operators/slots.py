@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from costbook.asof import AsOf
 from costbook.constants import FINISHED_STATE
 from costbook.functions import ceil_hundreds, date_lit, slot_hours, trunc_minute
-from costbook.operators.jobs import JOB_KEYS, filter_recent_window, filter_states, job_statements, job_seconds
+from costbook.operators.jobs import JOB_KEYS, filter_recent_window, filter_states, job_seconds, job_statements, text_of_days
 
 SLOT_KEYS = ["project_id", "job_id", "user_email", "reservation_id"]
 
@@ -75,11 +75,12 @@ def slot_analysis_rows(jobs: DataFrame, timeline: DataFrame, job_text: DataFrame
                        timeline_states=(FINISHED_STATE,)) -> DataFrame:
     """Rows appended to the slot-analysis mart."""
     recent = job_seconds(filter_states(filter_recent_window(jobs, "start_time", asof, window), states)).select(
-        "project_id", "reservation_id", "job_id", "user_email", "cache_hit", "start_time", "end_time",
+        "project_id", "reservation_id", "job_id", "user_email", "cache_hit", "creation_time", "start_time", "end_time",
         "query_execution_seconds", "statement_type",
     )
     slots = slot_hours_by_job(slot_minute(slot_second(recent_timeline(timeline, asof, window, timeline_states))))
-    joined = recent.join(job_statements(job_text), on=JOB_KEYS, how="left").join(slots, on=JOB_KEYS, how="left")
+    statements = job_statements(text_of_days(job_text, recent))
+    joined = recent.join(statements, on=JOB_KEYS, how="left").join(slots, on=JOB_KEYS, how="left")
     own = F.col("slot_by_reservation")[F.col("reservation_id")]
     joined = joined.withColumns({"optimistic_slot_hour": own["optimistic_slot_hour"],
                                  "pessmistic_slot_hour": own["pessmistic_slot_hour"]})

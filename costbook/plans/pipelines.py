@@ -12,16 +12,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
 from costbook.asof import AsOf
 from costbook.constants import FINISHED_STATE
-from costbook.operators import sinks
-from costbook.operators.editions import editions_source
+from costbook import schemas
+from costbook.operators import partials, sinks
+from costbook.operators.editions import edition_cost_of_partials, edition_minute_partials, editions_source
 from costbook.operators.jobs import query_analysis_rows, recent_jobs
-from costbook.operators.ondemand import ondemand_day_cost
+from costbook.operators.ondemand import ondemand_cost_of_partials, ondemand_day_cost, ondemand_day_partials
 from costbook.operators.slots import slot_analysis_rows
 from costbook.operators.storage import (
     billing_model,
@@ -33,7 +34,7 @@ from costbook.operators.storage import (
 )
 from costbook.session import Staging, require_utc
 from costbook.sources.fanin import gather
-from costbook.sources.telemetry import Telemetry
+from costbook.sources.telemetry import Telemetry, read_table
 
 
 # --- P1 -------------------------------------------------------------------------
@@ -58,6 +59,39 @@ def run_ondemand_day_pricing(t: Telemetry, asof: AsOf, path: str, **opts) -> Non
     sinks.upsert(ondemand_day_pricing_source(t, asof, **opts), sinks.DAILY_ONDEMAND_COMPUTE_PRICING, path)
 
 
+# --- P1 and P2 from partial sums per day -------------------------------------------
+def run_editions_day_pricing_kept(spark: SparkSession, root: str, asof: AsOf, path: str, kept: str, months_back: int = 0,
+                                  dedupe_projects: bool = False, latest_per_key: bool = False,
+                                  match_reservation: bool = False) -> list[date]:
+    """:func:`run_editions_day_pricing` for an export at ``root`` that is laid out by
+    ``period_date``; the partial sums at ``kept`` are recomputed for the days whose input
+    changed (returned), and the mart gets the rows of a full run."""
+    require_utc(spark)
+    window = asof.month_window_utc(0)
+    days = partials.DayExport(spark, root, {"jobs_timeline": "period_start", "reservation_timeline": "period_start"}, window)
+    reservations = read_table(spark, root, "reservations")
+    depends = f"{asof.month_window_utc(months_back)} {window} {match_reservation} {partials.rows_digest(reservations)}"
+    sums = partials.KeptDays(spark, kept, schemas.EDITION_MINUTE_PARTIAL)
+    changed = sums.refresh(days.prints(depends), lambda some: edition_minute_partials(
+        days.read("jobs_timeline", some), days.read("reservation_timeline", some), reservations, asof, months_back, match_reservation))
+    rows = edition_cost_of_partials(sums.read(days.days), read_table(spark, root, "price_compute"), asof, dedupe_projects, latest_per_key)
+    sinks.upsert(rows, sinks.DAILY_EDITIONS_COMPUTE_PRICING, path)
+    return changed
+
+
+def run_ondemand_day_pricing_kept(spark: SparkSession, root: str, asof: AsOf, path: str, kept: str,
+                                  latest_per_key: bool = False) -> list[date]:
+    """:func:`run_ondemand_day_pricing` for an export at ``root`` whose jobs are laid out by
+    ``creation_date``, in the same way."""
+    require_utc(spark)
+    days = partials.DayExport(spark, root, {"jobs": "creation_time"}, asof.month_window_utc(1))
+    sums = partials.KeptDays(spark, kept, schemas.ONDEMAND_DAY_PARTIAL)
+    changed = sums.refresh(days.prints(asof.zone), lambda some: ondemand_day_partials(days.read("jobs", some), "creation_date", asof.zone))
+    prices = read_table(spark, root, "price_compute")
+    sinks.upsert(ondemand_cost_of_partials(sums.read(days.days), prices, asof, latest_per_key), sinks.DAILY_ONDEMAND_COMPUTE_PRICING, path)
+    return changed
+
+
 # --- P3 -------------------------------------------------------------------------
 def _options(t: Telemetry) -> tuple[DataFrame, dict[str, str]]:
     """The schema options of the snapshot's projects; unreadable projects are left out and named."""

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from costbook import schemas
 from costbook.asof import DEFAULT_ASOF, AsOf
 from costbook.functions import admin_project, date_lit
+from costbook.functions.timecols import ntz
 from costbook.operators import editions, jobs, ondemand, sinks, slots, storage
 from costbook.operators.prices import append_compute_prices, append_storage_prices, edition_price, storage_prices
 from costbook.plans import pipelines
@@ -136,21 +137,15 @@ def append_daily(spark, sf_dir):
 
 
 def upsert_editions(spark, sf_dir):
-    """Runs of December and of 2024-01-15 (old prices, every edition STANDARD), then
-    today's run: December's rows stay, costs known by then are updated while the
-    edition stays, later days are inserted.  Reservations whose baseline changes
-    within the day would repeat keys (and raise, as MERGE does); they are left out."""
+    """December's run (old prices, every edition STANDARD), then today's run merged over
+    it, on all reservations: December's rows stay, January's are inserted.  (A baseline
+    that changes within a day repeats a key, and a MERGE that met such a key again
+    would raise: updates are tested on the reservations without one.)"""
     path = scratch_path(spark, "mart-editions")
-
-    def part(t):
-        return t.with_(jobs_timeline=t.jobs_timeline.filter(F.col("reservation_id").isin(
-            fixtures.RESERVATION_STD, fixtures.RESERVATION_ENTPLUS)))
-
-    for asof in (SEED_ASOF, MID_ASOF):
-        t = part(_seed_telemetry(spark, sf_dir, asof))
-        before = t.with_(reservations=t.reservations.withColumn("edition", F.lit("STANDARD")))
-        pipelines.run_editions_day_pricing(before, asof, path, match_reservation=True)
-    pipelines.run_editions_day_pricing(part(_t(spark, sf_dir)), ASOF, path, match_reservation=True)
+    t = _seed_telemetry(spark, sf_dir)
+    before = t.with_(reservations=t.reservations.withColumn("edition", F.lit("STANDARD")))
+    pipelines.run_editions_day_pricing(before, SEED_ASOF, path, match_reservation=True)
+    pipelines.run_editions_day_pricing(_t(spark, sf_dir), ASOF, path, match_reservation=True)
     return sinks.read(spark, sinks.DAILY_EDITIONS_COMPUTE_PRICING, path)
 
 
@@ -496,6 +491,44 @@ def slot_analysis_all_timeline_states(spark, sf_dir):
     return pipelines.slot_analysis_source(_t(spark, sf_dir), ASOF, timeline_states=None)
 
 
+# --- month to date from partial sums per day ----------------------------------------------------
+def _by_day(rows, column: str, path: str, part: str) -> None:
+    rows.withColumn(part, F.to_date(column)).write.partitionBy(part).mode("append").parquet(path)
+
+
+def _grown_export(spark, sf_dir, first_run):
+    """An export laid out by day: with the rows known in mid-January (on which ``first_run``
+    is called), then with the rest added to it."""
+    t, root = _t(spark, sf_dir), scratch_path(spark, "export-by-day")
+    known = fixtures.known_at(t, MID_ASOF.instant)
+    for name in ("reservations", "price_compute"):
+        getattr(t, name).write.parquet(f"{root}/{name}")
+    _by_day(t.reservation_timeline, "period_start", f"{root}/reservation_timeline", "period_date")
+    _by_day(known.jobs, "creation_time", f"{root}/jobs", "creation_date")
+    _by_day(known.jobs_timeline, "period_start", f"{root}/jobs_timeline", "period_date")
+    first_run(root)
+    _by_day(t.jobs.filter(F.col("creation_time") > ntz(MID_ASOF.instant)), "creation_time", f"{root}/jobs", "creation_date")
+    _by_day(t.jobs_timeline.filter(F.col("period_start") > ntz(MID_ASOF.instant)), "period_start", f"{root}/jobs_timeline", "period_date")
+    return root
+
+
+def editions_incremental(spark, sf_dir):
+    """Mid-January's run, then today's from the days that changed since: the rows of a full run."""
+    kept, path = scratch_path(spark, "kept-editions"), scratch_path(spark, "mart-editions")
+    root = _grown_export(spark, sf_dir, lambda root: pipelines.run_editions_day_pricing_kept(
+        spark, root, MID_ASOF, scratch_path(spark, "mart-editions"), kept))
+    pipelines.run_editions_day_pricing_kept(spark, root, ASOF, path, kept)
+    return sinks.read(spark, sinks.DAILY_EDITIONS_COMPUTE_PRICING, path)
+
+
+def ondemand_incremental(spark, sf_dir):
+    """The same for on-demand cost, merged over the earlier run's rows."""
+    kept, path = scratch_path(spark, "kept-ondemand"), scratch_path(spark, "mart-ondemand")
+    root = _grown_export(spark, sf_dir, lambda root: pipelines.run_ondemand_day_pricing_kept(spark, root, MID_ASOF, path, kept))
+    pipelines.run_ondemand_day_pricing_kept(spark, root, ASOF, path, kept)
+    return sinks.read(spark, sinks.DAILY_ONDEMAND_COMPUTE_PRICING, path)
+
+
 def _fresh(name):
     return lambda spark, sf_dir: (_t(spark, sf_dir), scratch_path(spark, f"mart-{name}"))
 

@@ -45,6 +45,12 @@ RESERVATION_TIMELINE = _struct(
 RESERVATIONS = _struct("project_id STRING, project_number BIGINT, edition STRING")
 # Read when an export carries it; only the ``match_reservation`` option uses it.
 RESERVATIONS_OPTIONAL = _struct("reservation_name STRING")
+# Kept partial sums, by UTC day (see operators/partials.py).
+ONDEMAND_DAY_PARTIAL = _struct("project_id STRING, date DATE, bytes BIGINT, day DATE")
+EDITION_MINUTE_PARTIAL = _struct(
+    "project_id STRING, reservation_id STRING, period_minute TIMESTAMP_NTZ, baseline BIGINT, edition STRING, "
+    "slot_ms BIGINT, n_periods BIGINT, day DATE"
+)
 TABLE_STORAGE = _struct(
     "project_id STRING, table_schema STRING, table_name STRING, "
     "active_logical_bytes BIGINT, long_term_logical_bytes BIGINT, "

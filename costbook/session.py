@@ -117,6 +117,10 @@ class Staging:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def release(self) -> str:
+        """The folder of the last table, which this run's end no longer deletes."""
+        return self.paths.pop()
+
     def __enter__(self) -> "Staging":
         return self
 

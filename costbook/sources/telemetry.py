@@ -14,10 +14,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from costbook import schemas
 from costbook.asof import AsOf
@@ -78,26 +79,47 @@ def read_table(spark: SparkSession, root: str, name: str, column: str | None = N
     read.  With ``column`` and ``window``, an export laid out by that column's
     day is listed and read for the days of the window only.
     """
-    require_utc(spark)  # zoned timestamps in an export are cast to UTC wall clock
-    schema, path = TABLES[name], f"{root}/{name}"
-    paths = [path] if window is None else _day_folders(spark, path, DAY_PARTITION_OF[column], *window)
-    if not paths:
-        return spark.createDataFrame([], schema)
-    df = spark.read.option("basePath", path).parquet(*paths)
+    path = f"{root}/{name}"
+    if window is None:
+        return _typed(spark, name, path, [path])
+    by_day = day_folders(spark, root, name, column, *window)
+    paths = [path] if by_day is None else list(by_day.values())
+    return _typed(spark, name, path, paths) if paths else spark.createDataFrame([], TABLES[name])
+
+
+def read_days(spark: SparkSession, root: str, name: str, folders: list[str]) -> DataFrame:
+    """The rows of these day folders of a dataset, the day column kept."""
+    return _typed(spark, name, f"{root}/{name}", folders)
+
+
+def _typed(spark: SparkSession, name: str, base: str, paths: list[str]) -> DataFrame:
+    df = spark.read.option("basePath", base).parquet(*paths)
     parts = [F.col(c).cast("date").alias(c) for c in DAY_PARTITION_COLUMNS if c in df.columns]
-    optional = [df[f.name].cast(f.dataType).alias(f.name) for f in OPTIONAL.get(name, ()) if f.name in df.columns]
-    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields], *optional, *parts)
+    optional = [_cast(df, f) for f in OPTIONAL.get(name, ()) if f.name in df.columns]
+    return df.select(*[_cast(df, f) for f in TABLES[name].fields], *optional, *parts)
+
+
+def _cast(df: DataFrame, field) -> Column:
+    """The column in its declared type; a zoned timestamp becomes its UTC wall clock,
+    whatever zone the session has (a cast would take the session's)."""
+    c = df[field.name]
+    if isinstance(df.schema[field.name].dataType, TimestampType) and isinstance(field.dataType, TimestampNTZType):
+        since = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.unix_micros(c).cast("decimal(20,0)") / 1000000).cast("decimal(18,6)"))
+        c = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since
+    return c.cast(field.dataType).alias(field.name)
 
 
-def _day_folders(spark: SparkSession, path: str, part: str, lo: datetime, hi: datetime) -> list[str]:
-    """The existing day folders from ``lo`` to ``hi``; the whole dataset if it is not laid out by ``part``."""
+def day_folders(spark: SparkSession, root: str, name: str, column: str, lo: datetime, hi: datetime) -> dict[date, str] | None:
+    """The existing day folders from ``lo`` to ``hi`` of a dataset laid out by ``column``'s
+    day; None for one that is not."""
+    path, part = f"{root}/{name}", DAY_PARTITION_OF[column]
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = jpath(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not len(fs.globStatus(jpath(f"{path}/{part}=*")) or ()):
-        return [path]
+        return None
     days = [lo.date() + timedelta(days=k) for k in range((hi.date() - lo.date()).days + 1)]
-    folders = [f"{path}/{part}={d.isoformat()}" for d in days]
-    return [f for f in folders if fs.exists(jpath(f))]
+    folders = {d: f"{path}/{part}={d.isoformat()}" for d in days}
+    return {d: f for d, f in folders.items() if fs.exists(jpath(f))}
 
 
 def read_telemetry(spark: SparkSession, root: str, windows: dict[str, tuple] | None = None) -> Telemetry:

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from costbook.plans import oracle, registry
 from conftest import SF_SMALL
 from tools.check_oracle import digest, duck
 
-KEYS = sorted(entry.queries())
+KEYS = sorted(registry.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,14 +16,15 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.QUERIES) == set(oracle.statements())
+    assert set(registry.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
-    df = entry.queries()[key](spark, SF_SMALL)
+    df = registry.QUERIES[key](spark, SF_SMALL)
     s_rows = [tuple(r) for r in df.collect()]
-    rel = con.sql(entry.oracle_sql()[key])
+    rel = con.sql(oracle.statements()[key])
     d_rows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
     assert len(s_rows) == len(d_rows)
