@@ -21,6 +21,9 @@ is named by the groups of its first and of its last 2^k lines, 2^k <= n < 2^(k +
 Only suffixes that begin with a repeated line are ever shuffled after the first count,
 and a group is met as one grouped minimum and maximum, not as a list.
 
+A copy may overlap the one before it in the same text: of thirty equal lines of one word
+the first stays.
+
 Edge cases: null texts stay null and have no lines; empty and blank texts keep their
 lines; rows repeated exactly (id and text) are one document and get one result each; a
 null id is the first id; ties do not arise, since (id, text, line) is unique; other
@@ -123,8 +126,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
     return rows.withColumn(text_col, cut).withColumnRenamed("_line_dedup", out_col)
 
 
-def oracle_sql(min_words: int = 20, levels: int = 14) -> str:
-    """DuckDB SQL of op9_line_runs; windows of up to 2^(levels - 1) lines."""
+def oracle_sql(min_words: int = 20) -> str:
+    """DuckDB SQL of op9_line_runs: windows of every length up to ``min_words`` lines.  (Every
+    line has a word, so a line of a longer run with ``min_words`` words lies in such a window.)"""
     parts = ["""docs AS (SELECT doc_id, text, dense_rank() OVER (ORDER BY doc_id NULLS FIRST, text) AS doc FROM documents)""",
              """all_lines AS (SELECT DISTINCT doc, unnest(string_split(text, chr(10))) AS line,
   unnest(range(len(string_split(text, chr(10))))) AS place FROM docs WHERE text IS NOT NULL)""",
@@ -134,13 +138,11 @@ def oracle_sql(min_words: int = 20, levels: int = 14) -> str:
              r"""places AS (SELECT doc, place, line AS body, CASE WHEN regexp_matches(line, '[^\x20\x09-\x0D]') THEN
   count(*) FILTER (regexp_matches(line, '[^\x20\x09-\x0D]')) OVER (PARTITION BY doc ORDER BY place) - 1 END AS line FROM all_lines)"""]
     found = []
-    for k in range(levels):
-        if k:
-            parts.append(f"""l{k} AS (SELECT doc, line, md5(key || next) AS key, words + next_words AS words FROM (
-  SELECT *, lead(key, {1 << k - 1}) OVER w AS next, lead(words, {1 << k - 1}) OVER w AS next_words FROM l{k - 1}
-  WINDOW w AS (PARTITION BY doc ORDER BY line)) WHERE next IS NOT NULL)""")
-        found.append(f"""SELECT doc, line, {1 << k} AS length FROM (SELECT *, row_number() OVER (
-  PARTITION BY key ORDER BY doc, line) AS copy FROM l{k}) WHERE copy > 1 AND words >= {min_words}""")
+    for n in range(1, min_words + 1):
+        found.append(f"""SELECT doc, line, {n} AS length FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc, line) AS copy
+  FROM (SELECT doc, line, string_agg(key, '') OVER w AS run, sum(words) OVER w AS n_words, count(*) OVER w AS n FROM l0
+    WINDOW w AS (PARTITION BY doc ORDER BY line ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING))
+  WHERE n = {n} AND n_words >= {min_words}) WHERE copy > 1""")
     parts.append("found AS (" + "\nUNION ALL ".join(found) + ")")
     parts.append("gone AS (SELECT DISTINCT doc, unnest(range(line, line + length)) AS line FROM found)")
     parts.append("""kept AS (SELECT p.doc, string_agg(p.body, chr(10) ORDER BY p.place) AS body FROM places p

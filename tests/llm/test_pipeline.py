@@ -102,3 +102,13 @@ def test_odd_rows_pass_every_stage(spark, odd, tmp_path):
     # exact repeats stay once after the near-duplicate stage; null ids are not lost
     out = [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, odd, str(tmp_path)).collect()]
     assert out.count(5) == 0 and out.count(4) == 1 and out.count(None) == 1
+
+
+def test_near_duplicates_keep_rows_not_ids(spark, docs, tmp_path):
+    """Null and repeated ids: of each class one row stays, whatever ids the others bear."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(4, a, "en", "s"), (5, a, "en", "s"), (5, b, "en", "s"), (None, a, "en", "s"), (None, c, "en", "s"), (5, b, "de", "r"), (5, b, "de", None)]
+    runs = [sorted(map(str, corpus_pipeline.near_duplicates(spark, docs(rows).repartition(n), str(tmp_path)).collect())) for n in (1, 3)]
+    assert runs[0] == runs[1]
+    out = corpus_pipeline.near_duplicates(spark, docs(rows), str(tmp_path)).collect()
+    assert sorted((r["doc_id"] or -1, r["text"], r["lang"]) for r in out) == sorted([(4, a, "en"), (5, b, "de"), (-1, c, "en")])
