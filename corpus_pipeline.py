@@ -38,12 +38,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked at a Jaccard similarity of 0.8 over 5-word n-grams, the one of smallest id stays."""
-    found = jaccard.near_duplicates(docs, words=5, percent=80)
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_pipeline_stay")).distinct()
-    rows = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_pipeline_stay")), "left_semi")
-    once = F.row_number().over(Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(1)))
-    return rows.withColumn("_pipeline_once", once).filter("_pipeline_once = 1 OR doc_id IS NULL").select(*docs.columns)
+    """Of documents linked at a Jaccard similarity of 0.8 over 5-word n-grams, one stays: that of
+    the smallest id (null last).  A document is a row, told by id and text; of rows equal in
+    both, the first by language, source and size stays."""
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64("text").alias("text"))
+    docs_ = docs.withColumn("_pipeline_row", row)
+    found = jaccard.near_duplicates(docs_, id_col="_pipeline_row", words=5, percent=80)
+    stay = found.filter(F.col("_pipeline_row").eqNullSafe(F.col("component_id"))).select(F.col("_pipeline_row").alias("_pipeline_stay")).distinct()
+    rows = docs_.join(stay, F.col("_pipeline_row").eqNullSafe(F.col("_pipeline_stay")), "left_semi")
+    once = F.row_number().over(Window.partitionBy("_pipeline_row").orderBy("lang", "source", "n_chars"))
+    return rows.withColumn("_pipeline_once", once).filter("_pipeline_once = 1").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
