@@ -10,8 +10,8 @@ into key ranges of about ``ROWS`` rows, ranges into groups of ranges, and the
 totals of the coarser level are added to those of the finer one.
 
 Edge cases: a null source is a source of its own, last in order; null or empty
-texts have size 0 and take 0; rows repeated exactly share one finish time and
-one decision; an empty table gives an empty result; other columns are ignored.
+texts have size 0 and take 0; rows with a null id are told apart by their texts;
+rows repeated exactly share one finish time and one decision; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -65,12 +65,16 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], max_repeats: in
 
 
 def mix(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source",
-        weights: tuple[float, ...] = (5, 2, 1), max_repeats: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per row of ``docs``: the id, ``keep``, size, source_size, target, copies and taken."""
+        weights: tuple[float, ...] = (5, 2, 1), max_repeats: int = 3, keep: tuple[str, ...] = (), text_col: str = "text") -> DataFrame:
+    """Per row of ``docs``: the id, ``keep``, size, source_size, target, copies and taken.
+
+    A document's place in the shuffle follows from its id, or from its text where the id is null.
+    """
     taken = [F.col(c) for c in keep if c not in (id_col, source_col)]
     rows = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"), size.cast("long").alias("size"),
+                       F.md5(F.coalesce(F.col(id_col).cast("string"), F.col(text_col).cast("string"), F.lit(""))).alias("key"),
                        *[c.alias(f"_k{i}") for i, c in enumerate(taken)])
-    rows = common.staged(rows.withColumn("key", F.md5(F.coalesce(F.col("_id").cast("string"), F.lit("")))), "mix")
+    rows = common.staged(rows, "mix")
     n = rows.count()
     shift = _KEY_BITS - min(_KEY_BITS, max(0, (n // ROWS).bit_length()))
     rows = rows.withColumn("range", F.shiftright(F.conv(F.substring("key", 1, 7), 16, 10).cast("long"), shift))
@@ -128,7 +132,7 @@ def _cut(timed: DataFrame, copies: int) -> tuple | None:
 
 def oracle_sql() -> str:
     """DuckDB SQL of op1_mix_sources."""
-    return r"""WITH rows AS (SELECT doc_id, source, md5(doc_id::VARCHAR) AS key,
+    return r"""WITH rows AS (SELECT doc_id, source, md5(coalesce(doc_id::VARCHAR, text, '')) AS key,
   coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
 sources AS (SELECT source, sum(size)::BIGINT AS source_size FROM rows GROUP BY source),
 weighed AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM sources),

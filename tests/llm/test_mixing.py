@@ -57,3 +57,10 @@ def test_query_equals_sql(spark):
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
     got = {tuple(r) for r in QUERIES["op1_mix_sources"](spark, sf).collect()}
     assert got == set(con.execute(ORACLE["op1_mix_sources"]).fetchall())
+
+
+def test_null_ids_are_separate_documents(docs):
+    rows = [(None if i % 2 else i, f"d{i} " + "w " * (1 + i * 7 % 40), "en", f"s{i % 3}") for i in range(900)]
+    out = mixing.mix(docs(rows), common.word_count(F.col("text"))).toPandas()
+    by = out.groupby("source").agg(target=("target", "first"), taken=("taken", "sum"))
+    assert ((by.target - by.taken).abs() <= 3 * 42).all()
