@@ -53,12 +53,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     size = common.word_count(F.col("text"))
-    taken = mixing.mix(docs, size).filter("copies > 0").select(
-        F.col("doc_id").alias("_pipeline_id"), F.col("source").alias("_pipeline_source"), F.col("size").alias("_pipeline_size"),
+    docs_ = docs.withColumn("_pipeline_text", F.xxhash64("text"))
+    taken = mixing.mix(docs_, size, keep=("_pipeline_text",)).filter("copies > 0").select(
+        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("_pipeline_text").alias("_text"),
         F.col("copies").alias("_pipeline_copies")).distinct()
-    rows = docs.withColumn("_pipeline_words", size).join(
-        taken, F.col("doc_id").eqNullSafe(F.col("_pipeline_id")) & F.col("source").eqNullSafe(F.col("_pipeline_source"))
-        & (F.col("_pipeline_words") == F.col("_pipeline_size")))
+    rows = docs_.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
+                      & (F.col("_pipeline_text") == F.col("_text")))
     return rows.withColumn("_pipeline_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_pipeline_copies"))).select(*docs.columns)
 
 
