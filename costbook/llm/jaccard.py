@@ -3,8 +3,15 @@
 A document's set of word n-grams is put in one global order (rare before frequent
 n-grams; the frequent ones are known from counts over all documents) and the order is
 cut into fragments.  A pair's overlap is counted per fragment and the partial counts
-are summed per pair.  Only pairs that share one of their first
-``n - ceil(s n) + 1`` n-grams can reach the similarity s, so only these are counted.
+are summed per pair.
+
+Only pairs that share an n-gram of their first ``p = n - ceil(s n) + 1`` can reach the
+similarity s, and only pairs that share 1 + e n-grams of their first ``p + e`` can.  So
+documents show half as many n-grams again as p; how many classes show each is counted
+exactly, by a shuffle; and a document leaves out the e that most others show.  Of the
+shared ones the rarest stays on both sides, so no pair is missed, and n-grams that the
+order wrongly takes for rare offer no pairs.  A document that shares fewer than 1 + e of
+its early n-grams with any other leaves altogether.
 
 Copies are one class and take part once.  A bucket (the classes that share an early
 n-gram) of up to ``SMALL`` members offers all its pairs; a larger one first offers two
@@ -38,8 +45,8 @@ SMALL = 16
 LIKELIEST = 3
 #: At most so many n-grams are known to be frequent: one megabyte for each task.
 FREQUENT = 1 << 17
-#: At most so many ids of candidates are broadcast (16 bytes each).
-BROADCAST_IDS = 1 << 19
+#: Ids of candidates are broadcast up to so many bytes.
+BROADCAST_BYTES = 16 << 20
 _FLUSH = 1 << 22
 
 
@@ -57,6 +64,24 @@ def ngram_hashes(data: bytes | None, n: int) -> np.ndarray:
     return np.unique(h.view(np.int64))
 
 
+def least_overlap(size: int, percent: int) -> int:
+    """The n-grams that a set of ``size`` shares at least with any that it links with."""
+    return -(-percent * size // 100)
+
+
+def spare(size: int, percent: int) -> int:
+    """e: the early n-grams that a set shows beyond its prefix (it grows with the size)."""
+    return max(0, min((100 - percent) * size // 200, least_overlap(size, percent) - 1))
+
+
+def _least_overlap(size: Column, percent: int) -> Column:
+    return F.ceil(F.lit(percent) * size / F.lit(100))
+
+
+def _spare(size: Column, percent: int) -> Column:
+    return F.greatest(F.lit(0), F.least(F.floor(F.lit(100 - percent) * size / F.lit(200)), _least_overlap(size, percent) - 1))
+
+
 def _class(hashes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
 
@@ -140,7 +165,7 @@ def _prefixes(n: int, percent: int, order: Order):
                 if node is None or node in seen:
                     continue
                 seen.add(node)
-                first = order.prefix(h, len(h) - -(-percent * len(h) // 100) + 1)
+                first = order.prefix(h, len(h) - least_overlap(len(h), percent) + 1 + spare(len(h), percent))
                 tokens.append(first)
                 nodes.append(np.full(len(first), node))
                 sizes.append(np.full(len(first), len(h)))
@@ -191,15 +216,14 @@ def _pairs(rows: DataFrame, percent: int) -> DataFrame:
         F.when(F.col("node_a") < F.col("node_b"), F.col("size_b")).otherwise(F.col("size_a")).alias("size_b")).distinct()
 
 
-def _shared_enough(pairs: DataFrame, buckets: DataFrame, percent: int) -> DataFrame:
+def _shared_enough(pairs: DataFrame, early: DataFrame, percent: int) -> DataFrame:
     """The pairs whose early n-grams agree in enough places.
 
-    All common n-grams of the two prefixes are in ``buckets``.  Where the prefix that
-    ends first in the order ends, all before it is known, and at most the rest of that
-    document can still agree: the overlap is at most common + size - prefix length.
+    All common ones of the n-grams that two documents show are in ``early``.  Where the
+    list that ends first in the order ends, all before it is known, and at most the rest
+    of that document can still agree: the overlap is at most common + size - list length.
     """
-    early = buckets.groupBy("node").agg(F.collect_set("token").alias("early"))
-    rest = lambda size: F.ceil(F.lit(percent) * F.col(size) / F.lit(100)) - 1
+    rest = lambda size: _least_overlap(F.col(size), percent) - 1 - _spare(F.col(size), percent)
     need = F.ceil(F.lit(percent) * (F.col("size_a") + F.col("size_b")) / F.lit(100 + percent))
     both = pairs.join(early.select(F.col("node").alias("a"), F.col("early").alias("early_a")), "a").join(
         early.select(F.col("node").alias("b"), F.col("early").alias("early_b")), "b")
@@ -217,8 +241,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = rows.filter("token IS NULL")
     often = rows.filter("token IS NOT NULL").groupBy("token").agg(F.sum("size").alias("n")).filter("n >= 8")
     order = Order([r["token"] for r in often.orderBy(F.desc("n"), "token").limit(FREQUENT).collect()])
-    buckets = _buckets(read, words, percent, order)
-    links = _links(read, found, buckets, words, percent, order)
+    early = _early(read, words, percent, order)
+    links = _links(read, found, early, _buckets(early, percent), words, percent, order)
     label = common.connected_components(links)
     classes = found.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("least"))
     labelled = classes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -229,25 +253,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _buckets(read: DataFrame, words: int, percent: int, order: Order) -> DataFrame:
-    """(token, node, size, place, members, lead, other): the shared early n-grams and who shares them."""
+def _early(read: DataFrame, words: int, percent: int, order: Order) -> DataFrame:
+    """(node, size, shown, early) of the classes that share enough of the n-grams they show: these
+    as (members, token, place), those that most classes show first, and their tokens."""
     rows = read.select("data").mapInArrow(_prefixes(words, percent, order), "token long, node long, size int, place int")
     token = Window.partitionBy("token")
     shared = rows.withColumn("lead", F.min("node").over(token)).withColumn("last", F.max("node").over(token))
-    shared = shared.filter("lead != last").drop("last").dropDuplicates(["token", "node"])
+    shared = shared.filter("lead != last").drop("lead", "last").dropDuplicates(["token", "node"])
+    shared = shared.withColumn("members", F.count("*").over(token))
+    # a class's list is never longer than the list of one of its documents
+    lists = shared.groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("members", "token", "place")), asc=False).alias("shown"))
+    enough = lists.filter(F.size("shown") > _spare(_least_overlap(F.col("size"), percent), percent))
+    return common.staged(enough.withColumn("early", F.col("shown.token")), "ngram-early")
+
+
+def _buckets(early: DataFrame, percent: int) -> DataFrame:
+    """(token, node, size, place, members, lead, other): the early n-grams that offer pairs and who shares them.
+
+    A class leaves out as many of its most shown n-grams as the smallest class that it can
+    link with shows beyond its prefix: any two that link share at least one more than that.
+    """
+    spare_ = _spare(_least_overlap(F.col("size"), percent), percent).cast("int")
+    kept = early.select("node", "size", F.inline(F.slice("shown", spare_ + 1, F.size("shown")))).drop("members")
+    token = Window.partitionBy("token")
+    kept = kept.withColumn("members", F.count("*").over(token)).filter("members > 1")
     # a second centre that differs from bucket to bucket
     some = F.min(F.struct(F.xxhash64("node", "token").alias("h"), F.col("node").alias("node"))).over(token)["node"]
-    return common.staged(shared.withColumn("members", F.count("*").over(token)).withColumn("other", some), "ngram-buckets")
+    return common.staged(kept.withColumn("lead", F.min("node").over(token)).withColumn("other", some).select(
+        "token", "node", "size", "place", "members", "lead", "other"), "ngram-buckets")
 
 
-def _links(read: DataFrame, found: DataFrame, buckets: DataFrame, words: int, percent: int, order: Order) -> DataFrame:
+def _links(read: DataFrame, found: DataFrame, early: DataFrame, buckets: DataFrame, words: int, percent: int, order: Order) -> DataFrame:
     """(a, b) of the linked classes that suffice for the components."""
     small, large = buckets.filter(F.col("members") <= SMALL), buckets.filter(F.col("members") > SMALL)
     both = _sided(small, "a").join(_sided(small, "b"), "token").filter("node_a < node_b")
     centres = large.filter("node = lead OR node = other")
     stars = _sided(large, "a").join(_sided(centres, "b"), "token").filter("node_a != node_b")
     pairs = common.staged(_pairs(both.unionByName(stars), percent), "ngram-pairs")
-    near = common.staged(_shared_enough(pairs, buckets, percent), "ngram-near")
+    near = common.staged(_shared_enough(pairs, early, percent), "ngram-near")
     links = common.staged(_verified(read, found, near, words, percent, order), "ngram-links")
     if large.isEmpty():
         return links
@@ -261,7 +304,7 @@ def _links(read: DataFrame, found: DataFrame, buckets: DataFrame, words: int, pe
     across = _sided(minor, "a", "component").join(_sided(placed, "b", "component"), "token").filter(
         "component_a != component_b")
     rest = _pairs(across, percent).join(pairs, ["a", "b"], "left_anti")
-    rest = common.staged(_shared_enough(rest, buckets, percent), "ngram-rest")
+    rest = common.staged(_shared_enough(rest, early, percent), "ngram-rest")
     if rest.isEmpty():
         return links
     # the likeliest partners of each class first: what they join needs no other pair
@@ -287,7 +330,8 @@ def _verified(read: DataFrame, found: DataFrame, pairs: DataFrame, words: int, p
     classes = found.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"))
     ids = common.staged(classes.join(nodes, "node", "left_semi").select(F.col("id").alias("want")).distinct(), "ngram-ids")
     # few ids are broadcast, so that the texts stay where they are; many meet the texts in a shuffle
-    few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    size = ids.agg(F.sum(F.length(F.col("want").cast("string")) + 16)).first()[0] or 0
+    few = F.broadcast(ids) if size <= BROADCAST_BYTES else ids
     texts = read.join(few, F.col("id").eqNullSafe(F.col("want")), "left_semi").select("data")
     segments = texts.mapInArrow(_segments(words, order), "node long, fragment int, grams array<long>")
     segments = common.staged(segments.dropDuplicates(["node", "fragment"]), "ngram-segments")
