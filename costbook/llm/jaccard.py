@@ -14,9 +14,9 @@ order wrongly takes for rare offer no pairs.  A document that shares fewer than
 its early n-grams with any other leaves altogether.
 
 Copies are one class and take part once.  A bucket (the classes that share an early
-n-gram) of up to ``SMALL`` members offers all its pairs; a larger one first offers two
-stars, then the likeliest partners of its members, and then, once the links found have
-joined them into components, every pair across components that could still link: no
+n-gram) of up to ``SMALL`` members offers all its pairs; a larger one offers a star around one member, then, where the links
+found leave it in several components, a star around a second one, then the likeliest
+partners, and then every pair across components that could still link: no
 link between components is missed,
 and no group of near copies is expanded into all its pairs.
 
@@ -40,7 +40,7 @@ from .common import slices
 #: Fragments of the global order; the last holds the frequent n-grams.
 FRAGMENTS = 8
 #: Buckets of more classes than this are joined by stars first.
-SMALL = 16
+SMALL = 4
 #: Partners that a class of a large bucket is compared with before the rest.
 LIKELIEST = 3
 #: At most so many n-grams are known to be frequent: one megabyte for each task.
@@ -287,22 +287,28 @@ def _links(read: DataFrame, found: DataFrame, early: DataFrame, buckets: DataFra
     """(a, b) of the linked classes that suffice for the components."""
     small, large = buckets.filter(F.col("members") <= SMALL), buckets.filter(F.col("members") > SMALL)
     both = _sided(small, "a").join(_sided(small, "b"), "token").filter("node_a < node_b")
-    centres = large.filter("node = lead OR node = other")
-    stars = _sided(large, "a").join(_sided(centres, "b"), "token").filter("node_a != node_b")
+    stars = _sided(large, "a").join(_sided(large.filter("node = lead"), "b"), "token").filter("node_a != node_b")
     pairs = common.staged(_pairs(both.unionByName(stars), percent), "ngram-pairs")
     near = common.staged(_shared_enough(pairs, early, percent), "ngram-near")
     links = common.staged(_verified(read, found, near, words, percent, order), "ngram-links")
     if large.isEmpty():
         return links
-    label = common.connected_components(links)
-    placed = large.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = common.staged(placed.drop("members", "lead", "other"), "ngram-placed")
-    # the bucket's largest component needs no pairs within itself: the others meet all members
+    # a second centre meets only what the first star left in other components
+    placed = _placed(large, links)
+    second = _sided(placed.filter("node = other"), "b", "component")
+    stars = _sided(placed, "a", "component").join(second, "token").filter("component_a != component_b")
+    more = common.staged(_pairs(stars, percent).join(pairs, ["a", "b"], "left_anti"), "ngram-second")
+    near = common.staged(_shared_enough(more, early, percent), "ngram-near")
+    pairs = pairs.unionByName(more)
+    links = common.staged(links.unionByName(_verified(read, found, near, words, percent, order)), "ngram-links")
+    placed = _placed(large, links).drop("members", "lead", "other")
+    # the bucket's largest component needs no pairs within itself: the others meet it and each other
     sizes = placed.groupBy("token", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("token").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("parts"))
-    minor = placed.join(main.filter("parts > 1"), "token").filter("component != main").drop("main", "parts")
-    across = _sided(minor, "a", "component").join(_sided(placed, "b", "component"), "token").filter(
-        "component_a != component_b")
+    apart = common.staged(placed.join(main.filter("parts > 1"), "token").withColumn(
+        "inner", F.col("component") == F.col("main")).drop("main", "parts"), "ngram-apart")
+    across = _sided(apart.filter("NOT inner"), "a", "component").join(_sided(apart, "b", "component", "inner"), "token").filter(
+        "component_a != component_b AND (inner_b OR node_a < node_b)")
     rest = _pairs(across, percent).join(pairs, ["a", "b"], "left_anti")
     rest = common.staged(_shared_enough(rest, early, percent), "ngram-rest")
     if rest.isEmpty():
@@ -324,6 +330,12 @@ def _links(read: DataFrame, found: DataFrame, early: DataFrame, buckets: DataFra
     return links.unionByName(_verified(read, found, left, words, percent, order))
 
 
+def _placed(large: DataFrame, links: DataFrame) -> DataFrame:
+    """The bucket rows with the component that the links found give their class."""
+    label = common.connected_components(links)
+    return common.staged(large.join(label, "node", "left").withColumn("component", F.coalesce("component", "node")), "ngram-placed")
+
+
 def _verified(read: DataFrame, found: DataFrame, pairs: DataFrame, words: int, percent: int, order: Order) -> DataFrame:
     """The pairs whose partial overlaps sum to the similarity."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
