@@ -43,6 +43,8 @@ FRAGMENTS = 8
 SMALL = 4
 #: Partners that a class of a large bucket is compared with before the rest.
 LIKELIEST = 3
+#: So many n-grams of a class are looked up to offer a pair once; pairs that share only others are offered more often.
+LEAST = 32
 #: At most so many n-grams are known to be frequent: one megabyte for each task.
 FREQUENT = 1 << 17
 #: Ids of candidates are broadcast up to so many bytes.
@@ -307,8 +309,13 @@ def _links(read: DataFrame, found: DataFrame, early: DataFrame, buckets: DataFra
     main = sizes.groupBy("token").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("parts"))
     apart = common.staged(placed.join(main.filter("parts > 1"), "token").withColumn(
         "inner", F.col("component") == F.col("main")).drop("main", "parts"), "ngram-apart")
-    across = _sided(apart.filter("NOT inner"), "a", "component").join(_sided(apart, "b", "component", "inner"), "token").filter(
-        "component_a != component_b AND (inner_b OR node_a < node_b)")
+    # a pair that shares several n-grams is offered by the first of them that both show among their LEAST
+    least = apart.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("token")), 1, LEAST).alias("least"))
+    apart = common.staged(apart.join(least, "node"), "ngram-offers")
+    across = _sided(apart.filter("NOT inner"), "a", "component", "least").join(
+        _sided(apart, "b", "component", "least", "inner"), "token").filter(
+        "component_a != component_b AND (inner_b OR node_a < node_b)").filter(_could_link(percent)).filter(
+        F.coalesce(F.array_min(F.array_intersect("least_a", "least_b")) >= F.col("token"), F.lit(True)))
     rest = _pairs(across, percent).join(pairs, ["a", "b"], "left_anti")
     rest = common.staged(_shared_enough(rest, early, percent), "ngram-rest")
     if rest.isEmpty():

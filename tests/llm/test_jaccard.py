@@ -56,8 +56,10 @@ def test_components_equal_brute_force(docs, monkeypatch, words, percent, small):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out) == components(rows, words, percent)
 
 
-def test_large_group_of_varied_copies(docs, monkeypatch):
+@pytest.mark.parametrize("least", [1, 32])
+def test_large_group_of_varied_copies(docs, monkeypatch, least):
     monkeypatch.setattr(jaccard, "SMALL", 4)
+    monkeypatch.setattr(jaccard, "LEAST", least)  # 1: most pairs are offered more than once
     rows = near_copies(5, groups=2, copies=70, words=90, edits=9)
     out = jaccard.near_duplicates(docs(rows), words=3, percent=90).collect()
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out) == components(rows, 3, 90)
