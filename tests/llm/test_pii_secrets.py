@@ -135,6 +135,52 @@ def test_short_letter_only_and_longer_tokens_are_scored(docs):
     assert not any(s["kind"] == "format" for k in range(390, 590) for s in out[k])
 
 
+def _labelled(n, rare):
+    """Distinct assign values: letters, the last ``rare`` also with a sign or shorter, two very long; beside ordinary words."""
+    import random
+
+    rng = random.Random(8)
+    letters = lambda k: "".join(rng.choices("ghijklmnopqrstuvwxyz", k=k))
+    values = [letters(20) for _ in range(n)] + [letters(9) + "+" + letters(6) for _ in range(rare)] + [letters(13) for _ in range(rare)]
+    values += [letters(400), letters(300) + "9"]
+    words = [letters(7) for _ in range(300)] + [letters(k) + "Z" + letters(2) for k in range(5, 12)]
+    rows = [f"some words here password = {v} then" for v in values] + [" ".join(words[k:k + 20]) for k in range(0, len(words), 20)]
+    return values, words, rows
+
+
+def _steps_known(model, value):
+    at = 0
+    for c in [*secrets.shape(value), ""]:
+        if c not in model.states[at]:
+            return False
+        at = model.states[at][c][1]
+    return True
+
+
+def test_automata_hold_every_value_and_word(docs):
+    values, words, rows = _labelled(1000, 3)
+    models = secrets.learn(docs(rows), fit_rows=200, fit_shapes=10)
+    assert all(_steps_known(models["assign"], v) for v in values) and models["assign"].shortest == 13
+    assert all(_steps_known(models["words"], w) for w in words)
+    scores = sorted(models["assign"].log_likelihood(v) for v in values)
+    assert models["assign"].least == scores[len(scores) // 50]
+    assert len(models["assign"].states) < 60 and len(models["words"].states) < 60
+
+
+def test_few_values_give_the_automaton_of_their_prefix_tree(docs):
+    values, _, rows = _labelled(100, 5)
+    model, whole = secrets.learn(docs(rows))["assign"], secrets.infer(values)
+    assert model.states == whole.states
+    assert model.least == sorted(map(whole.log_likelihood, values))[len(values) // 50]
+
+
+def test_score_at_a_rank(spark):
+    rows = [(-5.0 + k * 1e-12 if k % 2 else -float(k), 1 + k % 3) for k in range(90)]
+    listed = sorted(x for x, n in rows for _ in range(n))
+    scores = spark.createDataFrame(rows, "score double, n long")
+    assert [secrets._at_rank(scores, k, bins=7) for k in range(0, len(listed), 25)] == listed[::25]
+
+
 def test_secrets_odd_rows(odd, docs):
     out = secrets.scan(odd, secrets.learn(odd))
     assert out.count() == odd.count() and out.filter("size(spans) > 0").count() == 0
