@@ -154,8 +154,10 @@ class _Counter:
                     if bound * size > 1 << 62:  # renumbered, so that codes never pass 64 bits
                         code, bound = np.unique(code, return_inverse=True)[1].astype(np.int64), len(active)
                     code, bound = code * size + text[active + k], bound * size
-                _, first, n = np.unique(code, return_index=True, return_counts=True)
-                at = active[first]
+                by = np.argsort(code)
+                code = code[by]
+                first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+                n, at = np.diff(np.append(first, len(code))), active[by[first]]
                 yield length, pc.binary_join_element_wise(*[names.take(pa.array(text[at + k])) for k in range(length)], b" "), n, latest[at] + shards
             if length < longest:
                 hashes = own[text[both]]
