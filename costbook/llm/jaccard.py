@@ -11,7 +11,9 @@ documents show half as many n-grams again as p; how many classes show each is co
 exactly, by a shuffle; and a document leaves out the e that most others show.  Of the
 shared ones the rarest stays on both sides, so no pair is missed, and n-grams that the
 order wrongly takes for rare offer no pairs.  A document that shares fewer than 1 + e of
-its early n-grams with any other leaves altogether.
+its early n-grams with any other leaves altogether.  The pairs left must also agree in
+their signatures: the parities of a set's n-grams in each of as many cells as it has
+n-grams, so that two sets differ in at least as many n-grams as their signatures in bits.
 
 Copies are one class and take part once.  A bucket (the classes that share an early
 n-gram) of up to ``SMALL`` members offers all its pairs; a larger one offers a star around one member, then, where the links
@@ -49,6 +51,8 @@ LEAST = 32
 FREQUENT = 1 << 17
 #: Ids of candidates are broadcast up to so many bytes.
 BROADCAST_BYTES = 16 << 20
+#: Bits of a signature at least; sets of more n-grams have longer ones, by powers of two.
+SIGNATURE_BITS = 512
 _FLUSH = 1 << 22
 
 
@@ -88,8 +92,16 @@ def _class(hashes: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(hashes.tobytes()) - (1 << 63)
 
 
+def signature(hashes: np.ndarray) -> np.ndarray:
+    """The parity of the hashes in each cell, 64 cells a number."""
+    bits = max(SIGNATURE_BITS, 1 << (len(hashes) - 1).bit_length())
+    odd = np.bincount(hashes & (bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def _scan(n: int):
-    """Rows of documents (id, size, class) and of n-grams counted in several documents of a slice."""
+    """Rows of documents (id, size, class), the first of a class in a task with its signature, and
+    of n-grams counted in several documents of a slice."""
 
     def run(batches):
         held: list[np.ndarray] = []
@@ -101,21 +113,23 @@ def _scan(n: int):
             keep = times >= 3
             return pa.RecordBatch.from_arrays(
                 [pa.nulls(int(keep.sum()), kind), pa.array(times[keep]), pa.nulls(int(keep.sum()), pa.int64()),
-                 pa.array(token[keep])], names=["id", "size", "node", "token"])
+                 pa.array(token[keep]), pa.nulls(int(keep.sum()), pa.list_(pa.int64()))], names=["id", "size", "node", "token", "sign"])
 
         kind = None
         for part in slices(batches):
-            kind, sizes, nodes = part.column(0).type, [], []
+            kind, sizes, nodes, signs = part.column(0).type, [], [], []
             for data in part.column(1).to_pylist():
                 h = ngram_hashes(data, n)
                 sizes.append(len(h))
                 nodes.append(_class(h) if len(h) else None)
+                signs.append(None)
                 if len(h) and nodes[-1] not in seen:
                     seen.add(nodes[-1])
                     held.append(h)
+                    signs[-1] = signature(h)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(len(sizes), pa.int64())],
-                names=["id", "size", "node", "token"])
+                [part.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(len(sizes), pa.int64()),
+                 pa.array(signs, pa.list_(pa.int64()))], names=["id", "size", "node", "token", "sign"])
             if sum(map(len, held)) > _FLUSH:
                 yield counted()
         if kind is not None:
@@ -182,15 +196,20 @@ def _prefixes(n: int, percent: int, order: Order):
 
 
 def _segments(n: int, order: Order):
-    """(node, fragment, grams) of every document given."""
+    """(node, fragment, grams) of the classes of the documents given, once a task."""
 
     def run(batches):
+        seen: set[int] = set()
         for part in slices(batches, 128):
             nodes, numbers, grams = [], [], []
             for data in part.column(0).to_pylist():
                 h = ngram_hashes(data, n)
+                node = _class(h)
+                if node in seen:
+                    continue
+                seen.add(node)
                 for k, some in order.fragments(h):
-                    nodes.append(_class(h))
+                    nodes.append(node)
                     numbers.append(k)
                     grams.append(some)
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(numbers, pa.int32()),
@@ -218,17 +237,35 @@ def _pairs(rows: DataFrame, percent: int) -> DataFrame:
         F.when(F.col("node_a") < F.col("node_b"), F.col("size_b")).otherwise(F.col("size_a")).alias("size_b")).distinct()
 
 
+def _differing(a: Column, b: Column) -> Column:
+    """The bits in which two signatures differ; one twice as long is folded, other lengths count as equal."""
+    def xor(x, y):
+        return x.bitwiseXOR(y)
+
+    def bits(x, y):
+        return F.aggregate(F.zip_with(x, y, xor), F.lit(0), lambda n, v: n + F.bit_count(v))
+
+    def folded(x):
+        half = F.shiftright(F.size(x), 1)
+        return F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), xor)
+
+    return F.when(F.size(a) == F.size(b), bits(a, b)).when(F.size(a) == 2 * F.size(b), bits(folded(a), b)).when(
+        F.size(b) == 2 * F.size(a), bits(folded(b), a)).otherwise(F.lit(0))
+
+
 def _shared_enough(pairs: DataFrame, early: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose early n-grams agree in enough places.
+    """The pairs whose early n-grams and signatures agree in enough places.
 
     All common ones of the n-grams that two documents show are in ``early``.  Where the
     list that ends first in the order ends, all before it is known, and at most the rest
     of that document can still agree: the overlap is at most common + size - list length.
+    It is also at most half of what the sizes sum to beyond the signatures' different bits.
     """
     rest = lambda size: _least_overlap(F.col(size), percent) - 1 - _spare(F.col(size), percent)
     need = F.ceil(F.lit(percent) * (F.col("size_a") + F.col("size_b")) / F.lit(100 + percent))
-    both = pairs.join(early.select(F.col("node").alias("a"), F.col("early").alias("early_a")), "a").join(
-        early.select(F.col("node").alias("b"), F.col("early").alias("early_b")), "b")
+    both = pairs.join(early.select(F.col("node").alias("a"), F.col("early").alias("early_a"), F.col("sign").alias("sign_a")), "a").join(
+        early.select(F.col("node").alias("b"), F.col("early").alias("early_b"), F.col("sign").alias("sign_b")), "b")
+    both = both.filter(F.col("size_a") + F.col("size_b") - _differing(F.col("sign_a"), F.col("sign_b")) >= 2 * need)
     both = both.withColumn("shared", F.size(F.array_intersect("early_a", "early_b")))
     return both.filter(F.col("shared") + F.greatest(rest("size_a"), rest("size_b")) >= need).select(
         "a", "b", "size_a", "size_b", "shared")
@@ -239,11 +276,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per row of ``docs``: the id, n_shingles and component_id (the smallest id reachable by links)."""
     kind = docs.schema[id_col].dataType.simpleString()
     read = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("data"))
-    rows = common.staged(read.mapInArrow(_scan(words), f"id {kind}, size long, node long, token long"), "ngram-scan")
+    rows = common.staged(read.mapInArrow(_scan(words), f"id {kind}, size long, node long, token long, sign array<long>"), "ngram-scan")
     found = rows.filter("token IS NULL")
     often = rows.filter("token IS NOT NULL").groupBy("token").agg(F.sum("size").alias("n")).filter("n >= 8")
     order = Order([r["token"] for r in often.orderBy(F.desc("n"), "token").limit(FREQUENT).collect()])
-    early = _early(read, words, percent, order)
+    early = _early(read, found, words, percent, order)
     links = _links(read, found, early, _buckets(early, percent), words, percent, order)
     label = common.connected_components(links)
     classes = found.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("least"))
@@ -255,18 +292,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _early(read: DataFrame, words: int, percent: int, order: Order) -> DataFrame:
-    """(node, size, shown, early) of the classes that share enough of the n-grams they show: these
-    as (members, token, place), those that most classes show first, and their tokens."""
+def _early(read: DataFrame, found: DataFrame, words: int, percent: int, order: Order) -> DataFrame:
+    """(node, size, shown, early, sign) of the classes that share enough of the n-grams they show: these
+    as (members, token, place), those that most classes show first, their tokens, and the class's signature."""
     rows = read.select("data").mapInArrow(_prefixes(words, percent, order), "token long, node long, size int, place int")
     token = Window.partitionBy("token")
     shared = rows.withColumn("lead", F.min("node").over(token)).withColumn("last", F.max("node").over(token))
     shared = shared.filter("lead != last").drop("lead", "last").dropDuplicates(["token", "node"])
     shared = shared.withColumn("members", F.count("*").over(token))
     # a class's list is never longer than the list of one of its documents
-    lists = shared.groupBy("node", "size").agg(F.sort_array(F.collect_list(F.struct("members", "token", "place")), asc=False).alias("shown"))
+    lists = shared.groupBy("node").agg(F.max("size").alias("size"), F.sort_array(F.collect_list(F.struct("members", "token", "place")), asc=False).alias("shown"))
     enough = lists.filter(F.size("shown") > _spare(_least_overlap(F.col("size"), percent), percent))
-    return common.staged(enough.withColumn("early", F.col("shown.token")), "ngram-early")
+    sign = found.filter("sign IS NOT NULL").groupBy("node").agg(F.first("sign").alias("sign"))
+    return common.staged(enough.withColumn("early", F.col("shown.token")).join(sign, "node"), "ngram-early")
 
 
 def _buckets(early: DataFrame, percent: int) -> DataFrame:
@@ -292,7 +330,7 @@ def _links(read: DataFrame, found: DataFrame, early: DataFrame, buckets: DataFra
     stars = _sided(large, "a").join(_sided(large.filter("node = lead"), "b"), "token").filter("node_a != node_b")
     pairs = common.staged(_pairs(both.unionByName(stars), percent), "ngram-pairs")
     near = common.staged(_shared_enough(pairs, early, percent), "ngram-near")
-    links = common.staged(_verified(read, found, near, words, percent, order), "ngram-links")
+    links = _verified(read, found, near, words, percent, order)
     if large.isEmpty():
         return links
     # a second centre meets only what the first star left in other components
@@ -302,7 +340,7 @@ def _links(read: DataFrame, found: DataFrame, early: DataFrame, buckets: DataFra
     more = common.staged(_pairs(stars, percent).join(pairs, ["a", "b"], "left_anti"), "ngram-second")
     near = common.staged(_shared_enough(more, early, percent), "ngram-near")
     pairs = pairs.unionByName(more)
-    links = common.staged(links.unionByName(_verified(read, found, near, words, percent, order)), "ngram-links")
+    links = links.unionByName(_verified(read, found, near, words, percent, order))
     placed = _placed(large, links).drop("members", "lead", "other")
     # the bucket's largest component needs no pairs within itself: the others meet it and each other
     sizes = placed.groupBy("token", "component").agg(F.count("*").alias("n"))
@@ -325,7 +363,7 @@ def _links(read: DataFrame, found: DataFrame, early: DataFrame, buckets: DataFra
     place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("shared"), "a", "b"))
     likely = ends.withColumn("place", place).filter(F.col("place") <= LIKELIEST).select("a", "b").distinct()
     first = common.staged(rest.join(likely, ["a", "b"], "left_semi"), "ngram-likely")
-    links = common.staged(links.unionByName(_verified(read, found, first, words, percent, order)), "ngram-links")
+    links = links.unionByName(_verified(read, found, first, words, percent, order))
     label = common.staged(common.connected_components(links), "ngram-labels")
     left = rest.join(likely, ["a", "b"], "left_anti")
     for side in "ab":
@@ -353,9 +391,19 @@ def _verified(read: DataFrame, found: DataFrame, pairs: DataFrame, words: int, p
     few = F.broadcast(ids) if size <= BROADCAST_BYTES else ids
     texts = read.join(few, F.col("id").eqNullSafe(F.col("want")), "left_semi").select("data")
     segments = texts.mapInArrow(_segments(words, order), "node long, fragment int, grams array<long>")
-    segments = common.staged(segments.dropDuplicates(["node", "fragment"]), "ngram-segments")
-    one = pairs.join(segments.withColumnRenamed("node", "a"), "a")
-    two = one.join(segments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("grams_b")), ["b", "fragment"])
-    overlap = two.select("a", "b", "size_a", "size_b", F.size(F.array_intersect("grams", "grams_b")).alias("n")).groupBy(
+    segments = common.staged(segments, "ngram-segments")
+    # rows that share an id can give a class in several tasks
+    if not segments.groupBy("node", "fragment").count().filter("count > 1").isEmpty():
+        several, segments = segments, common.staged(segments.dropDuplicates(["node", "fragment"]), "ngram-segments")
+        common.discard(several)
+    # both sides read the same segments by the same keys, so that these are dealt out once
+    cells = pairs.select("a", "b", "size_a", "size_b", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))).alias("part"))
+    one = cells.join(segments.alias("x"), (F.col("a") == F.col("x.node")) & (F.col("part") == F.col("x.fragment"))).select(
+        "a", "b", "size_a", "size_b", "part", F.col("x.grams").alias("grams_a"))
+    two = one.join(segments.alias("y"), (F.col("b") == F.col("y.node")) & (F.col("part") == F.col("y.fragment")))
+    overlap = two.select("a", "b", "size_a", "size_b", F.size(F.array_intersect("grams_a", "y.grams")).alias("n")).groupBy(
         "a", "b", "size_a", "size_b").agg(F.sum("n").alias("n"))
-    return overlap.filter(100 * F.col("n") >= percent * (F.col("size_a") + F.col("size_b") - F.col("n"))).select("a", "b")
+    linked = overlap.filter(100 * F.col("n") >= percent * (F.col("size_a") + F.col("size_b") - F.col("n"))).select("a", "b")
+    linked = common.staged(linked, "ngram-linked")
+    common.discard(segments)
+    return linked

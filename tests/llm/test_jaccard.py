@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -65,6 +66,60 @@ def test_large_group_of_varied_copies(docs, monkeypatch, least):
     assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out) == components(rows, 3, 90)
 
 
+def test_signatures_never_differ_in_more_bits_than_the_sets_in_ngrams(spark):
+    rng = np.random.default_rng(3)
+    rows, most = [], []
+    for n in (1, 60, 500, 512, 513, 1020, 3000):  # 512 to 513: one is twice as long
+        for odd in (0, 1, 7, 40):
+            a = np.unique(rng.integers(-2**63, 2**63 - 1, n))
+            b = np.unique(np.concatenate([a[odd:], rng.integers(-2**63, 2**63 - 1, odd)]))
+            rows.append((jaccard.signature(a).tolist(), jaccard.signature(b).tolist()))
+            most.append(len(np.setxor1d(a, b)))
+    rows += [(b, a) for a, b in rows]
+    small, large = jaccard.signature(a[:512]), jaccard.signature(a[:513])
+    rows += [(small.tolist(), large.tolist()), (large.tolist(), small.tolist())]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, a array<long>, b array<long>")
+    found = [r[1] for r in df.select("i", jaccard._differing(F.col("a"), F.col("b"))).orderBy("i").collect()]
+    assert all(0.7 * m <= f <= m for f, m in zip(found, most + most + [1, 1]))
+
+
+def test_only_likely_pairs_of_a_large_group_are_compared_in_full(docs, monkeypatch):
+    # copies of one text, most too far from each other to link, that share many early n-grams
+    rng, compared = random.Random(8), []
+    base = [f"v{k}" for k in range(150)]
+    rows = []
+    for i in range(90):
+        w = list(base)
+        for k in rng.sample(range(100), rng.randrange(2, 6)):
+            w[k] = f"x{i}-{k}"
+        rows.append((i, " ".join(w)))
+    verified = jaccard._verified
+
+    def counted(read, found, pairs, *more):
+        compared.append(pairs.count())
+        return verified(read, found, pairs, *more)
+
+    monkeypatch.setattr(jaccard, "_verified", counted)
+    out = jaccard.near_duplicates(docs(rows), words=3, percent=90).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out) == components(rows, 3, 90)
+    sets = [shingles(t, 3) for _, t in rows]
+    linked = sum(100 * len(a & b) >= 90 * len(a | b) for k, a in enumerate(sets) for b in sets[:k])
+    assert sum(compared) <= 1.2 * linked + 10, (compared, linked)
+
+
+def test_rows_that_share_an_id_give_a_class_once(docs):
+    rows = [(r, t) for r, t in near_copies(11, groups=3, copies=30, words=90)]
+    twice = docs([(i % 5, t) for i, t in rows]).repartition(6)
+    out = jaccard.near_duplicates(twice.unionByName(twice), words=3, percent=90)
+    alone = [(i, t) for i, t in rows]
+    sets = {i: c for i, _, c in components(alone, 3, 90)}
+    least = {}
+    for i, c in sets.items():
+        least[c] = min(least.get(c, 5), i % 5)
+    want = sorted((i % 5, least[c]) for i, c in sets.items() if rows[i][1])
+    assert sorted((r["doc_id"], r["component_id"]) for r in out.collect()) == sorted(want + want)
+
+
 def test_odd_rows_and_empty_table(odd, docs):
     out = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in jaccard.near_duplicates(odd).collect()}
     assert out[1, 0] == 1 and out[2, 0] == 2 and out[3, 0] == 3 and out[5, 1] == 4 and out[None, 1] is None
