@@ -253,6 +253,12 @@ def _differing(a: Column, b: Column) -> Column:
         F.size(b) == 2 * F.size(a), bits(folded(b), a)).otherwise(F.lit(0))
 
 
+def _alike(percent: int) -> Column:
+    """Whether two classes (a and b) can reach the similarity, by their signatures."""
+    need = F.ceil(F.lit(percent) * (F.col("size_a") + F.col("size_b")) / F.lit(100 + percent))
+    return F.col("size_a") + F.col("size_b") - _differing(F.col("sign_a"), F.col("sign_b")) >= 2 * need
+
+
 def _shared_enough(pairs: DataFrame, early: DataFrame, percent: int) -> DataFrame:
     """The pairs whose early n-grams and signatures agree in enough places.
 
@@ -265,7 +271,7 @@ def _shared_enough(pairs: DataFrame, early: DataFrame, percent: int) -> DataFram
     need = F.ceil(F.lit(percent) * (F.col("size_a") + F.col("size_b")) / F.lit(100 + percent))
     both = pairs.join(early.select(F.col("node").alias("a"), F.col("early").alias("early_a"), F.col("sign").alias("sign_a")), "a").join(
         early.select(F.col("node").alias("b"), F.col("early").alias("early_b"), F.col("sign").alias("sign_b")), "b")
-    both = both.filter(F.col("size_a") + F.col("size_b") - _differing(F.col("sign_a"), F.col("sign_b")) >= 2 * need)
+    both = both.filter(_alike(percent))
     both = both.withColumn("shared", F.size(F.array_intersect("early_a", "early_b")))
     return both.filter(F.col("shared") + F.greatest(rest("size_a"), rest("size_b")) >= need).select(
         "a", "b", "size_a", "size_b", "shared")
@@ -349,11 +355,12 @@ def _links(read: DataFrame, found: DataFrame, early: DataFrame, buckets: DataFra
         "inner", F.col("component") == F.col("main")).drop("main", "parts"), "ngram-apart")
     # a pair that shares several n-grams is offered by the first of them that both show among their LEAST
     least = apart.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("token")), 1, LEAST).alias("least"))
-    apart = common.staged(apart.join(least, "node"), "ngram-offers")
-    across = _sided(apart.filter("NOT inner"), "a", "component", "least").join(
-        _sided(apart, "b", "component", "least", "inner"), "token").filter(
+    # (the signatures are looked at inside the join: of a large group of copies too far apart, no pairs are made)
+    apart = common.staged(apart.join(least, "node").join(early.select("node", "sign"), "node"), "ngram-offers")
+    across = _sided(apart.filter("NOT inner"), "a", "component", "least", "sign").join(
+        _sided(apart, "b", "component", "least", "inner", "sign"), "token").filter(
         "component_a != component_b AND (inner_b OR node_a < node_b)").filter(_could_link(percent)).filter(
-        F.coalesce(F.array_min(F.array_intersect("least_a", "least_b")) >= F.col("token"), F.lit(True)))
+        F.coalesce(F.array_min(F.array_intersect("least_a", "least_b")) >= F.col("token"), F.lit(True))).filter(_alike(percent))
     rest = _pairs(across, percent).join(pairs, ["a", "b"], "left_anti")
     rest = common.staged(_shared_enough(rest, early, percent), "ngram-rest")
     if rest.isEmpty():
