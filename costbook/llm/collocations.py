@@ -8,7 +8,11 @@ one full cycle from there.  The scans end when no phrase has shards left.
 
 A scan is one job: a task counts its words and the active phrases in it (integer codes
 of its own words, so nothing is compared by a hash), and the counts meet the counts so
-far in one shuffle on the phrase.  Which phrases have reached the threshold is sent to
+far in one shuffle.  Phrases travel and are kept in blocks, a row for up to ``BLOCK``
+phrases of one language, length and bucket: with a row a phrase most of the time went there.
+A bucket is a share of the phrases by hash; there are as many as the texts need
+(``BUCKET_BYTES``, at least ``BUCKETS``).  A partition's blocks come sorted by bucket, and
+the phrases of a few buckets at a time are added up by their text.  Which phrases have reached the threshold is sent to
 the tasks as bit maps of ``FILTER_BITS`` bits a length: phrases over the threshold, and
 those that passed it since each scan of the last cycle.  Their size is fixed.  A false hit only
 counts a phrase too early.  Counts are kept per shard and counting a shard again gives
@@ -48,6 +52,12 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 FILTER_BITS = 1 << 22
 #: Words that a task holds before it passes on its counts.
 HELD_WORDS = 1 << 22
+#: Buckets of phrases: one for so many bytes of text, and no fewer than ``BUCKETS``.
+BUCKET_BYTES = 1 << 22
+BUCKETS = 1 << 12
+#: Phrases in a row, and about how many are added up at a time (but always whole buckets).
+BLOCK = 64
+MERGED = 1 << 16
 _SEED = 42
 
 
@@ -69,7 +79,8 @@ def _folded(h: np.ndarray, w: np.ndarray) -> np.ndarray:
 def _maps(state: DataFrame, scan: int, shards: int, longest: int, bits: int) -> dict[int, tuple[np.ndarray, dict[int, np.ndarray]]]:
     """Per length below the longest: bits of the phrases over the threshold, and per scan of
     the last cycle the bits of those that reached it in that scan or later."""
-    over = state.filter(F.col("reach").isNotNull() & F.col("words").between(1, longest - 1))
+    over = state.filter("over").filter(F.col("words").between(1, longest - 1)).select(
+        "lang", "words", F.explode(F.arrays_zip("phrase", "reach")).alias("p")).select("lang", "words", "p.phrase", "p.reach")
     at = over.select("words", "reach", _phrase_hash(F.col("lang"), F.col("phrase")).bitwiseAND(F.lit(bits - 1)).alias("at"))
     bit = F.expr("shiftleft(1L, CAST(at & 63 AS INT))")
     since = [k for k in range(scan - shards, scan) if k >= 0]
@@ -88,7 +99,7 @@ def _maps(state: DataFrame, scan: int, shards: int, longest: int, bits: int) ->
 def _recent(maps, hashes: np.ndarray) -> np.ndarray:
     """The scan of the last cycle in which a phrase reached the threshold at the latest, -1 for an earlier one, -2 if it has not."""
     over, late = maps
-    out = np.where(_has(over, hashes), -1, -2)
+    out = np.where(_has(over, hashes), -1, -2).astype(np.int32)
     for k in sorted(late):
         out[_has(late[k], hashes)] = k
     return out
@@ -99,6 +110,37 @@ def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) > 0
 
 
+# --- blocks -----------------------------------------------------------------------
+def _buckets(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
+
+
+def _blocks(key: np.ndarray, fixed: dict[str, pa.Array], lists: dict[str, pa.Array]):
+    """Batches of blocks of rows in the order of their keys: rows of one key agree in ``fixed``, and
+    each block has the ``lists`` of up to ``BLOCK`` of them."""
+    if not len(key):
+        return
+    begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    place = np.arange(len(key)) - np.repeat(begins, np.diff(np.append(begins, len(key))))
+    cuts = np.append(np.flatnonzero(place % BLOCK == 0), len(key))
+    for at in range(0, len(cuts) - 1, 2048):
+        part = cuts[at:at + 2049]
+        first, offsets = pa.array(part[:-1]), pa.array(part - part[0], pa.int32())
+        columns = {k: v.take(first) for k, v in fixed.items()}
+        columns |= {k: pa.ListArray.from_arrays(offsets, v[part[0]:part[-1]]) for k, v in lists.items()}
+        yield pa.RecordBatch.from_pydict(columns)
+
+
+def _parts(rows: np.ndarray):
+    return (rows[at:at + MERGED] for at in range(0, len(rows), MERGED))
+
+
+def _flat(blocks: pa.Table, names: list[str]) -> pa.Table:
+    """A row for each phrase of the blocks."""
+    size = pc.list_value_length(blocks["phrase"]).to_numpy()
+    return pa.table({**{k: np.repeat(blocks[k].to_numpy(), size) for k in ("kind", "bucket")}, **{k: pc.list_flatten(blocks[k]) for k in names}})
+
+
 # --- one scan ---------------------------------------------------------------------
 def _spaced() -> bytes:
     table = bytearray(range(256))
@@ -122,25 +164,29 @@ class _Counter:
     def add(self, data: bytes, table: bytes) -> int:
         words = data.lower().translate(table).replace(b".", b" . ").split()  # lower() of bytes: A-Z only
         if words:
-            self.held += [np.fromiter(map(self.code.__getitem__, words), np.int64, len(words)), np.zeros(1, np.int64)]
+            self.held += [np.fromiter(map(self.code.__getitem__, words), np.int32, len(words)), np.zeros(1, np.int32)]
         return len(words)
 
-    def rows(self, words_too: bool, maps: dict, longest: int, shards: int):
-        """(words, phrases, counts, untils) of the held texts; words 0 is the number of all words,
-        until the last scan in which a phrase is counted."""
+    def rows(self, words_too: bool, maps: dict, longest: int, shards: int, buckets: int):
+        """(words, buckets, phrases, counts, untils) of the held texts in the order of their buckets, up
+        to ``MERGED`` phrases at a time; words 0 is the number of all words, until the last scan in
+        which a phrase is counted."""
         if not self.held:
             return
-        text = np.concatenate(self.held)
+        text, self.held = np.concatenate(self.held), []
         names = pa.array(list(self.code), pa.binary())
         size = len(names)
+        own = np.fromiter((xxhash.xxh64_intdigest(w, seed=self.seed) for w in self.code), np.uint64, size)
         if words_too:
             n = np.bincount(text, minlength=size)
-            yield 0, pa.array([b""], pa.binary()), np.array([n[1:].sum()]), np.array([shards - 1])
+            yield 0, np.zeros(1, np.int32), pa.array([b""], pa.binary()), np.array([n[1:].sum()]), np.array([shards - 1])
             if size > 1:
-                yield 1, names[1:], n[1:], np.full(size - 1, shards - 1)
+                bucket = _buckets(own[1:], buckets)
+                order = np.argsort(bucket, kind="stable")
+                for by in _parts(order):
+                    yield 1, bucket[by], names.take(pa.array(by + 1)), n[by + 1], np.full(len(by), shards - 1)
         if not maps:
             return
-        own = np.fromiter((xxhash.xxh64_intdigest(w, seed=self.seed) for w in self.code), np.uint64, size)
         recent = _recent(maps[1], own)
         recent[0] = -2
         recent = recent[text]  # of the phrase of length - 1 that starts at each word
@@ -149,7 +195,7 @@ class _Counter:
             both = np.nonzero((recent[:-1] > -2) & (recent[1:] > -2))[0]
             active = both[latest[both] > -1]
             if len(active):
-                code, bound = text[active], size
+                code, bound = text[active].astype(np.int64), size
                 for k in range(1, length):
                     if bound * size > 1 << 62:  # renumbered, so that codes never pass 64 bits
                         code, bound = np.unique(code, return_inverse=True)[1].astype(np.int64), len(active)
@@ -157,32 +203,38 @@ class _Counter:
                 by = np.argsort(code)
                 code = code[by]
                 first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-                n, at = np.diff(np.append(first, len(code))), active[by[first]]
-                yield length, pc.binary_join_element_wise(*[names.take(pa.array(text[at + k])) for k in range(length)], b" "), n, latest[at] + shards
+                n, starts = np.diff(np.append(first, len(code))), active[by[first]]
+                del code, by, first, active
+                bucket = _buckets(self.hashes(own, text, starts, length), buckets)
+                order = np.argsort(bucket, kind="stable")
+                for by in _parts(order):
+                    at = starts[by]
+                    phrases = pc.binary_join_element_wise(*[names.take(pa.array(text[at + k])) for k in range(length)], b" ")
+                    yield length, bucket[by], phrases, n[by], latest[at] + shards
             if length < longest:
-                hashes = own[text[both]]
-                for k in range(1, length):
-                    hashes = _folded(hashes, own[text[both + k]])
-                recent = np.full(len(latest), -2)
-                recent[both] = _recent(maps[length], hashes)
+                recent = np.full(len(latest), -2, np.int32)
+                recent[both] = _recent(maps[length], self.hashes(own, text, both, length))
+
+    @staticmethod
+    def hashes(own: np.ndarray, text: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+        """Hashes of the phrases that start at the words ``at``."""
+        out = own[text[at]]
+        for k in range(1, length):
+            out = _folded(out, own[text[at + k]])
+        return out
 
 
-def _scan(words_too: bool, maps, longest: int, shards: int, held_words: int):
-    """(lang, phrase, words, n, until) of a task's texts; ``maps`` is a broadcast."""
+def _scan(words_too: bool, maps, longest: int, shards: int, held_words: int, buckets: int):
+    """Blocks (bucket, lang, words, [phrase], [n], [until]) of a task's texts; ``maps`` is a broadcast."""
 
     def run(batches):
         table, counters, held = _spaced(), {}, 0
 
         def passed_on():
             for c in counters.values():
-                for length, phrases, n, until in c.rows(words_too, maps.value, longest, shards):
-                    phrases = phrases.cast(pa.string())
-                    for at in range(0, len(phrases), 1 << 16):
-                        to = at + (1 << 16)
-                        part = phrases[at:to]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.repeat(c.lang, len(part)), part, pa.repeat(pa.scalar(length, pa.int32()), len(part)),
-                             pa.array(n[at:to], pa.int64()), pa.array(until[at:to], pa.int32())], names=["lang", "phrase", "words", "n", "until"])
+                for length, bucket, phrases, n, until in c.rows(words_too, maps.value, longest, shards, buckets):
+                    fixed = {"bucket": pa.array(bucket), "lang": pa.repeat(c.lang, len(n)), "words": pa.repeat(pa.scalar(length, pa.int32()), len(n))}
+                    yield from _blocks(bucket, fixed, {"phrase": phrases.cast(pa.string()), "n": pa.array(n, pa.int64()), "until": pa.array(until, pa.int32())})
 
         for part in slices(batches, 256):
             for lang, data in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
@@ -199,24 +251,66 @@ def _scan(words_too: bool, maps, longest: int, shards: int, held_words: int):
 
 
 # --- the cycle --------------------------------------------------------------------
+def _add_up(scan: int, kept: list[str], least: int):
+    """Blocks in the order of their buckets, found ones and kept ones, to the blocks kept next."""
+    now = kept[scan % len(kept)]
+
+    def summed(blocks: pa.Table):
+        langs, words = blocks["lang"].combine_chunks().dictionary_encode(), blocks["words"].to_numpy()
+        lengths = int(words.max()) + 1
+        blocks = blocks.append_column("kind", pa.array(langs.indices.to_numpy().astype(np.int64) * lengths + words))
+        is_found = pc.is_valid(blocks["n"])
+        rows = pa.concat_tables([_flat(blocks.filter(is_found), ["phrase", "n", "until"]),
+                                 _flat(blocks.filter(pc.invert(is_found)), ["phrase", *kept, "reach", "until"])], promote_options="default")
+        sums = rows.group_by(["kind", "phrase"], use_threads=False).aggregate(
+            [("bucket", "min"), ("n", "sum"), *((c, "max") for c in (*kept, "reach", "until"))]).combine_chunks()
+        counted = {c: sums[f"{c}_max"] for c in kept}
+        counted[now] = pc.coalesce(sums["n_sum"], counted[now])
+        enough = pc.greater_equal(reduce(pc.add, [c.fill_null(0) for c in counted.values()]), least)
+        reach = pc.coalesce(sums["reach_max"], pc.if_else(enough, pa.scalar(scan, pa.int32()), pa.scalar(None, pa.int32())))
+        kind, until = sums["kind"].to_numpy(), sums["until_max"]
+        stays = pc.or_(pc.or_(enough, pc.greater(until, scan)), pa.array(kind % lengths == 0))
+        key = (kind * 2 + pc.is_valid(reach).to_numpy()) << 32 | sums["bucket_min"].to_numpy()
+        at = np.flatnonzero(stays.to_numpy())
+        at = at[np.argsort(key[at], kind="stable")]
+        key, by = key[at], pa.array(at)
+        kind, over = np.divmod(key >> 32, 2)
+        fixed = {"bucket": pa.array(key & 0xFFFFFFFF, pa.int32()), "lang": langs.dictionary.take(pa.array(kind // lengths)),
+                 "words": pa.array(kind % lengths, pa.int32()), "over": pa.array(over == 1)}
+        lists = {"phrase": sums["phrase"], **counted, "reach": reach, "until": until}
+        yield from _blocks(key, fixed, {k: v.take(by).combine_chunks() for k, v in lists.items()})
+
+    def run(batches):
+        held, size = [], 0
+        for part in slices(batches):
+            held.append(part)
+            size += pc.sum(pc.list_value_length(part["phrase"])).as_py()
+            if size >= MERGED and part["bucket"][-1] != held[0]["bucket"][0]:  # all but the last bucket are whole
+                blocks = pa.Table.from_batches(held).combine_chunks()
+                cut = int(np.searchsorted(blocks["bucket"].to_numpy(), part["bucket"][-1].as_py()))
+                yield from summed(blocks[:cut])
+                held = blocks[cut:].to_batches()
+                size = sum(pc.sum(pc.list_value_length(b["phrase"])).as_py() for b in held)
+        if held:
+            yield from summed(pa.Table.from_batches(held).combine_chunks())
+
+    return run
+
+
 def _merged(state: DataFrame | None, found: DataFrame, scan: int, shards: int, least: int) -> DataFrame:
-    """The counts so far with a scan's: per phrase one count a shard, the scan in which it
-    reached ``least``, and the last scan that counts it.  A phrase whose cycle has ended
-    below the threshold goes.  (One that a false hit counted too early may go, too: its
-    own cycle counts all shards again.)"""
+    """The counts so far with a scan's, in blocks: per phrase one count a shard, the scan in
+    which it reached ``least``, and the last scan that counts it.  ``over`` blocks hold the phrases
+    that reached it.  A phrase whose cycle has ended below the threshold goes.  (One that a
+    false hit counted too early may go, too: its own cycle counts all shards again.)"""
     kept = [f"c{j}" for j in range(shards)]
-    now = kept[scan % shards]
-    none = F.lit(None).cast("long")
-    rows = found.select("lang", "phrase", "words", *[none.alias(c) for c in kept], F.lit(None).cast("int").alias("reach"), "until", "n")
+    longs = F.lit(None).cast("array<long>")
+    columns = ["bucket", "lang", "words", "phrase", "n", *kept, "reach", "until"]
+    rows = found.select("*", *[longs.alias(c) for c in kept], F.lit(None).cast("array<int>").alias("reach")).select(columns)
     if state is not None:
-        rows = state.withColumn("n", none).unionByName(rows)
-    sums = rows.groupBy("lang", "phrase").agg(
-        F.max("words").alias("words"), *[F.max(c).alias(c) for c in kept], F.max("reach").alias("reach"), F.max("until").alias("until"), F.sum("n").alias("n"))
-    sums = sums.withColumn(now, F.coalesce("n", now))
-    total = reduce(lambda a, b: a + b, [F.coalesce(F.col(c), F.lit(0)) for c in kept])
-    reach = F.coalesce("reach", F.when(total >= least, F.lit(scan)))
-    stays = (F.col("words") == 0) | (total >= least) | (F.col("until") > scan)
-    return sums.filter(stays).select("lang", "phrase", "words", *kept, reach.alias("reach"), "until")
+        rows = rows.unionByName(state.withColumn("n", longs).select(columns))
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        _add_up(scan, kept, least), "bucket int, lang string, words int, over boolean, phrase array<string>, "
+        + ", ".join(f"{c} array<long>" for c in kept) + ", reach array<int>, until array<int>")
 
 
 def counts(docs: DataFrame, longest: int = 3, least: int = 10, shards: int = 2, lang_col: str = "lang", text_col: str = "text",
@@ -230,6 +324,7 @@ def counts(docs: DataFrame, longest: int = 3, least: int = 10, shards: int = 2,
     texts.filter("octet_length(data) > 0").withColumn("shard", deal.cast("int")).write.partitionBy("shard").parquet(path)
     shard = spark.read.schema("lang string, data binary, shard int").parquet(path)
     shard.staged_at = path
+    buckets = max(BUCKETS, (shard.agg(F.sum(F.octet_length("data"))).first()[0] or 0) // BUCKET_BYTES)
     state, scan, reached = None, 0, {}
     while True:
         active = [n for n in range(2, longest + 1) if reached.get(n - 1, -1) >= max(scan - shards, 0)]
@@ -238,17 +333,19 @@ def counts(docs: DataFrame, longest: int = 3, least: int = 10, shards: int = 2,
         maps = _maps(state, scan, shards, longest, bits) if active else {}
         sent = spark.sparkContext.broadcast(maps)
         rows = shard.filter(F.col("shard") == scan % shards).select("lang", "data")
-        found = rows.mapInArrow(_scan(scan < shards, sent, longest, shards, held_words),
-                                "lang string, phrase string, words int, n long, until int")
+        found = rows.mapInArrow(_scan(scan < shards, sent, longest, shards, held_words, buckets),
+                                "bucket int, lang string, words int, phrase array<string>, n array<long>, until array<int>")
         new = common.staged(_merged(state, found, scan, shards, least), "phrase-counts")
         common.discard(state)
         sent.destroy()
         state = new
-        reached = {r["words"]: r["reach"] for r in state.groupBy("words").agg(F.max("reach").alias("reach")).collect() if r["reach"] is not None}
+        reached = {r["words"]: r["reach"] for r in state.filter("over").groupBy("words").agg(F.max(F.array_max("reach")).alias("reach")).collect()}
         scan += 1
     common.discard(shard)
-    total = reduce(lambda a, b: a + b, [F.coalesce(F.col(f"c{j}"), F.lit(0)) for j in range(shards)])
-    return state.select("lang", "phrase", "words", total.alias("n")).filter((F.col("words") == 0) | (F.col("n") >= least))
+    kept = [f"c{j}" for j in range(shards)]
+    each = state.filter("over OR words = 0").select("lang", "words", F.explode(F.arrays_zip("phrase", *kept)).alias("p"))
+    total = reduce(lambda a, b: a + b, [F.coalesce(F.col(f"p.{c}"), F.lit(0)) for c in kept])
+    return each.select("lang", "p.phrase", "words", total.alias("n"))
 
 
 def collocations(docs: DataFrame, longest: int = 3, least: int = 10, top: int = 2000, scale: int = 1_000_000, inside_percent: int = 50,
