@@ -287,8 +287,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     often = rows.filter("token IS NOT NULL").groupBy("token").agg(F.sum("size").alias("n")).filter("n >= 8")
     order = Order([r["token"] for r in often.orderBy(F.desc("n"), "token").limit(FREQUENT).collect()])
     early = _early(read, found, words, percent, order)
-    links = _links(read, found, early, _buckets(early, percent), words, percent, order)
-    label = common.connected_components(links)
+    label = _labels(read, found, early, _buckets(early, percent), words, percent, order)
     classes = found.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("least"))
     labelled = classes.join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     names = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -329,25 +328,25 @@ def _buckets(early: DataFrame, percent: int) -> DataFrame:
         "token", "node", "size", "place", "members", "lead", "other"), "ngram-buckets")
 
 
-def _links(read: DataFrame, found: DataFrame, early: DataFrame, buckets: DataFrame, words: int, percent: int, order: Order) -> DataFrame:
-    """(a, b) of the linked classes that suffice for the components."""
+def _labels(read: DataFrame, found: DataFrame, early: DataFrame, buckets: DataFrame, words: int, percent: int, order: Order) -> DataFrame:
+    """(node, component) of the linked classes, from links that suffice for the components."""
     small, large = buckets.filter(F.col("members") <= SMALL), buckets.filter(F.col("members") > SMALL)
     both = _sided(small, "a").join(_sided(small, "b"), "token").filter("node_a < node_b")
     stars = _sided(large, "a").join(_sided(large.filter("node = lead"), "b"), "token").filter("node_a != node_b")
     pairs = common.staged(_pairs(both.unionByName(stars), percent), "ngram-pairs")
     near = common.staged(_shared_enough(pairs, early, percent), "ngram-near")
-    links = _verified(read, found, near, words, percent, order)
+    label = common.connected_components(_verified(read, found, near, words, percent, order))
     if large.isEmpty():
-        return links
+        return label
     # a second centre meets only what the first star left in other components
-    placed = _placed(large, links)
+    placed = _placed(large, label)
     second = _sided(placed.filter("node = other"), "b", "component")
     stars = _sided(placed, "a", "component").join(second, "token").filter("component_a != component_b")
     more = common.staged(_pairs(stars, percent).join(pairs, ["a", "b"], "left_anti"), "ngram-second")
     near = common.staged(_shared_enough(more, early, percent), "ngram-near")
     pairs = pairs.unionByName(more)
-    links = links.unionByName(_verified(read, found, near, words, percent, order))
-    placed = _placed(large, links).drop("members", "lead", "other")
+    label = _joined(label, _verified(read, found, near, words, percent, order))
+    placed = _placed(large, label).drop("members", "lead", "other")
     # the bucket's largest component needs no pairs within itself: the others meet it and each other
     sizes = placed.groupBy("token", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("token").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("parts"))
@@ -364,27 +363,33 @@ def _links(read: DataFrame, found: DataFrame, early: DataFrame, buckets: DataFra
     rest = _pairs(across, percent).join(pairs, ["a", "b"], "left_anti")
     rest = common.staged(_shared_enough(rest, early, percent), "ngram-rest")
     if rest.isEmpty():
-        return links
+        return label
     # the likeliest partners of each class first: what they join needs no other pair
     ends = rest.select("a", "b", "shared", F.explode(F.array("a", "b")).alias("node"))
     place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("shared"), "a", "b"))
     likely = ends.withColumn("place", place).filter(F.col("place") <= LIKELIEST).select("a", "b").distinct()
     first = common.staged(rest.join(likely, ["a", "b"], "left_semi"), "ngram-likely")
-    links = links.unionByName(_verified(read, found, first, words, percent, order))
-    label = common.staged(common.connected_components(links), "ngram-labels")
+    label = common.staged(_joined(label, _verified(read, found, first, words, percent, order)), "ngram-labels")
     left = rest.join(likely, ["a", "b"], "left_anti")
     for side in "ab":
         left = left.join(label.select(F.col("node").alias(side), F.col("component").alias(f"in_{side}")), side, "left")
     apart = F.coalesce("in_a", "a") != F.coalesce("in_b", "b")
     left = common.staged(left.filter(apart).select("a", "b", "size_a", "size_b"), "ngram-left")
     if left.isEmpty():
-        return links
-    return links.unionByName(_verified(read, found, left, words, percent, order))
+        return label
+    return _joined(label, _verified(read, found, left, words, percent, order))
 
 
-def _placed(large: DataFrame, links: DataFrame) -> DataFrame:
+def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``label`` (node, component) after more links: those between two components join these."""
+    if links.isEmpty():
+        return label
+    known = label.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    return common.connected_components(known.unionByName(links))
+
+
+def _placed(large: DataFrame, label: DataFrame) -> DataFrame:
     """The bucket rows with the component that the links found give their class."""
-    label = common.connected_components(links)
     return common.staged(large.join(label, "node", "left").withColumn("component", F.coalesce("component", "node")), "ngram-placed")
 
 

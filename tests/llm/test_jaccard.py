@@ -131,3 +131,25 @@ def test_connected_components_of_a_long_path(spark):
     out = {r["node"]: r["component"] for r in common.connected_components(edges).collect()}
     assert out == {**{i: 0 for i in range(301)}, 1000: 1000, 1001: 1000}
     assert common.connected_components(edges.filter(F.lit(False))).count() == 0
+
+
+def test_components_of_stars_need_one_round(spark, monkeypatch):
+    staged, names = common.staged, []
+    monkeypatch.setattr(common, "staged", lambda df, name: names.append(name) or staged(df, name))
+    edges = spark.createDataFrame([(i % 3, i) for i in range(3, 60)] + [(7, 7), (40, 1), (1, 40)], "a long, b long")
+    out = {r["node"]: r["component"] for r in common.connected_components(edges).collect()}
+    assert out == {i: i % 3 for i in range(60)} and len(names) == 1
+    names.clear()
+    chain = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (9, 8), (8, 4), (20, 21)], "a long, b long")
+    out = {r["node"]: r["component"] for r in common.connected_components(chain).collect()}
+    assert out == {1: 1, 2: 1, 3: 1, 4: 1, 8: 1, 9: 1, 20: 20, 21: 20}
+
+
+def test_components_are_computed_again_only_after_more_links(docs, monkeypatch):
+    # one group of near copies that all link with the bucket's first member: no later round finds a link
+    rows = [(i, " ".join(f"v{k}" for k in range(100)) + f" end{i}") for i in range(12)] + [(50, "a b c d")]
+    components_, calls = common.connected_components, []
+    monkeypatch.setattr(common, "connected_components", lambda edges: calls.append(1) or components_(edges))
+    out = jaccard.near_duplicates(docs(rows), words=3, percent=90).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out) == components(rows, 3, 90)
+    assert len(calls) == 1
